@@ -42,8 +42,10 @@ def pending_snapshots(spine: DataFrame, history: DataFrame, version: str = VERSI
     return spine.join(stored, "event_time", "left_anti")
 
 
-def backfill_plan(spine: DataFrame, history: DataFrame, version: str = VERSION) -> DataFrame:
-    """Each snapshot of the grid, marked as stored or to be computed."""
+def backfill_plan(
+    spine: DataFrame, history: DataFrame, version: str = VERSION, expected_rows: int = 1
+) -> DataFrame:
+    """Each snapshot of the grid, marked as stored, partial (fewer rows than expected) or pending."""
     stored = (
         history.where(F.col("feature_version") == version)
         .groupBy("event_time")
@@ -53,7 +55,7 @@ def backfill_plan(spine: DataFrame, history: DataFrame, version: str = VERSION)
     return spine.join(stored, "event_time", "left").select(
         "event_time",
         rows.alias("stored_rows"),
-        F.when(rows > 0, "stored").otherwise("pending").alias("state"),
+        F.when(rows >= expected_rows, "stored").when(rows > 0, "partial").otherwise("pending").alias("state"),
     )
 
 
@@ -106,16 +108,36 @@ def backfill_history(
     days: int = 90,
     interval_hours: int = 24,
     version: str = VERSION,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """Features of every user at every snapshot of the grid.
+    """Features of every user at every snapshot of the grid that walks back from `now`."""
+    first, last = spine_start(now, days, interval_hours), _steps(days, interval_hours)
+    return history_on_grid(users, transactions, tickets, first, last, interval_hours, version, partitions)
+
+
+def history_on_grid(
+    users: DataFrame,
+    transactions: DataFrame,
+    tickets: DataFrame,
+    first: datetime,
+    last: int,
+    interval_hours: int,
+    version: str = VERSION,
+    partitions: int | None = None,
+) -> DataFrame:
+    """Features of every user at `first` and the `last` snapshots after it.
 
     Facts become changes at grid positions and a running sum per user turns the changes into
     windowed values, so the work is linear in facts + output rows; no fact is joined with the
     snapshots it counts for. The snapshot rows are made after the shuffle, from one row per
     user. A user's group holds at most a few rows per grid position, whatever their activity.
+
+    The shuffle gets a fixed number of partitions (`spark.sql.shuffle.partitions` unless given):
+    its rows multiply afterwards, so their size before must not decide how many tasks share them.
     """
-    first, last = spine_start(now, days, interval_hours), _steps(days, interval_hours)
+    partitions = partitions or int(users.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     step = interval_hours * HOUR_MICROS
+    now = first + timedelta(hours=interval_hours * last)
     from_transactions = _changes(
         transactions,
         {
@@ -144,7 +166,7 @@ def backfill_history(
     together = (
         subjects.unionByName(from_transactions, allowMissingColumns=True)
         .unionByName(from_tickets, allowMissingColumns=True)
-        .repartition("user_id")
+        .repartition(partitions, "user_id")
     )
     positions = F.when(F.col("is_user"), F.sequence(F.lit(0), F.lit(last))).otherwise(F.array("idx"))
     spread = together.withColumn("idx", F.explode(positions))
