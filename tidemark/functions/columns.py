@@ -1,10 +1,14 @@
-"""Small column expressions: times, windows, ratios, codes, money."""
+"""Small expressions: times, windows, ratios, codes, money.
+
+The helpers named `*_sql` give SQL text for `expr` and `selectExpr`; wide projections are written
+that way because each is then parsed in one call instead of being built node by node.
+"""
 
 from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.schemas import OTHER_PLAN_CODE, PLAN_CODES
@@ -12,31 +16,43 @@ from tidemark.schemas import OTHER_PLAN_CODE, PLAN_CODES
 DAY_MICROS = 86_400_000_000
 
 
-def moment(t: datetime) -> Column:
+def moment_sql(t: datetime) -> str:
     """A literal time without a zone, so that no session time zone can move it."""
-    return F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz")
+    return f"TIMESTAMP_NTZ '{t.isoformat(sep=' ')}'"
+
+
+def moment(t: datetime) -> Column:
+    return F.expr(moment_sql(t))
 
 
 def before(column: str, t: datetime) -> Column:
-    return F.col(column) < moment(t)
+    return F.expr(f"{column} < {moment_sql(t)}")
 
 
-def in_window(column: str, end: datetime, days: int) -> Column:
+def in_window_sql(column: str, end: datetime, days: int) -> str:
     """Half-open window: `end - days` is inside, `end` is not."""
-    return (F.col(column) >= moment(end - timedelta(days=days))) & before(column, end)
+    return f"({column} >= {moment_sql(end - timedelta(days=days))} AND {column} < {moment_sql(end)})"
+
 
+def in_window(column: str, end: datetime, days: int) -> Column:
+    return F.expr(in_window_sql(column, end, days))
 
-def days_crossed(later: Column, earlier: Column) -> Column:
+
+def days_crossed_sql(later: str, earlier: str) -> str:
     """Midnights between two times, not whole 24-hour spans."""
-    return F.datediff(F.to_date(later), F.to_date(earlier))
+    return f"datediff(to_date({later}), to_date({earlier}))"
 
 
-def epoch_micros(column: str) -> Column:
+def epoch_micros_sql(t: str) -> str:
     """Microseconds since 1970 of a time without a zone, as bigint."""
-    t = F.col(column)
-    seconds = F.hour(t) * 3600 + F.minute(t) * 60
-    fraction = (F.extract(F.lit("SECOND"), t) * 1_000_000).cast("bigint")
-    return F.unix_date(F.to_date(t)).cast("bigint") * DAY_MICROS + seconds.cast("bigint") * 1_000_000 + fraction
+    return (
+        f"(unix_date(to_date({t})) * {DAY_MICROS}L + (hour({t}) * 3600 + minute({t}) * 60) * 1000000L"
+        f" + bigint(extract(SECOND FROM {t}) * 1000000))"
+    )
+
+
+def epoch_micros(column: str) -> Column:
+    return F.expr(epoch_micros_sql(column))
 
 
 def micros_of(t: datetime) -> int:
@@ -45,29 +61,47 @@ def micros_of(t: datetime) -> int:
 
 def snapshot_id(column: str) -> Column:
     """Folder name of a snapshot, sorting as its time does."""
-    return F.substring(F.translate(F.col(column).cast("string"), "- :", ""), 1, 14)
+    return F.expr(f"substring(translate(string({column}), '- :', ''), 1, 14)")
 
 
 def snapshot_name(t: datetime) -> str:
     return t.strftime("%Y%m%d%H%M%S")
 
 
-def guarded_ratio(part: Column, whole: Column) -> Column:
-    return part / F.greatest(whole, F.lit(1))
+def guarded_ratio_sql(part: str, whole: str) -> str:
+    return f"({part} / greatest({whole}, 1))"
+
+
+def guarded_ratio(part: str, whole: str) -> Column:
+    return F.expr(guarded_ratio_sql(part, whole))
 
 
-def plan_code(column: str) -> Column:
+def plan_code_sql(column: str) -> str:
     """Ordinal code of a plan; a missing or unknown plan counts as the highest one."""
-    code = F.lit(OTHER_PLAN_CODE)
-    for plan, value in reversed(PLAN_CODES.items()):
-        code = F.when(F.col(column) == plan, value).otherwise(code)
-    return code.cast("double")
+    known = " ".join(f"WHEN '{plan}' THEN {code}" for plan, code in PLAN_CODES.items())
+    return f"double(CASE {column} {known} ELSE {OTHER_PLAN_CODE} END)"
 
 
-def cents(column: str) -> Column:
+def cents_sql(column: str) -> str:
     """Money as a whole number of cents: its sums do not depend on the order of the rows."""
-    return F.round(F.col(column) * 100).cast("bigint")
+    return f"bigint(round({column} * 100))"
+
+
+def missing_sql(column: str) -> str:
+    return f"({column} IS NULL OR isnan({column}))"
 
 
 def missing(column: str) -> Column:
-    return F.col(column).isNull() | F.isnan(column)
+    return F.expr(missing_sql(column))
+
+
+def per_feature(counted: DataFrame, names: list[str], columns: dict[str, str], *keep: str) -> DataFrame:
+    """Turn one row with a column per feature and measure into one row per feature.
+
+    `columns` maps an output column to the pattern of its inputs, "{}" standing for the feature.
+    """
+    rows = ", ".join(
+        f"'{name}', " + ", ".join(pattern.format(name) for pattern in columns.values()) for name in names
+    )
+    outputs = ", ".join(["feature_name", *columns])
+    return counted.selectExpr(*keep, f"stack({len(names)}, {rows}) AS ({outputs})")

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import DAY_MICROS, before, cents, epoch_micros, micros_of, moment
-from tidemark.operators.features import SUMS, from_measures, is_failed, is_success
+from tidemark.functions.columns import DAY_MICROS, before, epoch_micros_sql, micros_of, moment_sql
+from tidemark.operators.features import CENTS, FAILED, SUCCESS, SUMS, from_measures
 from tidemark.schemas import VERSION, WINDOW_DAYS
 
 HOUR_MICROS = 3_600_000_000
@@ -28,12 +28,9 @@ def spine_start(now: datetime, days: int, interval_hours: int) -> datetime:
 def spine_from(anchors: DataFrame, anchor: str, days: int, interval_hours: int) -> DataFrame:
     """Snapshot times back from the hour of each row's `anchor`, both ends included."""
     steps = _steps(days, interval_hours)
-    end = F.date_trunc("hour", F.col(anchor)).cast("timestamp_ntz")
-    offsets = F.explode(F.sequence(F.lit(0), F.lit(steps)))
-    return (
-        anchors.select(end.alias("_end"), offsets.alias("_i"))
-        .select((F.col("_end") - F.make_dt_interval(hours=F.col("_i") * interval_hours)).alias("event_time"))
-    )
+    return anchors.selectExpr(
+        f"CAST(date_trunc('hour', {anchor}) AS TIMESTAMP_NTZ) AS _end", f"explode(sequence(0, {steps})) AS _i"
+    ).selectExpr(f"_end - make_dt_interval(0, _i * {interval_hours}) AS event_time")
 
 
 def pending_snapshots(spine: DataFrame, history: DataFrame, version: str = VERSION) -> DataFrame:
@@ -51,53 +48,52 @@ def backfill_plan(
         .groupBy("event_time")
         .agg(F.count(F.lit(1)).alias("stored_rows"))
     )
-    rows = F.coalesce(F.col("stored_rows"), F.lit(0))
-    return spine.join(stored, "event_time", "left").select(
+    return spine.join(stored, "event_time", "left").selectExpr(
         "event_time",
-        rows.alias("stored_rows"),
-        F.when(rows >= expected_rows, "stored").when(rows > 0, "partial").otherwise("pending").alias("state"),
+        "coalesce(stored_rows, 0) AS stored_rows",
+        f"CASE WHEN stored_rows >= {expected_rows} THEN 'stored' WHEN stored_rows > 0 THEN 'partial'"
+        " ELSE 'pending' END AS state",
     )
 
 
-def _first_snapshot_after(shift_days: int, first: datetime, step: int, last: int) -> Column:
+def _first_snapshot_after(shift_days: int, first: datetime, step: int, last: int) -> str:
     """Index of the first snapshot s with s - shift_days > event time, within 0 .. last + 1."""
-    offset = f"(at - {micros_of(first) - shift_days * DAY_MICROS})"
-    index = F.expr(f"CASE WHEN {offset} < 0 THEN 0 ELSE {offset} div {step} + 1 END")
-    return F.least(index, F.lit(last + 1)).cast("int")
+    offset = f"(at - {micros_of(first) - shift_days * DAY_MICROS}L)"
+    return f"int(least(CASE WHEN {offset} < 0 THEN 0 ELSE {offset} div {step}L + 1 END, {last + 1}))"
 
 
 def _changes(
-    facts: DataFrame, measures: dict[str, Column], targets: dict[int, dict[str, str]],
+    facts: DataFrame, measures: dict[str, str], lost_after: dict[int, dict[str, str]],
     carried: dict[str, str], first: datetime, now: datetime, step: int, last: int,
 ) -> DataFrame:
     """Rows (user_id, idx, changes): what each user's measures gain or lose at a snapshot.
 
     A fact enters at the first snapshot after it and leaves a window of n days at the first
-    snapshot more than n days later. `targets[n]` maps an output sum to the measure that
+    snapshot more than n days later. `lost_after[n]` maps an output sum to the measure that
     leaves after n days, with n = 0 for sums that never lose anything; `carried` maps an
     output maximum to its measure. Facts are first summed per user and grid position, so a
     busy user costs at most one row per position and task in the shuffle.
     """
-    shifts = sorted({0, *targets})
-    positions = {n: f"idx_{n}" for n in shifts}
-    placed = facts.where(before("event_time", now)).withColumn("at", epoch_micros("event_time"))
-    for n in shifts:
-        placed = placed.withColumn(positions[n], _first_snapshot_after(n, first, step, last))
-    summed = placed.groupBy("user_id", *positions.values()).agg(*[c.alias(k) for k, c in measures.items()])
-    moves = summed.withColumn(
-        "move",
-        F.explode(F.array(*[F.struct(F.lit(n).alias("leaves"), F.col(p).alias("idx")) for n, p in positions.items()])),
-    ).where(F.col("move.idx") <= last)
-    entering = F.col("move.leaves") == 0
+    shifts = sorted({0, *lost_after})
+    summed = (
+        facts.where(before("event_time", now))
+        .withColumn("at", F.expr(epoch_micros_sql("event_time")))
+        .withColumns({f"idx_{n}": F.expr(_first_snapshot_after(n, first, step, last)) for n in shifts})
+        .groupBy("user_id", *[f"idx_{n}" for n in shifts])
+        .agg(*[F.expr(text).alias(name) for name, text in measures.items()])
+    )
+    moves = ", ".join(f"struct({n} AS leaves, idx_{n} AS idx)" for n in shifts)
     columns = []
-    for n, sums in targets.items():
+    for n, sums in lost_after.items():
         for out, measure in sums.items():
-            value = F.when(entering, F.col(measure))
-            if n:
-                value = value.when(F.col("move.leaves") == n, -F.col(measure))
-            columns.append(value.alias(out))
-    columns += [F.when(entering, F.col(m)).alias(out) for out, m in carried.items()]
-    return moves.select("user_id", F.col("move.idx").alias("idx"), *columns)
+            leaving = f"WHEN move.leaves = {n} THEN -{measure} " if n else ""
+            columns.append(f"CASE WHEN move.leaves = 0 THEN {measure} {leaving}END AS {out}")
+    columns += [f"CASE WHEN move.leaves = 0 THEN {measure} END AS {out}" for out, measure in carried.items()]
+    return (
+        summed.withColumn("move", F.expr(f"explode(array({moves}))"))
+        .where(f"move.idx <= {last}")
+        .selectExpr("user_id", "move.idx AS idx", *columns)
+    )
 
 
 def backfill_history(
@@ -138,43 +134,41 @@ def history_on_grid(
     partitions = partitions or int(users.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     step = interval_hours * HOUR_MICROS
     now = first + timedelta(hours=interval_hours * last)
+    month = {"n_failed_30": "failed", "n_all_30": "every"}
     from_transactions = _changes(
         transactions,
         {
-            "ok": F.count_if(is_success()),
-            "money": F.sum(F.when(is_success(), cents("amount"))),
-            "failed": F.count_if(is_failed()),
-            "every": F.count(F.lit(1)),
-            "latest": F.max(F.when(is_success(), F.col("event_time"))),
-        },
-        {
-            n: {f"n_ok_{n}": "ok", f"cents_{n}": "money"}
-            | ({"n_failed_30": "failed", "n_all_30": "every"} if n == 30 else {})
-            for n in WINDOW_DAYS
+            "ok": f"count_if({SUCCESS})",
+            "money": f"sum(CASE WHEN {SUCCESS} THEN {CENTS} END)",
+            "failed": f"count_if({FAILED})",
+            "every": "count(1)",
+            "latest": f"max(CASE WHEN {SUCCESS} THEN event_time END)",
         },
+        {n: {f"n_ok_{n}": "ok", f"cents_{n}": "money"} | (month if n == 30 else {}) for n in WINDOW_DAYS},
         {"last_ok": "latest"},
         first, now, step, last,
     )
     from_tickets = _changes(
         tickets,
-        {"unresolved": F.count_if(F.col("resolved") == 0), "every": F.count(F.lit(1))},
+        {"unresolved": "count_if(resolved = 0)", "every": "count(1)"},
         {0: {"n_open": "unresolved"}, 30: {"n_tickets_30": "every"}},
         {},
         first, now, step, last,
     )
-    subjects = users.select("user_id", "signup_date", "plan_type", F.lit(True).alias("is_user"))
+    subjects = users.selectExpr("user_id", "signup_date", "plan_type", "true AS is_user")
     together = (
         subjects.unionByName(from_transactions, allowMissingColumns=True)
         .unionByName(from_tickets, allowMissingColumns=True)
         .repartition(partitions, "user_id")
     )
-    positions = F.when(F.col("is_user"), F.sequence(F.lit(0), F.lit(last))).otherwise(F.array("idx"))
-    spread = together.withColumn("idx", F.explode(positions))
+    spread = together.withColumn(
+        "idx", F.expr(f"explode(CASE WHEN is_user THEN sequence(0, {last}) ELSE array(idx) END)")
+    )
     so_far = Window.partitionBy("user_id").orderBy("idx").rangeBetween(Window.unboundedPreceding, 0)
     running = spread.select(
         "user_id", "signup_date", "plan_type", "is_user", "idx",
         *[F.sum(c).over(so_far).alias(c) for c in SUMS],
         F.max("last_ok").over(so_far).alias("last_ok"),
     ).where("is_user")
-    snapshot = moment(first) + F.make_dt_interval(hours=F.col("idx") * interval_hours)
+    snapshot = f"({moment_sql(first)} + make_dt_interval(0, idx * {interval_hours}))"
     return from_measures(running, snapshot, version)

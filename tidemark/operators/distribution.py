@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import guarded_ratio, missing, moment
+from tidemark.functions.columns import guarded_ratio, guarded_ratio_sql, missing, missing_sql, moment, per_feature
 from tidemark.operators.running import running_totals
 from tidemark.schemas import FEATURES, KS_THRESHOLD, VERSION
 
@@ -34,17 +34,10 @@ def long_form(history: DataFrame, *keep: str) -> DataFrame:
 def null_rate(rows: DataFrame) -> DataFrame:
     """Per feature, the share of missing values, from one pass over the rows."""
     counts = rows.agg(
-        F.count(F.lit(1)).alias("n"), *[F.count_if(missing(c)).alias(c) for c in FEATURES]
-    )
-    per_feature = F.explode(
-        F.array(*[F.struct(F.lit(c).alias("feature_name"), F.col(c).alias("n_missing")) for c in FEATURES])
-    )
-    return counts.select("n", per_feature.alias("f")).select(
-        "f.feature_name",
-        F.col("n").alias("sample_count"),
-        "f.n_missing",
-        guarded_ratio(F.col("f.n_missing"), F.col("n")).alias("null_rate"),
+        F.count(F.lit(1)).alias("n"), *[F.expr(f"count_if({missing_sql(c)})").alias(c) for c in FEATURES]
     )
+    columns = {"n_missing": "{}", "null_rate": guarded_ratio_sql("{}", "n")}
+    return per_feature(counts, FEATURES, columns, "n AS sample_count")
 
 
 def value_counts(long: DataFrame, *measures: Column) -> DataFrame:
@@ -99,7 +92,7 @@ def feature_stats(rows: DataFrame, chunks: int | None = None) -> DataFrame:
         "mean",
         "std",
         *[between(name, q) for name, q in QUANTILES.items()],
-        guarded_ratio(F.col("n_missing"), F.col("sample_count")).alias("null_rate"),
+        guarded_ratio("n_missing", "sample_count").alias("null_rate"),
         "sample_count",
     )
 

@@ -4,17 +4,17 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import (
     before,
-    cents,
-    days_crossed,
-    guarded_ratio,
-    in_window,
-    moment,
-    plan_code,
+    cents_sql,
+    days_crossed_sql,
+    guarded_ratio_sql,
+    in_window_sql,
+    moment_sql,
+    plan_code_sql,
 )
 from tidemark.schemas import ENTITY_TYPE, FEATURES, NEVER_TRANSACTED, VERSION, WINDOW_DAYS
 
@@ -24,75 +24,66 @@ COUNTS = [f"n_ok_{n}" for n in WINDOW_DAYS]
 SPEND = [f"cents_{n}" for n in WINDOW_DAYS]
 SUMS = [*COUNTS, *SPEND, "n_failed_30", "n_all_30", "n_open", "n_tickets_30"]
 
+SUCCESS = "status = 'success'"
+FAILED = "status = 'failed'"
+CENTS = cents_sql("amount")
 
-def is_success() -> Column:
-    return F.col("status") == "success"
 
+def _measured(facts: DataFrame, snapshot: datetime, measures: dict[str, str]) -> DataFrame:
+    """One row per user with any fact before the snapshot.
 
-def is_failed() -> Column:
-    return F.col("status") == "failed"
+    The measures are sums, counts and maxima, so each task sends one row per user to the shuffle
+    however many rows a user has.
+    """
+    columns = [F.expr(text).alias(name) for name, text in measures.items()]
+    return facts.where(before("event_time", snapshot)).groupBy("user_id").agg(*columns)
 
 
 def transaction_measures(transactions: DataFrame, snapshot: datetime) -> DataFrame:
-    """One row per user with any transaction before the snapshot.
-
-    Only sums, counts and a maximum, so each task sends one row per user to the shuffle
-    however many rows a user has.
-    """
-    ok = is_success()
-    measures = []
+    measures = {}
     for n in WINDOW_DAYS:
-        inside = ok & in_window("event_time", snapshot, n)
-        measures += [
-            F.count_if(inside).alias(f"n_ok_{n}"),
-            F.sum(F.when(inside, cents("amount"))).alias(f"cents_{n}"),
-        ]
-    month = in_window("event_time", snapshot, 30)
-    measures += [
-        F.count_if(is_failed() & month).alias("n_failed_30"),
-        F.count_if(month).alias("n_all_30"),
-        F.max(F.when(ok, F.col("event_time"))).alias("last_ok"),
-    ]
-    return transactions.where(before("event_time", snapshot)).groupBy("user_id").agg(*measures)
+        inside = f"{SUCCESS} AND {in_window_sql('event_time', snapshot, n)}"
+        measures[f"n_ok_{n}"] = f"count_if({inside})"
+        measures[f"cents_{n}"] = f"sum(CASE WHEN {inside} THEN {CENTS} END)"
+    month = in_window_sql("event_time", snapshot, 30)
+    measures["n_failed_30"] = f"count_if({FAILED} AND {month})"
+    measures["n_all_30"] = f"count_if({month})"
+    measures["last_ok"] = f"max(CASE WHEN {SUCCESS} THEN event_time END)"
+    return _measured(transactions, snapshot, measures)
 
 
 def ticket_measures(tickets: DataFrame, snapshot: datetime) -> DataFrame:
     """Open tickets use the resolved flag as it stands: the table keeps no time of resolution."""
-    return (
-        tickets.where(before("event_time", snapshot))
-        .groupBy("user_id")
-        .agg(
-            F.count_if(F.col("resolved") == 0).alias("n_open"),
-            F.count_if(in_window("event_time", snapshot, 30)).alias("n_tickets_30"),
-        )
+    month = in_window_sql("event_time", snapshot, 30)
+    return _measured(
+        tickets, snapshot, {"n_open": "count_if(resolved = 0)", "n_tickets_30": f"count_if({month})"}
     )
 
 
-def from_measures(df: DataFrame, snapshot: Column, version: str) -> DataFrame:
-    """Feature columns from user_id, signup_date, plan_type and the measures above."""
+def from_measures(df: DataFrame, snapshot: str, version: str) -> DataFrame:
+    """Feature columns from user_id, signup_date, plan_type and the measures above; `snapshot`
+    is SQL text."""
 
-    def number(name: str) -> Column:
-        return F.coalesce(F.col(name), F.lit(0)).cast("double")
+    def number(name: str) -> str:
+        return f"double(coalesce({name}, 0))"
 
     columns = {f"txn_count_{n}d": number(f"n_ok_{n}") for n in WINDOW_DAYS}
-    columns |= {f"total_spend_{n}d": number(f"cents_{n}") / F.lit(100.0) for n in WINDOW_DAYS}
-    columns["avg_txn_amount_30d"] = F.when(
-        F.col("n_ok_30") > 0, number("cents_30") / F.lit(100.0) / number("n_ok_30")
-    ).otherwise(F.lit(0.0))
-    columns["failed_txn_rate_30d"] = guarded_ratio(number("n_failed_30"), number("n_all_30"))
-    columns["days_since_last_txn"] = F.coalesce(
-        days_crossed(snapshot, F.col("last_ok")), F.lit(NEVER_TRANSACTED)
-    ).cast("double")
-    columns["open_tickets"] = number("n_open")
-    columns["ticket_rate_30d"] = number("n_tickets_30")
-    columns["account_age_days"] = days_crossed(snapshot, F.col("signup_date")).cast("double")
-    columns["plan_encoded"] = plan_code("plan_type")
-    return df.select(
-        F.col("user_id").alias("entity_id"),
-        F.lit(ENTITY_TYPE).alias("entity_type"),
-        F.lit(version).alias("feature_version"),
-        snapshot.alias("event_time"),
-        *[columns[name].alias(name) for name in FEATURES],
+    columns |= {f"total_spend_{n}d": f"{number(f'cents_{n}')} / 100D" for n in WINDOW_DAYS}
+    columns |= {
+        "avg_txn_amount_30d": "CASE WHEN n_ok_30 > 0 THEN cents_30 / 100D / n_ok_30 ELSE 0D END",
+        "failed_txn_rate_30d": guarded_ratio_sql(number("n_failed_30"), number("n_all_30")),
+        "days_since_last_txn": f"double(coalesce({days_crossed_sql(snapshot, 'last_ok')}, {NEVER_TRANSACTED}))",
+        "open_tickets": number("n_open"),
+        "ticket_rate_30d": number("n_tickets_30"),
+        "account_age_days": f"double({days_crossed_sql(snapshot, 'signup_date')})",
+        "plan_encoded": plan_code_sql("plan_type"),
+    }
+    return df.selectExpr(
+        "user_id AS entity_id",
+        f"'{ENTITY_TYPE}' AS entity_type",
+        f"'{version}' AS feature_version",
+        f"{snapshot} AS event_time",
+        *[f"{columns[name]} AS {name}" for name in FEATURES],
     )
 
 
@@ -113,4 +104,4 @@ def feature_vector(
         .join(transaction_measures(transactions, snapshot), "user_id", "left")
         .join(ticket_measures(tickets, snapshot), "user_id", "left")
     )
-    return from_measures(joined, moment(snapshot), version)
+    return from_measures(joined, moment_sql(snapshot), version)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import missing
+from tidemark.functions.columns import missing_sql, per_feature
 from tidemark.schemas import FEATURES, VERSION
 
 
@@ -33,17 +33,7 @@ def coverage(features: DataFrame) -> DataFrame:
     """Per feature: rows, present values and non-zero values, from one pass over the features."""
     counts = features.agg(
         F.count(F.lit(1)).alias("n_rows"),
-        *[F.count_if(~missing(c)).alias(f"p_{c}") for c in FEATURES],
-        *[F.count_if(~missing(c) & (F.col(c) != 0)).alias(f"z_{c}") for c in FEATURES],
-    )
-    per_feature = F.explode(
-        F.array(*[
-            F.struct(
-                F.lit(c).alias("feature_name"), F.col(f"p_{c}").alias("n_present"), F.col(f"z_{c}").alias("n_nonzero")
-            )
-            for c in FEATURES
-        ])
-    )
-    return counts.select("n_rows", per_feature.alias("f")).select(
-        "f.feature_name", "n_rows", "f.n_present", "f.n_nonzero"
+        *[F.expr(f"count_if(NOT {missing_sql(c)})").alias(f"p_{c}") for c in FEATURES],
+        *[F.expr(f"count_if(NOT {missing_sql(c)} AND {c} <> 0)").alias(f"z_{c}") for c in FEATURES],
     )
+    return per_feature(counts, FEATURES, {"n_present": "p_{}", "n_nonzero": "z_{}"}, "n_rows")

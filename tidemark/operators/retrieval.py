@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.columns import per_feature
 from tidemark.operators import online as online_table
 from tidemark.operators.features import feature_vector
 from tidemark.operators.sizing import restrict_to_ids
@@ -54,12 +55,11 @@ def dual_path_batch(
     found = online_table.lookup(online, ids, as_of, version, ttl_hours)
     hits = found.where("hit").select("entity_id", F.lit("online_store").alias("source"), *FEATURES)
     misses = found.where(~F.col("hit")).select("entity_id")
-    usable = F.coalesce(F.size("violations") == 0, F.lit(False))
-    source = F.when(F.col("violations").isNull(), "not_found").when(usable, "on_demand").otherwise("invalid")
-    computed = on_demand_batch(users, transactions, tickets, misses, as_of, version).select(
+    computed = on_demand_batch(users, transactions, tickets, misses, as_of, version).selectExpr(
         "entity_id",
-        source.alias("source"),
-        *[F.when(usable, F.col(c)).alias(c) for c in FEATURES],
+        "CASE WHEN violations IS NULL THEN 'not_found' WHEN size(violations) = 0 THEN 'on_demand'"
+        " ELSE 'invalid' END AS source",
+        *[f"CASE WHEN size(violations) = 0 THEN {c} END AS {c}" for c in FEATURES],
     )
     return hits.unionByName(computed)
 
@@ -80,11 +80,6 @@ def parity_check(stored: DataFrame, computed: DataFrame) -> DataFrame:
     both = left.join(right, "entity_id", "full")
     counts = both.agg(
         F.count(F.lit(1)).alias("n_entities"),
-        *[F.count_if(~F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))).alias(c) for c in FEATURES],
-    )
-    per_feature = F.explode(
-        F.array(*[F.struct(F.lit(c).alias("feature_name"), F.col(c).alias("n_different")) for c in FEATURES])
-    )
-    return counts.select("n_entities", per_feature.alias("f")).select(
-        "f.feature_name", "n_entities", "f.n_different"
+        *[F.expr(f"count_if(NOT a.{c} <=> b.{c})").alias(c) for c in FEATURES],
     )
+    return per_feature(counts, FEATURES, {"n_different": "{}"}, "n_entities")

@@ -60,4 +60,4 @@ def latency_percentiles(requests: DataFrame) -> DataFrame:
 
 def cache_hit_rate(requests: DataFrame) -> DataFrame:
     counts = requests.agg(F.count_if("hit").alias("hits"), F.count(F.lit(1)).alias("requests"))
-    return counts.withColumn("cache_hit_rate", F.round(guarded_ratio(F.col("hits"), F.col("requests")), 3))
+    return counts.withColumn("cache_hit_rate", F.round(guarded_ratio("hits", "requests"), 3))

@@ -7,9 +7,9 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import in_window, moment
+from tidemark.functions.columns import in_window, moment_sql, per_feature
 from tidemark.operators.asof import latest_asof, pit_join
-from tidemark.operators.features import is_success
+from tidemark.operators.features import SUCCESS
 from tidemark.schemas import FEATURES, VERSION
 
 
@@ -23,22 +23,22 @@ def churn_labels(
     after. `first_n` keeps the users with the smallest ids.
     """
     end = label_time + timedelta(days=window_days)
+    cut = moment_sql(label_time)
     counts = (
-        transactions.where(is_success() & in_window("event_time", end, 2 * window_days))
+        transactions.where(SUCCESS).where(in_window("event_time", end, 2 * window_days))
         .groupBy("user_id")
         .agg(
-            F.count_if(F.col("event_time") < moment(label_time)).alias("txns_before"),
-            F.count_if(F.col("event_time") >= moment(label_time)).alias("txns_after"),
+            F.expr(f"count_if(event_time < {cut})").alias("txns_before"),
+            F.expr(f"count_if(event_time >= {cut})").alias("txns_after"),
         )
-        .where(F.col("txns_before") > 0)
+        .where("txns_before > 0")
     )
-    churned = (F.col("txns_after") == 0) & (F.col("txns_before") >= min_before)
-    labels = users.select("user_id").join(counts, "user_id").select(
-        F.col("user_id").alias("entity_id"),
-        moment(label_time).alias("label_time"),
+    labels = users.select("user_id").join(counts, "user_id").selectExpr(
+        "user_id AS entity_id",
+        f"{cut} AS label_time",
         "txns_before",
         "txns_after",
-        F.when(churned, 1).otherwise(0).alias("churned"),
+        f"int(txns_after = 0 AND txns_before >= {min_before}) AS churned",
     )
     return labels if first_n is None else labels.orderBy("entity_id").limit(first_n)
 
@@ -81,30 +81,16 @@ def leakage_audit(
 
     One latest-row lookup per entity is joined to the point-in-time set; labels are read once.
     """
-    newest = latest_asof(history, as_of, version).select(
-        "entity_id",
-        F.col("event_time").alias("naive_time"),
-        *[F.coalesce(F.col(c), F.lit(0.0)).alias(f"naive_{c}") for c in FEATURES],
+    newest = latest_asof(history, as_of, version).selectExpr(
+        "entity_id", "event_time AS naive_time", *[f"coalesce({c}, 0D) AS naive_{c}" for c in FEATURES]
     )
     both = pit_training_set(labels, history, version).join(newest, "entity_id")
-    late = F.col("naive_time") > F.col("label_time")
-    shift = {c: F.abs(F.col(f"naive_{c}") - F.col(c)) for c in FEATURES}
+    late = "naive_time > label_time"
     sums = both.agg(
         F.count(F.lit(1)).alias("n_labels"),
-        F.count_if(late).alias("n_late"),
-        *[F.count_if(late & (shift[c] > 0)).alias(f"n_{c}") for c in FEATURES],
-        *[F.avg(F.when(late, shift[c])).alias(f"d_{c}") for c in FEATURES],
-    )
-    rows = F.explode(
-        F.array(*[
-            F.struct(
-                F.lit(c).alias("feature_name"),
-                F.col(f"n_{c}").alias("n_changed"),
-                F.round(f"d_{c}", 4).alias("mean_shift"),
-            )
-            for c in FEATURES
-        ])
-    )
-    return sums.select("n_labels", "n_late", rows.alias("f")).select(
-        "f.feature_name", "n_labels", "n_late", "f.n_changed", "f.mean_shift"
+        F.expr(f"count_if({late})").alias("n_late"),
+        *[F.expr(f"count_if({late} AND naive_{c} <> {c})").alias(f"n_{c}") for c in FEATURES],
+        *[F.expr(f"avg(CASE WHEN {late} THEN abs(naive_{c} - {c}) END)").alias(f"d_{c}") for c in FEATURES],
     )
+    columns = {"n_changed": "n_{}", "mean_shift": "round(d_{}, 4)"}
+    return per_feature(sums, FEATURES, columns, "n_labels", "n_late")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.schemas import FEATURES
@@ -20,27 +20,32 @@ RATE = "failed_txn_rate_30d"
 class Rule:
     column: str
     name: str
-    holds: Column
+    holds: str
 
     @property
     def id(self) -> str:
         return f"{self.column}:{self.name}"
 
+    @property
+    def broken(self) -> str:
+        """A missing value breaks the rule against missing values only."""
+        return f"NOT coalesce({self.holds}, true)"
+
 
 def rules() -> list[Rule]:
     found = [
-        Rule("entity_id", "not_null", F.col("entity_id").isNotNull()),
-        Rule("entity_id", "at_least_1", F.col("entity_id") >= SMALLEST_ID),
+        Rule("entity_id", "not_null", "entity_id IS NOT NULL"),
+        Rule("entity_id", "at_least_1", f"entity_id >= {SMALLEST_ID}"),
     ]
     for name in FEATURES:
-        value = F.col(name)
-        found.append(Rule(name, "not_null", value.isNotNull()))
+        found.append(Rule(name, "not_null", f"{name} IS NOT NULL"))
         if name == "plan_encoded":
-            found.append(Rule(name, "known_code", value.isin(ALLOWED_PLAN_CODES)))
+            codes = ", ".join(f"{code}D" for code in ALLOWED_PLAN_CODES)
+            found.append(Rule(name, "known_code", f"{name} IN ({codes})"))
             continue
-        found.append(Rule(name, "at_least_0", value >= 0))
+        found.append(Rule(name, "at_least_0", f"{name} >= 0"))
         if name == RATE:
-            found.append(Rule(name, "at_most_1", value <= 1))
+            found.append(Rule(name, "at_most_1", f"{name} <= 1"))
     return found
 
 
@@ -53,17 +58,21 @@ def clean(df: DataFrame) -> DataFrame:
     """
     cleaned = {}
     for name in FEATURES:
-        number = F.col(name).try_cast("double")
-        cleaned[name] = F.when(F.col(name).isNull() | F.isnan(number), 0.0).otherwise(number)
-    rate = cleaned[RATE]
-    cleaned[RATE] = F.when((rate > 1) & (rate <= RATE_TOLERANCE), 1.0).when(rate < 0, 0.0).otherwise(rate)
-    return df.withColumns(cleaned)
+        number = f"try_cast({name} AS double)"
+        text = f"CASE WHEN {name} IS NULL OR isnan({number}) THEN 0D ELSE {number} END"
+        if name == RATE:
+            text = (
+                f"CASE WHEN {text} > 1 AND {text} <= {RATE_TOLERANCE}D THEN 1D "
+                f"WHEN {text} < 0 THEN 0D ELSE {text} END"
+            )
+        cleaned[name] = text
+    return df.selectExpr(*[f"{cleaned[c]} AS {c}" if c in cleaned else f"`{c}`" for c in df.columns])
 
 
 def with_violations(df: DataFrame) -> DataFrame:
     """Add `violations`, the ids of all rules that the row breaks."""
-    broken = [F.when(~F.coalesce(r.holds, F.lit(True)), r.id) for r in rules()]
-    return df.withColumn("violations", F.array_compact(F.array(*broken)))
+    broken = ", ".join(f"CASE WHEN {r.broken} THEN '{r.id}' END" for r in rules())
+    return df.withColumn("violations", F.expr(f"array_compact(array({broken}))"))
 
 
 def validate(df: DataFrame) -> DataFrame:
@@ -71,23 +80,16 @@ def validate(df: DataFrame) -> DataFrame:
 
 
 def valid_rows(df: DataFrame) -> DataFrame:
-    return validate(df).where(F.size("violations") == 0).drop("violations")
+    return validate(df).where("size(violations) = 0").drop("violations")
 
 
 def quarantined_rows(df: DataFrame) -> DataFrame:
-    return validate(df).where(F.size("violations") > 0)
+    return validate(df).where("size(violations) > 0")
 
 
 def violation_counts(df: DataFrame) -> DataFrame:
     """One row per broken rule with the number of rows that break it, from one pass."""
     checks = rules()
-    counted = clean(df).agg(
-        *[F.count_if(~F.coalesce(r.holds, F.lit(True))).alias(f"c{i}") for i, r in enumerate(checks)]
-    )
-    per_rule = F.explode(
-        F.array(*[
-            F.struct(F.lit(r.column).alias("column"), F.lit(r.name).alias("rule"), F.col(f"c{i}").alias("n_rows"))
-            for i, r in enumerate(checks)
-        ])
-    )
-    return counted.select(per_rule.alias("v")).select("v.column", "v.rule", "v.n_rows").where("n_rows > 0")
+    counted = clean(df).agg(*[F.expr(f"count_if({r.broken})").alias(f"c{i}") for i, r in enumerate(checks)])
+    stacked = ", ".join(f"'{r.column}', '{r.name}', c{i}" for i, r in enumerate(checks))
+    return counted.selectExpr(f"stack({len(checks)}, {stacked}) AS (column, rule, n_rows)").where("n_rows > 0")

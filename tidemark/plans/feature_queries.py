@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import days_crossed, in_window, moment
+from tidemark.functions.columns import days_crossed_sql, in_window, moment_sql
 from tidemark.operators import retrieval
-from tidemark.operators.features import is_success
+from tidemark.operators.features import SUCCESS
 from tidemark.plans import fixtures as fx
 from tidemark.plans import sql
 from tidemark.sources import mapping
@@ -15,19 +15,18 @@ ONE_ENTITY = 7
 
 
 def scalar_dates(spark, folder):
-    t = F.col("event_time")
-    return mapping.transactions(spark, folder).select(
+    return mapping.transactions(spark, folder).selectExpr(
         "transaction_id",
-        F.to_date(t).alias("event_date"),
-        (t - F.expr("INTERVAL '7' DAY")).alias("week_before"),
-        F.date_trunc("hour", t).cast("timestamp_ntz").alias("event_hour"),
-        days_crossed(moment(fx.SNAPSHOT), t).alias("days_before_snapshot"),
+        "to_date(event_time) AS event_date",
+        "event_time - INTERVAL '7' DAY AS week_before",
+        "CAST(date_trunc('hour', event_time) AS TIMESTAMP_NTZ) AS event_hour",
+        f"{days_crossed_sql(moment_sql(fx.SNAPSHOT), 'event_time')} AS days_before_snapshot",
     )
 
 
 def filter_window(spark, folder):
-    kept = is_success() & in_window("event_time", fx.SNAPSHOT, 30)
-    return mapping.transactions(spark, folder).where(kept).select("transaction_id", "user_id", "amount", "event_time")
+    kept = mapping.transactions(spark, folder).where(SUCCESS).where(in_window("event_time", fx.SNAPSHOT, 30))
+    return kept.select("transaction_id", "user_id", "amount", "event_time")
 
 
 def entity_ids(spark, folder):

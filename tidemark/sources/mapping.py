@@ -6,56 +6,63 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+SCHEMAS = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def users(spark: SparkSession, folder: str) -> DataFrame:
     """One user per customer; the first order is the sign-up, the market segment the plan."""
     first_order = (
-        table(spark, folder, "orders").groupBy("o_custkey").agg(F.min("o_orderdate").alias("first_order"))
-    )
-    segment = F.col("c_mktsegment")
-    plan = (
-        F.when(segment == "AUTOMOBILE", "free")
-        .when(segment == "BUILDING", "basic")
-        .when(segment == "FURNITURE", "pro")
-        .otherwise("enterprise")
+        table(spark, folder, "orders")
+        .groupBy(F.col("o_custkey").alias("c_custkey"))
+        .agg(F.min("o_orderdate").alias("first_order"))
     )
-    customer = table(spark, folder, "customer")
-    return customer.join(first_order, customer.c_custkey == first_order.o_custkey, "left").select(
-        F.col("c_custkey").alias("user_id"),
-        F.to_date("first_order").alias("signup_date"),
-        plan.alias("plan_type"),
+    return (
+        table(spark, folder, "customer")
+        .join(first_order, "c_custkey", "left")
+        .selectExpr(
+            "c_custkey AS user_id",
+            "to_date(first_order) AS signup_date",
+            "CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'free' WHEN 'BUILDING' THEN 'basic'"
+            " WHEN 'FURNITURE' THEN 'pro' ELSE 'enterprise' END AS plan_type",
+        )
     )
 
 
 def transactions(spark: SparkSession, folder: str) -> DataFrame:
     """One transaction per order."""
-    status = (
-        F.when(F.col("o_orderstatus") != "P", "success")
-        .when(F.col("o_orderpriority") == "5-LOW", "refunded")
-        .otherwise("failed")
-    )
-    return table(spark, folder, "orders").select(
-        F.col("o_orderkey").alias("transaction_id"),
-        F.col("o_custkey").alias("user_id"),
-        F.col("o_totalprice").alias("amount"),
-        F.col("o_orderpriority").alias("category"),
-        status.alias("status"),
-        F.col("o_orderdate").alias("event_time"),
+    return table(spark, folder, "orders").selectExpr(
+        "o_orderkey AS transaction_id",
+        "o_custkey AS user_id",
+        "o_totalprice AS amount",
+        "o_orderpriority AS category",
+        "CASE WHEN o_orderstatus <> 'P' THEN 'success' WHEN o_orderpriority = '5-LOW' THEN 'refunded'"
+        " ELSE 'failed' END AS status",
+        "o_orderdate AS event_time",
     )
 
 
 def tickets(spark: SparkSession, folder: str) -> DataFrame:
     """One ticket per returned line, opened at the ship date."""
-    owner = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
-    lines = table(spark, folder, "lineitem").where(F.col("l_returnflag") == "R")
-    return lines.join(owner, lines.l_orderkey == owner.o_orderkey).select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("ticket_id"),
-        F.col("o_custkey").alias("user_id"),
-        F.when(F.col("l_linestatus") == "F", 1).otherwise(0).alias("resolved"),
-        F.col("l_shipdate").alias("event_time"),
+    owner = table(spark, folder, "orders").selectExpr("o_orderkey AS l_orderkey", "o_custkey")
+    returned = table(spark, folder, "lineitem").where("l_returnflag = 'R'")
+    return returned.join(owner, "l_orderkey").selectExpr(
+        "l_orderkey * 10 + l_linenumber AS ticket_id",
+        "o_custkey AS user_id",
+        "CASE WHEN l_linestatus = 'F' THEN 1 ELSE 0 END AS resolved",
+        "l_shipdate AS event_time",
     )
 
 
@@ -65,13 +72,10 @@ def raw(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFra
 
 def request_log(spark: SparkSession, folder: str) -> DataFrame:
     """One served request per event."""
-    kind = F.col("event_type")
-    path = (
-        F.when(kind.isin("click", "signup"), "online_store").when(kind == "purchase", "batch").otherwise("on_demand")
-    )
-    return table(spark, folder, "events").select(
-        path.alias("path"),
-        F.col("value").alias("latency_ms"),
-        (kind != "error").alias("hit"),
-        F.col("ts"),
+    return table(spark, folder, "events").selectExpr(
+        "CASE WHEN event_type IN ('click', 'signup') THEN 'online_store'"
+        " WHEN event_type = 'purchase' THEN 'batch' ELSE 'on_demand' END AS path",
+        "value AS latency_ms",
+        "event_type <> 'error' AS hit",
+        "ts",
     )
