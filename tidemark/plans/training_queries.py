@@ -5,6 +5,7 @@ from __future__ import annotations
 from tidemark.operators import model_quality, training
 from tidemark.plans import fixtures as fx
 from tidemark.plans import sql
+from tidemark.session import stage
 from tidemark.sources import mapping
 
 FIRST_N = 100
@@ -61,8 +62,8 @@ def f1_score(spark, folder):
 
 
 def churn_model_scores(spark, folder):
-    """Trees fitted on the train part score the test part."""
-    split = model_quality.stratified_split(pit_training_set(spark, folder))
+    """Trees fitted on the train part score the test part; fitting reads the set many times."""
+    split = stage(model_quality.stratified_split(pit_training_set(spark, folder)), "split")
     model = model_quality.fit_churn_model(split.where("part = 'train'"))
     return model_quality.score_churn(model, split.where("part = 'test'")).select("entity_id", "churned", "score")
 
