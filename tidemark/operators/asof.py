@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import epoch_micros, moment
@@ -25,8 +26,10 @@ def latest_asof(history: DataFrame, as_of: datetime, version: str = VERSION) ->
 
 def latest_for_ids(history: DataFrame, ids: DataFrame, as_of: datetime, version: str = VERSION) -> DataFrame:
     """`latest_asof` for the ids of a one-column frame `entity_id`; unknown ids give no row."""
-    wanted = restrict_to_ids(history, ids, "entity_id", always=True)
-    return latest_asof(wanted, as_of, version).select("entity_id", *FEATURES)
+    wanted = ids.select(F.col(ids.columns[0]).alias("entity_id"))
+    (found,) = restrict_to_ids(wanted, "entity_id", history)
+    newest = latest_asof(found, as_of, version).select("entity_id", *FEATURES)
+    return newest.join(wanted, "entity_id", "left_semi")
 
 
 def pit_join(
@@ -51,13 +54,12 @@ def pit_join(
     ).select("entity_id", "event_time", *columns)
     busy, slots = _busy_entities(labels, history, busy_rows)
     if busy is None:
-        return _by_window(labels, history, columns, F.lit(0))
+        return _by_window(labels, history, columns)
 
     calm = _by_window(
         labels.join(F.broadcast(busy), "entity_id", "left_anti"),
         history.join(F.broadcast(busy), "entity_id", "left_anti"),
         columns,
-        F.lit(0),
     )
     # Copies of a busy label collapse here; the join back is by (entity, time), unique on the
     # matched side, and Spark splits its skewed partitions on the label side.
@@ -121,7 +123,7 @@ def _label_rows(df: DataFrame, labels: DataFrame, columns: list[str]) -> DataFra
     )
 
 
-def _by_window(labels: DataFrame, history: DataFrame, columns: list[str], slot: Column) -> DataFrame:
+def _by_window(labels: DataFrame, history: DataFrame, columns: list[str]) -> DataFrame:
     # The struct keeps a matched row with a NULL feature from being skipped; history sorts
     # before labels of the same time, as a label sees the snapshot of its own moment.
     rows = _side_by_side(labels, history, columns)
@@ -135,13 +137,16 @@ def _by_window(labels: DataFrame, history: DataFrame, columns: list[str], slot:
 def _by_slots(labels: DataFrame, history: DataFrame, columns: list[str], cuts: list[int]) -> DataFrame:
     """As `_by_window`, but per entity and time slot, with the last row of earlier slots carried
     in. The carried table has at most one row per busy entity and slot."""
-    slot = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col("_micros"))) if cuts else F.lit(0)
-    rows = (
-        _side_by_side(labels, history, columns)
-        .withColumn("_micros", epoch_micros("at"))
-        .withColumn("slot", slot)
-        .drop("_micros")
-    )
+    rows = _side_by_side(labels, history, columns)
+    if cuts:
+        micros = rows.withColumn("_micros", epoch_micros("at").cast("double"))
+        slots = Bucketizer(
+            splits=[float("-inf"), *map(float, cuts), float("inf")], inputCol="_micros", outputCol="slot",
+            handleInvalid="keep",
+        )
+        rows = slots.transform(micros).drop("_micros")
+    else:
+        rows = rows.withColumn("slot", F.lit(0.0))
     ends = (
         rows.groupBy("entity_id", "slot")
         .agg(F.max_by("known", F.when(F.col("side") == 0, F.col("at"))).alias("end"))

@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import guarded_ratio, guarded_ratio_sql, missing, missing_sql, moment, per_feature
+from tidemark.functions.columns import guarded_ratio_sql, missing_sql, moment, per_feature
 from tidemark.operators.running import running_totals
 from tidemark.schemas import FEATURES, KS_THRESHOLD, VERSION
 
@@ -40,61 +40,82 @@ def null_rate(rows: DataFrame) -> DataFrame:
     return per_feature(counts, FEATURES, columns, "n AS sample_count")
 
 
-def value_counts(long: DataFrame, *measures: Column) -> DataFrame:
-    """Distinct values per feature with their number of rows; merges copies before any sort."""
-    return long.groupBy("feature_name", "value").agg(*(measures or (F.count(F.lit(1)).alias("n"),)))
+def _ranked(sides: dict[str, DataFrame], chunks: int | None = None) -> DataFrame:
+    """Distinct values per feature over all sides, ranked within each side.
 
-
-def feature_stats(rows: DataFrame, chunks: int | None = None) -> DataFrame:
-    """Mean, population deviation, exact interpolated quantiles, share of missing values and
-    number of rows per feature. A feature without any value is left out.
-
-    Everything follows from the distinct values and their counts, whose running totals give
-    each value its range of ranks; no feature's values are gathered in one place.
+    `sides` maps a suffix to (feature_name, value) rows. Per suffix s the result has n_s, the
+    rows with the value (0 if there is none), upto_s, the ranks used up to it, and the group
+    sums upto_s_all (values), rows_s (rows), sum_s (of the values) and valid_s (values that are
+    numbers). Copies of a value merge before the shuffle, however common it is.
     """
-    counts = value_counts(long_form(rows))
-    present = F.when(F.col("value").isNotNull(), F.col("n")).otherwise(F.lit(0))
-    ranked = running_totals(
-        counts.withColumn("n_value", present).withColumn("weighted", F.col("value") * F.col("n")),
+    flags = {s: [f"{int(s == other)} AS is_{other}" for other in sides] for s in sides}
+    long = None
+    for s, rows in sides.items():
+        side = rows.selectExpr("feature_name", "value", *flags[s])
+        long = side if long is None else long.unionByName(side)
+    counts = long.groupBy("feature_name", "value").agg(*[F.sum(f"is_{s}").alias(f"all_{s}") for s in sides])
+    measures = {}
+    for s in sides:
+        measures[f"n_{s}"] = f"CASE WHEN value IS NULL THEN 0L ELSE all_{s} END"
+        measures[f"weighted_{s}"] = f"CASE WHEN all_{s} > 0 THEN value * all_{s} END"
+        measures[f"number_{s}"] = f"CASE WHEN {missing_sql('value')} THEN 0L ELSE all_{s} END"
+    whole = {}
+    for s in sides:
+        whole |= {f"all_{s}": f"rows_{s}", f"weighted_{s}": f"sum_{s}", f"number_{s}": f"valid_{s}"}
+    return running_totals(
+        counts.withColumns({name: F.expr(text) for name, text in measures.items()}),
         ["feature_name"],
         ["value"],
-        {"n_value": "upto", "n": "seen", "weighted": "sum"},
+        {f"n_{s}": f"upto_{s}" for s in sides},
+        whole,
         chunks,
     )
-    value, n = F.col("value"), F.col("n_value")
-    first, total = F.col("upto") - n, F.col("upto_all")
-    mean = F.col("sum_all") / total
 
-    def at_rank(rank: Column) -> Column:
-        inside = (n > 0) & (first <= rank) & (rank < F.col("upto"))
-        return F.max(F.when(inside, value))
 
-    spots = []
+def _stats_columns(s: str) -> dict[str, str]:
+    """Aggregates of ranked values that give the statistics of side `s` in `_stats_of`."""
+    mean = f"(sum_{s} / upto_{s}_all)"
+    columns = {
+        f"mean_{s}": f"max({mean})",
+        f"std_{s}": f"sqrt(sum((value - {mean}) * (value - {mean}) * n_{s}) / max(upto_{s}_all))",
+        f"present_{s}": f"max(upto_{s}_all)",
+        f"sample_count_{s}": f"max(rows_{s})",
+        f"missing_{s}": f"max(rows_{s} - valid_{s})",
+    }
     for name, q in QUANTILES.items():
-        position = (total - 1) * F.lit(q)
-        spots += [at_rank(F.floor(position)).alias(f"{name}_low"), at_rank(F.ceil(position)).alias(f"{name}_high")]
-    stats = ranked.where("upto_all > 0").groupBy("feature_name").agg(
-        F.max(mean).alias("mean"),
-        F.sqrt(F.sum((value - mean) * (value - mean) * n) / F.max(total)).alias("std"),
-        F.max(total).alias("n_present"),
-        F.max("seen_all").alias("sample_count"),
-        F.sum(F.when(missing("value"), F.col("n")).otherwise(0)).alias("n_missing"),
-        *spots,
-    )
+        for end, edge in (("low", "floor"), ("high", "ceil")):
+            rank = f"{edge}((upto_{s}_all - 1) * {q}D)"
+            inside = f"n_{s} > 0 AND upto_{s} - n_{s} <= {rank} AND {rank} < upto_{s}"
+            columns[f"{name}_{end}_{s}"] = f"max(CASE WHEN {inside} THEN value END)"
+    return columns
 
-    def between(name: str, q: float) -> Column:
-        position = (F.col("n_present") - 1) * F.lit(q)
-        low, high = F.col(f"{name}_low"), F.col(f"{name}_high")
-        return (low + (high - low) * (position - F.floor(position))).alias(name)
 
-    return stats.select(
-        "feature_name",
-        "mean",
-        "std",
-        *[between(name, q) for name, q in QUANTILES.items()],
-        guarded_ratio("n_missing", "sample_count").alias("null_rate"),
-        "sample_count",
-    )
+def _stats_of(s: str) -> dict[str, str]:
+    """Statistics from the aggregates of `_stats_columns`; quantiles lie between two ranks."""
+    stats = {"mean": f"mean_{s}", "std": f"std_{s}"}
+    for name, q in QUANTILES.items():
+        position = f"(present_{s} - 1) * {q}D"
+        low, high = f"{name}_low_{s}", f"{name}_high_{s}"
+        stats[name] = f"{low} + ({high} - {low}) * ({position} - floor({position}))"
+    stats["null_rate"] = guarded_ratio_sql(f"missing_{s}", f"sample_count_{s}")
+    stats["sample_count"] = f"sample_count_{s}"
+    return stats
+
+
+def _aggregate(ranked: DataFrame, columns: dict[str, str]) -> DataFrame:
+    return ranked.groupBy("feature_name").agg(*[F.expr(text).alias(name) for name, text in columns.items()])
+
+
+def feature_stats(rows: DataFrame, chunks: int | None = None) -> DataFrame:
+    """Mean, population deviation, exact interpolated quantiles, share of missing values and
+    number of rows per feature. A feature without any value is left out.
+
+    Everything follows from the distinct values and their counts, whose running totals give
+    each value its range of ranks; no feature's values are gathered in one place.
+    """
+    ranked = _ranked({"a": long_form(rows)}, chunks).where("upto_a_all > 0")
+    columns = [f"{text} AS {name}" for name, text in _stats_of("a").items()]
+    return _aggregate(ranked, _stats_columns("a")).selectExpr("feature_name", *columns)
 
 
 def skew_snapshot(
@@ -118,25 +139,38 @@ def latest_snapshot(snapshots: DataFrame, context: str, version: str = VERSION)
     return known.withColumn("_rank", F.row_number().over(last)).where(F.col("_rank") == 1).drop("_rank")
 
 
+def _summary_columns(training: dict[str, str], serving: dict[str, str]) -> dict[str, str]:
+    shift = f"abs({training['mean']} - {serving['mean']}) / greatest({training['std']}, {SMALLEST_STD}D)"
+    columns = {}
+    for name, side in (("training", training), ("serving", serving)):
+        columns |= {f"{name}_{c}": f"round({side[c]}, 4)" for c in ("mean", "std", "p50")}
+    columns["mean_shift"] = f"round({shift}, 4)"
+    columns["training_sample_count"] = training["sample_count"]
+    columns["serving_sample_count"] = serving["sample_count"]
+    return columns
+
+
 def skew_summary(training: DataFrame, serving: DataFrame) -> DataFrame:
     """Both sides' statistics per feature and the shift of the mean in training deviations.
 
-    A feature missing on either side is left out. Both inputs have one row per feature.
+    Takes statistics, perhaps from the snapshot log, with one row per feature. A feature missing
+    on either side is left out.
     """
-    tr = training.select("feature_name", *[F.col(c).alias(f"tr_{c}") for c in ("mean", "std", "p50", "sample_count")])
-    sv = serving.select("feature_name", *[F.col(c).alias(f"sv_{c}") for c in ("mean", "std", "p50", "sample_count")])
-    shift = F.abs(F.col("tr_mean") - F.col("sv_mean")) / F.greatest("tr_std", F.lit(SMALLEST_STD))
-    return tr.join(sv, "feature_name").select(
-        "feature_name",
-        *[
-            F.round(f"{side}_{c}", 4).alias(f"{name}_{c}")
-            for side, name in (("tr", "training"), ("sv", "serving"))
-            for c in ("mean", "std", "p50")
-        ],
-        F.round(shift, 4).alias("mean_shift"),
-        F.col("tr_sample_count").alias("training_sample_count"),
-        F.col("sv_sample_count").alias("serving_sample_count"),
+    names = ("mean", "std", "p50", "sample_count")
+    both = training.selectExpr("feature_name", *[f"{c} AS tr_{c}" for c in names]).join(
+        serving.selectExpr("feature_name", *[f"{c} AS sv_{c}" for c in names]), "feature_name"
     )
+    columns = _summary_columns({c: f"tr_{c}" for c in names}, {c: f"sv_{c}" for c in names})
+    return both.selectExpr("feature_name", *[f"{text} AS {name}" for name, text in columns.items()])
+
+
+def _ks_columns() -> dict[str, str]:
+    gap = "abs(upto_a / valid_a - upto_b / valid_b)"
+    return {
+        "ks_statistic": f"max(CASE WHEN NOT {missing_sql('value')} THEN {gap} END)",
+        "n_training": "max(valid_a)",
+        "n_serving": "max(valid_b)",
+    }
 
 
 def ks_statistic(training: DataFrame, serving: DataFrame, chunks: int | None = None) -> DataFrame:
@@ -144,23 +178,8 @@ def ks_statistic(training: DataFrame, serving: DataFrame, chunks: int | None = N
 
     Missing values take no part; a feature without values on one side is left out.
     """
-    sides = training.select("feature_name", "value", F.lit(1).alias("a"), F.lit(0).alias("b")).unionByName(
-        serving.select("feature_name", "value", F.lit(0).alias("a"), F.lit(1).alias("b"))
-    )
-    counts = value_counts(
-        sides.where(~missing("value")), F.sum("a").alias("n_a"), F.sum("b").alias("n_b")
-    )
-    totals = running_totals(counts, ["feature_name"], ["value"], {"n_a": "upto_a", "n_b": "upto_b"}, chunks)
-    gap = F.abs(F.col("upto_a") / F.col("upto_a_all") - F.col("upto_b") / F.col("upto_b_all"))
-    return (
-        totals.where("upto_a_all > 0 AND upto_b_all > 0")
-        .groupBy("feature_name")
-        .agg(
-            F.max(gap).alias("ks_statistic"),
-            F.max("upto_a_all").alias("n_training"),
-            F.max("upto_b_all").alias("n_serving"),
-        )
-    )
+    ranked = _ranked({"a": training, "b": serving}, chunks).where("valid_a > 0 AND valid_b > 0")
+    return _aggregate(ranked, _ks_columns())
 
 
 def ks_pvalue(statistic: Column, n_training: Column, n_serving: Column) -> Column:
@@ -186,27 +205,29 @@ def ks_test(training: DataFrame, serving: DataFrame) -> DataFrame:
     )
 
 
-def skew_report(
-    training_rows: DataFrame, serving_rows: DataFrame, training_stats: DataFrame | None = None,
-    serving_stats: DataFrame | None = None,
-) -> DataFrame:
+def skew_report(training_rows: DataFrame, serving_rows: DataFrame, chunks: int | None = None) -> DataFrame:
     """Full drift report, flagged features first, then by distance.
 
-    Empty when either window is empty: a feature without serving rows is left out rather than
-    compared with an invented zero.
+    Statistics and test come from one ranking of the values of both windows. The report is empty
+    when either window is: a feature without serving rows is left out rather than compared with
+    an invented zero.
     """
-    summary = skew_summary(
-        feature_stats(training_rows) if training_stats is None else training_stats,
-        feature_stats(serving_rows) if serving_stats is None else serving_stats,
-    )
-    tested = ks_test(long_form(training_rows), long_form(serving_rows)).select(
-        "feature_name", "ks_statistic", "ks_pvalue"
+    ranked = _ranked({"a": long_form(training_rows), "b": long_form(serving_rows)}, chunks)
+    figures = _aggregate(
+        ranked.where("valid_a > 0 AND valid_b > 0"),
+        _stats_columns("a") | _stats_columns("b") | _ks_columns(),
     )
+    p = ks_pvalue(F.col("ks_statistic"), F.col("n_training"), F.col("n_serving"))
+    columns = _summary_columns(_stats_of("a"), _stats_of("b"))
     return (
-        summary.join(tested, "feature_name")
-        .withColumn("flagged", F.col("ks_pvalue") < KS_THRESHOLD)
-        .withColumn("ks_statistic", F.round("ks_statistic", 4))
-        .withColumn("ks_pvalue", F.round("ks_pvalue", 4))
+        figures.withColumn("p", p)
+        .selectExpr(
+            "feature_name",
+            *[f"{text} AS {name}" for name, text in columns.items()],
+            f"p < {KS_THRESHOLD}D AS flagged",
+            "round(ks_statistic, 4) AS ks_statistic",
+            "round(p, 4) AS ks_pvalue",
+        )
         .orderBy(F.desc("flagged"), F.desc("ks_statistic"), "feature_name")
     )
 

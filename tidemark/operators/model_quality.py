@@ -98,7 +98,8 @@ def fit_churn_model(train: DataFrame, label: str = "churned", rounds: int = 20,
     """Boosted trees with balanced class weights on the 13 features."""
     from pyspark.ml.classification import GBTClassifier
 
-    weights = class_weights(train, label).select(label, "weight")
+    # One row per class, so it may be broadcast; a shuffle by class would use two tasks.
+    weights = F.broadcast(class_weights(train, label).select(label, "weight"))
     classifier = GBTClassifier(
         featuresCol="features", labelCol=label, weightCol="weight", maxIter=rounds, maxDepth=depth,
         stepSize=step, subsamplingRate=0.8, seed=SEED,

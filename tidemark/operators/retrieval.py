@@ -13,6 +13,7 @@ from tidemark.operators.features import feature_vector
 from tidemark.operators.sizing import restrict_to_ids
 from tidemark.operators.validation import validate
 from tidemark.schemas import FEATURES, ONLINE_TTL_HOURS, VERSION
+from tidemark.session import stage
 
 
 def on_demand_single(
@@ -34,11 +35,7 @@ def on_demand_batch(
     """
     wanted = ids.select(F.col(ids.columns[0]).alias("user_id")).distinct()
     computed = feature_vector(
-        restrict_to_ids(users, wanted, "user_id"),
-        restrict_to_ids(transactions, wanted, "user_id"),
-        restrict_to_ids(tickets, wanted, "user_id"),
-        as_of,
-        version,
+        *restrict_to_ids(wanted, "user_id", users, transactions, tickets), as_of, version
     )
     known = validate(computed).select("entity_id", *FEATURES, "violations")
     return wanted.withColumnRenamed("user_id", "entity_id").join(known, "entity_id", "left")
@@ -50,9 +47,10 @@ def dual_path_batch(
 ) -> DataFrame:
     """One row per requested id with its `source`: online_store, on_demand, invalid or not_found.
 
-    The features of an invalid row, which breaks a rule, are withheld.
+    The features of an invalid row, which breaks a rule, are withheld. The lookup is staged: its
+    misses restrict three scans and decide how, and should not be looked up again each time.
     """
-    found = online_table.lookup(online, ids, as_of, version, ttl_hours)
+    found = stage(online_table.lookup(online, ids, as_of, version, ttl_hours), "lookup")
     hits = found.where("hit").select("entity_id", F.lit("online_store").alias("source"), *FEATURES)
     misses = found.where(~F.col("hit")).select("entity_id")
     computed = on_demand_batch(users, transactions, tickets, misses, as_of, version).selectExpr(

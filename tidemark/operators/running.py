@@ -14,34 +14,40 @@ from tidemark.session import stage
 
 
 def running_totals(
-    df: DataFrame, groups: list[str], order: list[str], totals: dict[str, str], chunks: int | None = None
+    df: DataFrame,
+    groups: list[str],
+    order: list[str],
+    running: dict[str, str],
+    whole: dict[str, str] | None = None,
+    chunks: int | None = None,
 ) -> DataFrame:
-    """Add, for each `totals` item measure -> name, the sum of the measure over the rows of the
-    group up to and including the row (`name`) and over the whole group (`name_all`).
+    """Add running sums and group sums of measures, both given as measure -> name of the sum.
+
+    A sum in `running` covers the rows of the group up to and including the row, one in `whole`
+    all rows of the group. Every running sum also gets its group sum as `name_all`.
 
     Rows with equal groups and order must be merged beforehand, or differ in an order column.
     The chunk of a row comes from sampled range bounds, so the chunked rows are staged once:
     a second evaluation could cut them elsewhere. There are at most `chunks` + number of groups
     chunk sums.
     """
-    spark = df.sparkSession
-    chunks = chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    whole = {m: f"{name}_all" for m, name in running.items()} | (whole or {})
+    chunks = chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cut = df.repartitionByRange(chunks, *groups, *order).withColumn("_chunk", F.spark_partition_id())
     cut = stage(cut, "chunks")
 
-    sums = cut.groupBy(*groups, "_chunk").agg(*[F.sum(m).alias(f"_{m}") for m in totals])
+    sums = cut.groupBy(*groups, "_chunk").agg(*[F.sum(m).alias(f"_{m}") for m in whole])
     earlier = Window.partitionBy(*groups).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*groups)
+    everything = Window.partitionBy(*groups)
     starts = sums.select(
         *groups,
         "_chunk",
-        *[F.coalesce(F.sum(f"_{m}").over(earlier), F.lit(0)).alias(f"_start_{m}") for m in totals],
-        *[F.sum(f"_{m}").over(whole).alias(f"{name}_all") for m, name in totals.items()],
+        *[F.coalesce(F.sum(f"_{m}").over(earlier), F.lit(0)).alias(f"_start_{m}") for m in running],
+        *[F.sum(f"_{m}").over(everything).alias(name) for m, name in whole.items()],
     )
     inside = Window.partitionBy(*groups, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    added = cut.join(starts, [*groups, "_chunk"])
-    return added.select(
-        *[F.col(c) for c in df.columns],
-        *[(F.sum(m).over(inside) + F.col(f"_start_{m}")).alias(name) for m, name in totals.items()],
-        *[F.col(f"{name}_all") for name in totals.values()],
+    return cut.join(starts, [*groups, "_chunk"]).select(
+        *df.columns,
+        *[(F.sum(m).over(inside) + F.col(f"_start_{m}")).alias(name) for m, name in running.items()],
+        *whole.values(),
     )

@@ -14,16 +14,14 @@ def is_small(ids: DataFrame, limit: int = SMALL_IDS) -> bool:
     return ids.limit(limit + 1).count() <= limit
 
 
-def restrict_to_ids(
-    facts: DataFrame, ids: DataFrame, key: str, limit: int = SMALL_IDS, always: bool = False
-) -> DataFrame:
-    """Rows of `facts` whose key is among the ids.
+def restrict_to_ids(ids: DataFrame, key: str, *facts: DataFrame) -> list[DataFrame]:
+    """Each of the fact tables with the rows whose key is among the ids, where that saves work.
 
     A short list is broadcast, which drops the other rows before any shuffle. With a long list
-    the facts come back as they are, since summing them per key first and joining afterwards
-    shuffles less; `always` asks for the semi-join even then.
+    the facts come back as they are: summing them per key and joining afterwards shuffles less
+    than a semi-join of unsummed rows.
     """
     wanted = ids.select(F.col(ids.columns[0]).alias(key))
-    if is_small(wanted, limit):
-        return facts.join(F.broadcast(wanted), key, "left_semi")
-    return facts.join(wanted, key, "left_semi") if always else facts
+    if not is_small(wanted):
+        return list(facts)
+    return [rows.join(F.broadcast(wanted), key, "left_semi") for rows in facts]

@@ -63,16 +63,22 @@ def scan_history(
 
 
 def append_history(
-    path: str, features: DataFrame, computed_at: datetime, since: datetime | None = None, until: datetime | None = None
+    path: str,
+    features: DataFrame,
+    computed_at: datetime,
+    since: datetime | None = None,
+    until: datetime | None = None,
+    unique: bool = False,
 ) -> None:
     """Append rows whose key is not stored yet: the first write of a key stays.
 
     `since` and `until` bound the snapshots in `features`; only stored folders between them are
-    read for the comparison. Rows are gathered by folder before the write, and Spark splits large
-    folders into several files.
+    read for the comparison, which is left out when there are none. `unique` says that no key
+    occurs twice in `features`, and saves the shuffle that makes sure. Rows are gathered by
+    folder before the write, and Spark splits large folders into several files.
     """
     spark = features.sparkSession
-    rows = features.dropDuplicates(HISTORY_KEY).withColumns(
+    fresh = (features if unique else features.dropDuplicates(HISTORY_KEY)).withColumns(
         {"computed_at": moment(computed_at), "snapshot_id": snapshot_id("event_time")}
     )
     stored = read(spark, path, FEATURE_HISTORY)
@@ -80,7 +86,8 @@ def append_history(
         stored = stored.where(F.col("snapshot_id") >= snapshot_name(since))
     if until is not None:
         stored = stored.where(F.col("snapshot_id") <= snapshot_name(until))
-    fresh = rows.join(stored.select(*HISTORY_KEY), HISTORY_KEY, "left_anti")
+    if not stored.isEmpty():
+        fresh = fresh.join(stored.select(*HISTORY_KEY), HISTORY_KEY, "left_anti")
     columns = ["entity_id", "entity_type", "event_time", *FEATURES, "computed_at", *HISTORY_FOLDERS]
     (
         fresh.select(*columns)

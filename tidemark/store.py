@@ -47,7 +47,9 @@ class FeatureStore:
         return f"{self.root}/{name}"
 
     def _raw(self) -> tuple[DataFrame, DataFrame, DataFrame]:
-        return tables.raw_tables(self.spark, self.root)
+        """The raw tables, with one row per user: no key keeps copies out of the users table."""
+        users, transactions, tickets = tables.raw_tables(self.spark, self.root)
+        return users.dropDuplicates(["user_id"]), transactions, tickets
 
     def _online(self) -> DataFrame:
         return tables.read_online(self.spark, self.path("online_features"))
@@ -65,7 +67,7 @@ class FeatureStore:
     def compute_features(self, snapshot: datetime) -> DataFrame:
         """Store one snapshot; gives the number of rows stored for it."""
         features = feature_vector(*self._raw(), snapshot, self.version)
-        tables.append_history(self.path("feature_history"), features, snapshot, snapshot, snapshot)
+        tables.append_history(self.path("feature_history"), features, snapshot, snapshot, snapshot, unique=True)
         return tables.snapshot_row_count(self.table("feature_history"), snapshot, self.version)
 
     def run_backfill(self, now: datetime, days: int = 90, interval_hours: int = 24, dry_run: bool = False) -> DataFrame:
@@ -79,7 +81,10 @@ class FeatureStore:
         spine = backfill.spine_from(anchor, "now", days, interval_hours)
         # One row per snapshot of the grid; kept apart from the history that is about to change.
         expected = self._raw()[0].count()
-        states = backfill.backfill_plan(spine, self.table("feature_history"), self.version, expected).collect()
+        stored = tables.scan_history(
+            self.table("feature_history"), self.version, backfill.spine_start(now, days, interval_hours), now
+        )
+        states = backfill.backfill_plan(spine, stored, self.version, expected).collect()
         plan = self.spark.createDataFrame(states, "event_time timestamp_ntz, stored_rows bigint, state string")
         missing = [s["event_time"] for s in states if s["state"] != "stored"]
         if dry_run or not missing:
@@ -90,7 +95,7 @@ class FeatureStore:
         features = backfill.history_on_grid(*self._raw(), first, steps, interval_hours, self.version)
         try:
             fresh = features.join(F.broadcast(pending), "event_time", "left_semi")
-            tables.append_history(self.path("feature_history"), fresh, now, first, max(missing))
+            tables.append_history(self.path("feature_history"), fresh, now, first, max(missing), unique=True)
         except Exception as error:
             failed = pending.withColumns({"processed": F.lit(0), "entities_failed": F.lit(1)})
             self._log(failed, "failed", started, str(error))
