@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import epoch_micros, moment
-from tidemark.operators.sizing import restrict_to_ids
+from tidemark.operators.sizing import SMALL_IDS, restrict_to_ids
 from tidemark.schemas import FEATURES, VERSION
 
 
@@ -44,18 +44,28 @@ def pit_join(
     Labels without an earlier history row are kept with NULLs. `columns` are taken from the
     history (the features by default) and `feature_time` tells when the matched row was made.
 
-    One shuffle by entity and one sort serve the join. Entities with more than `busy_rows` rows
-    on both sides together (by default a quarter of an average shuffle partition's share, at
-    least 100,000) are cut into time slots as well, so that no entity has to fit into one task.
+    Only history that a label can see takes part: rows up to the newest label time, and, where
+    the labels name few entities, rows of those entities. One shuffle by entity and one sort then
+    serve the join. Entities with more than `busy_rows` rows on both sides together (by default a
+    quarter of an average shuffle partition's share, at least 100,000) are cut into time slots as
+    well, so that no entity has to fit into one task.
+
+    The labels are read a few times; stage them first if they are costly to compute.
     """
     columns = columns or FEATURES
     history = history.where(
         (F.col("feature_version") == version) & F.col("entity_id").isNotNull() & F.col("event_time").isNotNull()
     ).select("entity_id", "event_time", *columns)
-    busy, slots = _busy_entities(labels, history, busy_rows)
+    asked = labels.groupBy("entity_id").agg(F.count(F.lit(1)).alias("n"), F.max("label_time").alias("newest"))
+    n_entities, newest = asked.agg(F.count(F.lit(1)), F.max("newest")).first()
+    if newest is not None:
+        history = history.where(F.col("event_time") <= moment(newest))
+    if n_entities <= SMALL_IDS:
+        history = history.join(F.broadcast(asked.select("entity_id")), "entity_id", "left_semi")
+
+    busy, cuts = _busy_entities(labels, asked, history, busy_rows)
     if busy is None:
         return _by_window(labels, history, columns)
-
     calm = _by_window(
         labels.join(F.broadcast(busy), "entity_id", "left_anti"),
         history.join(F.broadcast(busy), "entity_id", "left_anti"),
@@ -65,31 +75,31 @@ def pit_join(
     # matched side, and Spark splits its skewed partitions on the label side.
     busy_labels = labels.join(F.broadcast(busy), "entity_id", "left_semi")
     times = busy_labels.select("entity_id", "label_time").distinct()
-    matched = _by_slots(times, history.join(F.broadcast(busy), "entity_id", "left_semi"), columns, slots)
+    matched = _by_slots(times, history.join(F.broadcast(busy), "entity_id", "left_semi"), columns, cuts)
     matched = matched.withColumnsRenamed({"entity_id": "_id", "label_time": "_time"})
     same = F.col("entity_id").eqNullSafe(F.col("_id")) & F.col("label_time").eqNullSafe(F.col("_time"))
     return calm.unionByName(busy_labels.join(matched, same, "left").drop("_id", "_time"))
 
 
-def _busy_entities(labels: DataFrame, history: DataFrame, busy_rows: int | None):
+def _busy_entities(labels: DataFrame, asked: DataFrame, history: DataFrame, busy_rows: int | None):
     """Entities too large for one task, and times that cut their rows into even slots.
 
     Both are bounded: at most rows / busy_rows entities and as many cuts.
     """
     spark = labels.sparkSession
-    keys = labels.select("entity_id").union(history.select("entity_id"))
-    per_entity = keys.groupBy("entity_id").count()
+    known = history.groupBy("entity_id").agg(F.count(F.lit(1)).alias("n"))
+    per_entity = asked.select("entity_id", "n").union(known).groupBy("entity_id").agg(F.sum("n").alias("n"))
+    total, largest = per_entity.agg(F.sum("n"), F.max("n")).first()
     if busy_rows is None:
-        total, largest = per_entity.agg(F.sum("count"), F.max("count")).first()
         partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
         busy_rows = max(100_000, (total or 0) // (4 * partitions))
-        if (largest or 0) <= busy_rows:
-            return None, None
-    found = per_entity.where((F.col("count") > busy_rows) & F.col("entity_id").isNotNull()).collect()
+    if (largest or 0) <= busy_rows:
+        return None, None
+    found = per_entity.where((F.col("n") > busy_rows) & F.col("entity_id").isNotNull()).collect()
     if not found:
         return None, None
     busy = spark.createDataFrame([(r["entity_id"],) for r in found], "entity_id bigint")
-    pieces = sum(r["count"] for r in found) // busy_rows + 1
+    pieces = sum(r["n"] for r in found) // busy_rows + 1
     times = (
         labels.select("entity_id", F.col("label_time").alias("event_time"))
         .union(history.select("entity_id", "event_time"))
@@ -97,7 +107,7 @@ def _busy_entities(labels: DataFrame, history: DataFrame, busy_rows: int | None)
         .select(epoch_micros("event_time").alias("at"))
     )
     shares = [i / pieces for i in range(1, pieces)]
-    cuts = times.agg(F.percentile_approx("at", shares, 10 * pieces)).first()[0] if shares else []
+    cuts = times.agg(F.percentile_approx("at", shares, 10 * pieces)).first()[0]
     return busy, sorted(set(cuts or []))
 
 

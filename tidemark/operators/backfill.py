@@ -155,20 +155,22 @@ def history_on_grid(
         {},
         first, now, step, last,
     )
-    subjects = users.selectExpr("user_id", "signup_date", "plan_type", "true AS is_user")
-    together = (
-        subjects.unionByName(from_transactions, allowMissingColumns=True)
-        .unionByName(from_tickets, allowMissingColumns=True)
+    changes = (
+        from_transactions.unionByName(from_tickets, allowMissingColumns=True)
         .repartition(partitions, "user_id")
+        .groupBy("user_id", "idx")
+        .agg(*[F.sum(c).alias(c) for c in SUMS], F.max("last_ok").alias("last_ok"))
     )
-    spread = together.withColumn(
-        "idx", F.expr(f"explode(CASE WHEN is_user THEN sequence(0, {last}) ELSE array(idx) END)")
+    times = f"sequence({moment_sql(first)}, {moment_sql(now)}, INTERVAL '{interval_hours}' HOUR)"
+    subjects = (
+        users.select("user_id", "signup_date", "plan_type")
+        .repartition(partitions, "user_id")
+        .selectExpr("*", f"posexplode({times}) AS (idx, snapshot)")
     )
     so_far = Window.partitionBy("user_id").orderBy("idx").rangeBetween(Window.unboundedPreceding, 0)
-    running = spread.select(
-        "user_id", "signup_date", "plan_type", "is_user", "idx",
+    running = subjects.unionByName(changes, allowMissingColumns=True).select(
+        "user_id", "signup_date", "plan_type", "snapshot",
         *[F.sum(c).over(so_far).alias(c) for c in SUMS],
         F.max("last_ok").over(so_far).alias("last_ok"),
-    ).where("is_user")
-    snapshot = f"({moment_sql(first)} + make_dt_interval(0, idx * {interval_hours}))"
-    return from_measures(running, snapshot, version)
+    ).where("snapshot IS NOT NULL")
+    return from_measures(running, "snapshot", version)

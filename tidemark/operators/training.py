@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import in_window, moment_sql, per_feature
 from tidemark.operators.asof import latest_asof, pit_join
 from tidemark.operators.features import SUCCESS
+from tidemark.operators.sizing import restrict_to_ids
 from tidemark.schemas import FEATURES, VERSION
 
 
@@ -63,12 +64,17 @@ def pit_training_set(labels: DataFrame, history: DataFrame, version: str = VERSI
     return fill_missing(pit_join(labels, history, version))
 
 
+def _newest(labels: DataFrame, history: DataFrame, as_of: datetime, version: str) -> DataFrame:
+    (found,) = restrict_to_ids(labels.select("entity_id").distinct(), "entity_id", history)
+    return latest_asof(found, as_of, version)
+
+
 def naive_training_set(
     labels: DataFrame, history: DataFrame, as_of: datetime, version: str = VERSION
 ) -> DataFrame:
     """Labels with the newest features at `as_of`, which may lie after the label: the mistake
     that `leakage_audit` measures. Labels without any history drop out."""
-    newest = latest_asof(history, as_of, version).select(
+    newest = _newest(labels, history, as_of, version).select(
         "entity_id", F.col("event_time").alias("feature_time"), *FEATURES
     )
     return fill_missing(labels.join(newest, "entity_id"))
@@ -81,7 +87,7 @@ def leakage_audit(
 
     One latest-row lookup per entity is joined to the point-in-time set; labels are read once.
     """
-    newest = latest_asof(history, as_of, version).selectExpr(
+    newest = _newest(labels, history, as_of, version).selectExpr(
         "entity_id", "event_time AS naive_time", *[f"coalesce({c}, 0D) AS naive_{c}" for c in FEATURES]
     )
     both = pit_training_set(labels, history, version).join(newest, "entity_id")

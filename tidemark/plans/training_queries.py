@@ -25,15 +25,15 @@ def label_rate(spark, folder):
 
 
 def pit_training_set(spark, folder):
-    return training.pit_training_set(fx.churn(spark, folder), fx.quarters(spark, folder))
+    return training.pit_training_set(fx.churn(spark, folder), fx.stored_quarters(spark, folder))
 
 
 def naive_training_set(spark, folder):
-    return training.naive_training_set(fx.churn(spark, folder), fx.quarters(spark, folder), AS_OF)
+    return training.naive_training_set(fx.churn(spark, folder), fx.stored_quarters(spark, folder), AS_OF)
 
 
 def leakage_audit(spark, folder):
-    return training.leakage_audit(fx.ticket_labels(spark, folder), fx.quarters(spark, folder), AS_OF)
+    return training.leakage_audit(fx.ticket_labels(spark, folder), fx.stored_quarters(spark, folder), AS_OF)
 
 
 def stratified_split(spark, folder):
