@@ -13,7 +13,6 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
