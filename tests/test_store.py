@@ -4,7 +4,10 @@ from conftest import NOW
 
 from pyspark.sql import functions as F
 
+from tidemark.operators.asof import latest_asof
+from tidemark.schemas import FEATURE_HISTORY
 from tidemark.session import new_path
+from tidemark.sources import tables
 from tidemark.store import FeatureStore
 
 DAY = timedelta(days=1)
@@ -80,3 +83,18 @@ def test_a_late_user_is_added_to_stored_snapshots(spark, make_raw):
     assert {r.state for r in store.run_backfill(NOW, days=1).collect()} == {"partial"}
     rows = store.table("feature_history").select("entity_id", "plan_encoded").distinct().collect()
     assert {(r.entity_id, r.plan_encoded) for r in rows} == {(1, 2.0), (2, 0.0)}
+
+
+def test_only_snapshots_that_are_someones_newest_are_read(spark, make_history):
+    times = [NOW - i * DAY for i in range(4)]
+    history = make_history([(1, times[0], {}), (1, times[1], {}), (2, times[1], {}), (2, times[2], {}), (3, times[3], {})])
+    path = new_path(spark, "history")
+    tables.append_history(path, history, NOW)
+    stored = tables.read(spark, path, FEATURE_HISTORY)
+    for at, expected in ((NOW, {times[0], times[1], times[3]}), (times[1], {times[1], times[3]})):
+        kept = tables.only_latest_snapshots(stored, at)
+        assert {r.event_time for r in kept.collect()} == expected
+        assert latest_asof(kept, at).exceptAll(latest_asof(stored, at)).isEmpty()
+        assert latest_asof(kept, at).count() == 3
+    assert tables.only_latest_snapshots(stored, NOW, limit=2).count() == 5
+    assert tables.only_latest_snapshots(stored, NOW - 9 * DAY).isEmpty()

@@ -12,6 +12,7 @@ from tidemark.operators.features import CENTS, FAILED, SUCCESS, SUMS, from_measu
 from tidemark.schemas import VERSION, WINDOW_DAYS
 
 HOUR_MICROS = 3_600_000_000
+ROWS_PER_TASK = 1_000_000
 
 
 def _steps(days: int, interval_hours: int) -> int:
@@ -111,6 +112,18 @@ def backfill_history(
     return history_on_grid(users, transactions, tickets, first, last, interval_hours, version, partitions)
 
 
+def _partitions(users: DataFrame, snapshots: int) -> int:
+    """About ROWS_PER_TASK output rows for each task, but no core left idle.
+
+    Without more shuffle partitions than cores, as on one machine, there is nothing to choose.
+    """
+    spark = users.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if int(spark.conf.get("spark.sql.shuffle.partitions")) <= cores:
+        return cores
+    return max(cores, users.count() * snapshots // ROWS_PER_TASK + 1)
+
+
 def history_on_grid(
     users: DataFrame,
     transactions: DataFrame,
@@ -128,10 +141,10 @@ def history_on_grid(
     snapshots it counts for. The snapshot rows are made after the shuffle, from one row per
     user. A user's group holds at most a few rows per grid position, whatever their activity.
 
-    The shuffle gets a fixed number of partitions (`spark.sql.shuffle.partitions` unless given):
+    The shuffle gets a fixed number of partitions, by default from the number of rows to come:
     its rows multiply afterwards, so their size before must not decide how many tasks share them.
     """
-    partitions = partitions or int(users.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partitions = partitions or _partitions(users, last + 1)
     step = interval_hours * HOUR_MICROS
     now = first + timedelta(hours=interval_hours * last)
     month = {"n_failed_30": "failed", "n_all_30": "every"}

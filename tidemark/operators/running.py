@@ -28,13 +28,14 @@ def running_totals(
 
     Rows with equal groups and order must be merged beforehand, or differ in an order column.
     The chunk of a row comes from sampled range bounds, so the chunked rows are staged once:
-    a second evaluation could cut them elsewhere. There are at most `chunks` + number of groups
-    chunk sums.
+    a second evaluation could cut them elsewhere. There are at most as many chunk sums as chunks
+    and groups together. Without `chunks` Spark takes its number of shuffle partitions and merges
+    neighbours that are small.
     """
     whole = {m: f"{name}_all" for m, name in running.items()} | (whole or {})
-    chunks = chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cut = df.repartitionByRange(chunks, *groups, *order).withColumn("_chunk", F.spark_partition_id())
-    cut = stage(cut, "chunks")
+    keys = [*groups, *order]
+    ordered = df.repartitionByRange(chunks, *keys) if chunks else df.repartitionByRange(*keys)
+    cut = stage(ordered.withColumn("_chunk", F.spark_partition_id()), "chunks")
 
     sums = cut.groupBy(*groups, "_chunk").agg(*[F.sum(m).alias(f"_{m}") for m in whole])
     earlier = Window.partitionBy(*groups).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)

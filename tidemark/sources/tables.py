@@ -62,6 +62,21 @@ def scan_history(
     return found
 
 
+def only_latest_snapshots(history: DataFrame, as_of: datetime, version: str = VERSION, limit: int = 1000) -> DataFrame:
+    """Stored history without the snapshots that are nobody's newest one at `as_of`.
+
+    Finding them reads two columns; the wide rows are then read from the few folders that count.
+    With more than `limit` such snapshots the history stays as it is.
+    """
+    known = history.where((F.col("feature_version") == version) & (F.col("event_time") <= moment(as_of)))
+    newest = known.groupBy("entity_id").agg(F.max("event_time").alias("event_time"))
+    times = [r["event_time"] for r in newest.select("event_time").distinct().limit(limit + 1).collect()]
+    if len(times) > limit:
+        return history
+    folders = sorted({snapshot_name(t) for t in times})
+    return history.where(F.col("snapshot_id").isin(folders) & F.col("event_time").isin([moment(t) for t in times]))
+
+
 def append_history(
     path: str,
     features: DataFrame,

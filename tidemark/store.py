@@ -135,7 +135,8 @@ class FeatureStore:
         """Newest rows into the online table; rows that break a rule go to `quarantine` instead."""
         started, run_id = _clock(), uuid.uuid4().hex[:12]
         checked_path = f"{self.path('checked_features')}/{run_id}"
-        online.materialize_rows(self.table("feature_history"), as_of, self.version).write.parquet(checked_path)
+        history = tables.only_latest_snapshots(self.table("feature_history"), as_of, self.version)
+        online.materialize_rows(history, as_of, self.version).write.parquet(checked_path)
         checked = self.spark.read.parquet(checked_path)
         good = online.as_online(checked.where(F.size("violations") == 0), as_of)
         tables.append(self.path("quarantine"), checked.where(F.size("violations") > 0))
