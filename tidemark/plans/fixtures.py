@@ -12,7 +12,6 @@ from tidemark.operators.backfill import backfill_history
 from tidemark.operators.features import feature_vector
 from tidemark.plans import sql
 from tidemark.schemas import FEATURES
-from tidemark.session import stage
 from tidemark.sources import mapping
 
 SNAPSHOT = datetime(1998, 6, 1)
@@ -38,11 +37,6 @@ def quarters(spark: SparkSession, folder: str) -> DataFrame:
     return history(spark, folder, QUARTERS)
 
 
-def stored_quarters(spark: SparkSession, folder: str) -> DataFrame:
-    """The quarters as a stored table, for queries that read history more than once."""
-    return stage(quarters(spark, folder), "quarters")
-
-
 def ticket_labels(spark: SparkSession, folder: str) -> DataFrame:
     """Each support ticket asks for its user's features at the time it was opened."""
     return mapping.tickets(spark, folder).select(
