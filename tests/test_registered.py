@@ -6,13 +6,14 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from tidemark.plans import registered
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
     "conversations"
 ).split()
-QUERIES, ORACLES = entry_points.queries(), entry_points.oracle_sql()
+QUERIES, ORACLES = registered.QUERIES, registered.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -32,6 +33,7 @@ def _sorted_rows(rows, columns):
 def test_every_sql_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
     assert set(QUERIES) - set(ORACLES) == {"churn_model_scores"}
+    assert set(QUERIES) <= set(entry_points.queries()) and set(ORACLES) <= set(entry_points.oracle_sql())
 
 
 @pytest.mark.parametrize("key", sorted(ORACLES))
