@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import mixing, secrets, sentence_pieces
+from tidemark.llm import mixing, secret_scan, sentence_pieces
 from tidemark.llm.common import read, ship
 from tidemark.session import stage
 

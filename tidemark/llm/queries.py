@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import mixing, secrets, sentence_pieces, token_counts, token_files
+from tidemark.llm import minhash, mixing, secret_scan, sentence_pieces, token_counts, token_files
 from tidemark.llm.common import read
 from tidemark.session import new_path
 
@@ -36,11 +36,17 @@ def op6_sentence_pieces(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
-    return secrets.scan(read(spark, folder, "documents"))
+    return secret_scan.scan(read(spark, folder, "documents"))
+
+
+def op8_minhash_groups(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.groups(read(spark, folder, "documents"), n=3, threshold=85)
 
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_source_mix, op4_token_counts, op5_token_files, op6_sentence_pieces, op7_secret_scan)
+    for f in (
+        op2_source_mix, op4_token_counts, op5_token_files, op6_sentence_pieces, op7_secret_scan, op8_minhash_groups,
+    )
 }
 ORACLES: dict[str, str] = {}
