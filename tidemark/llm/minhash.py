@@ -228,8 +228,9 @@ def _links(docs: DataFrame, clusters: DataFrame, n: int, threshold: int) -> Data
                 ["cluster", "node", "n", "shingles"],
             )
 
+    # the same plan at every size: texts are dealt by id, and each task keeps the ids of its members
     members = clusters.select(F.col("component_id").alias("cluster"), "node")
-    texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(members, "node")
+    texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(members.hint("shuffle_hash"), "node")
     sized = stage(texts.select("cluster", "node", "text").mapInArrow(sets, "cluster long, node long, n long, shingles binary"), "sets")
     blocks = sized.groupBy("cluster").agg(
         F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("_blocks")

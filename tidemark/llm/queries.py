@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import minhash, mixing, secret_scan, sentence_pieces, token_counts, token_files
+from tidemark.llm import (
+    minhash, mixing, permutation_index, secret_scan, sentence_pieces, token_counts, token_files, vector_dedup,
+)
 from tidemark.llm.common import read
 from tidemark.session import new_path
 
@@ -43,10 +46,19 @@ def op8_minhash_groups(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.groups(read(spark, folder, "documents"), n=3, threshold=85)
 
 
+def op9_vector_groups(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_dedup.groups(read(spark, folder, "embeddings"))
+
+
+def op10_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    return permutation_index.nearest(read(spark, folder, "embeddings"), F.col("id") % 100 == 0)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op2_source_mix, op4_token_counts, op5_token_files, op6_sentence_pieces, op7_secret_scan, op8_minhash_groups,
+        op9_vector_groups, op10_nearest,
     )
 }
 ORACLES: dict[str, str] = {}
