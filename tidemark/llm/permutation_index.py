@@ -7,8 +7,8 @@ each vector met, how far the places differ (Spearman's footrule, with the place
 prefix for a pivot that one side lacks). The `RERANK` part of a chunk with the smallest footrule is
 ranked by true distance.
 
-Pivots are a bounded sample: the `PIVOTS` vectors with the smallest hash of their id. Everything
-else covers all rows: every vector is in the index, and every query meets every chunk, so the part
+Pivots come from a bounded sample, the `SAMPLE * PIVOTS` vectors with the smallest hash of their id:
+those that are not too close to one chosen before. Everything else covers all rows: every vector is in the index, and every query meets every chunk, so the part
 that is ranked by true distance grows with the table. Queries meet chunks in blocks of `QUERIES`.
 
 Defined results: vectors that are null, zero or hold null or non-finite components, or have a null
@@ -31,7 +31,10 @@ from tidemark.llm.vectors import dimension, matrix, usable
 from tidemark.session import stage
 
 PIVOTS = 256
-PREFIX = 128
+PREFIX = 192
+#: No two pivots are closer than this cosine, so a crowd of near copies gives one pivot only.
+APART = 0.8
+SAMPLE = 8
 RERANK = 0.12
 LEAST = 200
 CHUNK = 2048
@@ -39,9 +42,15 @@ QUERIES = 512
 
 
 def fit_pivots(vectors: DataFrame, n: int = PIVOTS) -> np.ndarray:
-    """The pivots: n vectors by hash order of their ids, so a bounded number passes the driver."""
-    rows = vectors.orderBy(F.xxhash64("id"), "id").limit(n).select("vector").collect()
-    return np.array([r.vector for r in rows], dtype=np.float64)
+    """At most n pivots; a sample of n * SAMPLE vectors passes the driver."""
+    rows = vectors.orderBy(F.xxhash64("id"), "id").limit(n * SAMPLE).select("vector").collect()
+    held = np.array([r.vector for r in rows], dtype=np.float64)
+    unit = held / np.linalg.norm(held, axis=1, keepdims=True)
+    chosen: list[int] = []
+    for k in range(len(unit)):
+        if len(chosen) < n and (not chosen or (unit[chosen] @ unit[k]).max() < APART):
+            chosen.append(k)
+    return held[chosen]
 
 
 def places(vectors: np.ndarray, pivots: np.ndarray, prefix: int) -> np.ndarray:
@@ -106,10 +115,10 @@ def nearest(table: DataFrame, is_query: Column, k: int = 10, rerank: float = RER
     asked = index.filter(is_query)
     chunks, blocks = math.ceil(n / CHUNK), max(1, math.ceil(asked.count() / QUERIES))
     held = index.select(
-        F.pmod(F.xxhash64("id"), F.lit(chunks)).alias("chunk"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "id", "vector", "places"
+        F.pmod(F.xxhash64("id"), F.lit(chunks)).cast("long").alias("chunk"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "id", "vector", "places"
     )
     asked = asked.select(
-        F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).cast("long").alias("chunk"),
+        F.explode(F.expr(f"sequence(0L, {chunks - 1}L)")).alias("chunk"),
         F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"), "id", "vector", "places",
     )
 
