@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    licenses, minhash, mixing, permutation_index, secret_scan, sentence_pieces, token_counts, token_files, vector_dedup,
+    licenses, minhash, mixing, permutation_index, quality, secret_scan, sentence_pieces, token_counts, token_files, vector_dedup,
 )
 from tidemark.llm.common import read
 from tidemark.session import new_path
@@ -20,6 +20,10 @@ def op2_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(read(spark, folder, "documents"))
 
 
+def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.scored(read(spark, folder, "documents"))
+
+
 def _tokenizer(name: str) -> str:
     import public_tokenizers
 
@@ -61,7 +65,7 @@ def op10_nearest(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_license_scan, op2_source_mix, op4_token_counts, op5_token_files, op6_sentence_pieces, op7_secret_scan, op8_minhash_groups,
+        op1_license_scan, op2_source_mix, op3_quality, op4_token_counts, op5_token_files, op6_sentence_pieces, op7_secret_scan, op8_minhash_groups,
         op9_vector_groups, op10_nearest,
     )
 }

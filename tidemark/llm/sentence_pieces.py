@@ -19,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import re
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -156,11 +157,13 @@ def encoded(docs: DataFrame, model: str) -> DataFrame:
     """(doc_id, ids, decoded): ids as an array and the text decoded from them, one row per row of `docs`."""
 
     def encode(batches):
-        piece_model = once(("pieces", model), lambda: PieceEncoder(model)).model
+        encoder = once(("pieces", model), lambda: PieceEncoder(model))
         for batch in batches:
-            ids = [piece_model.encode(t) for t in batch.column(1).to_pylist()]
+            ids, back = zip(*map(encoder, batch.column(1).to_pylist()), strict=True) if batch.num_rows else ((), ())
+            values = np.array(",".join(i for i in ids if i).split(","), np.int32) if any(ids) else np.empty(0, np.int32)
+            ends = np.cumsum([0, *(i.count(",") + 1 if i else 0 for i in ids)])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array([piece_model.decode(i) for i in ids], pa.string())],
+                [batch.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values)), pa.array(back, pa.string())],
                 ["doc_id", "ids", "decoded"],
             )
 
