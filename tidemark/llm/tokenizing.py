@@ -13,7 +13,7 @@ import os
 import re
 import struct
 
-PIECES = 400_000
+PIECES = 500_000
 _CACHED: dict[tuple, object] = {}
 
 
@@ -73,6 +73,17 @@ _LONE = re.compile(rf"(?<=[^{_SPACE}]) (?=[^{_SPACE}])|(?<=[^{_SPACE}])(?=\n[^{_
 _WHITE = re.compile(rf"[{_SPACE}]")
 
 
+_PLAIN = re.compile(r"(\n?)([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,]?)")
+
+
+def byte_signs() -> dict[int, str]:
+    """The sign that stands for each byte in a byte-level vocabulary: printable bytes for themselves,
+    the others in order for the signs from 256 on."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
 class ByteLevelEncoder:
     """Ids, as bytes of unsigned 16-bit numbers, for a byte-level tokenizer with its usual pattern.
 
@@ -80,6 +91,9 @@ class ByteLevelEncoder:
     two other characters is a token of its own. So a text is cut before both; a piece in the table
     stands for itself with its space, or begins with its line end. White space in any other place
     stays inside its piece.
+
+    Most new pieces are letters with at most a stop or comma after them. Letters are one unit of the
+    usual pattern and the mark is another, so the library's model gets the unit without its splitting.
     """
 
     dtype = "<u2"
@@ -91,7 +105,21 @@ class ByteLevelEncoder:
         encode, number = tokenizer.encode, struct.Struct
         self.whole = lambda piece: number(f"<{len(ids := encode(piece, add_special_tokens=False).ids)}H").pack(*ids)
 
+        signs, of_model = byte_signs(), tokenizer.model.tokenize
+        line_end, marks = self.whole("\n"), {m: self.whole(m) if m else b"" for m in ("", ".", ",")}
+
+        def unit(word: str) -> bytes:
+            ids = [t.id for t in of_model(word.encode().decode("latin-1").translate(signs))]
+            return number(f"<{len(ids)}H").pack(*ids)
+
+        plain = all(
+            line_end + unit(w) + unit(" " + w) + m == self.whole(f"\n{w} {w}{k}") for w in ("The", "élève", "ŵordless") for k, m in marks.items()
+        )
+
         def value(piece: str) -> bytes | None:
+            if plain and (parts := _PLAIN.fullmatch(piece)):
+                lead, word, mark = parts.groups()
+                return (line_end if lead else b"") + unit(word if lead else " " + word) + marks[mark]
             bare = piece.removeprefix("\n")
             if not bare or _WHITE.match(bare[0]) or _WHITE.match(bare[-1]):
                 return None
