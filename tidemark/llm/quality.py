@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.tokenizing import PieceTable
+from tidemark.llm.tokenizing import PieceTable, once
 from tidemark.session import stage
 
 SAMPLE = 10_000
@@ -39,6 +39,7 @@ NEWTON_ROUNDS = 25
 RIDGE = 1e-3
 SHAPE_CHARS = 32
 SEGMENT = 50
+WORDS = 200_000
 #: A score counts as the good share of the corpus for so many words more: a few words say little.
 PRIOR = 5
 #: With fewer words the worst segment gets no vote.
@@ -89,7 +90,6 @@ def _describe(word: str) -> int:
     return (out << 3 | odd << 2 | bare << 1 | (end == "!")) << 8 | _PLACES[sign]
 
 
-_WORDS = PieceTable(_describe, 300_000)
 
 
 def features(text: str | None) -> tuple[np.ndarray | None, tuple[float, ...]]:
@@ -101,7 +101,8 @@ def features(text: str | None) -> tuple[np.ndarray | None, tuple[float, ...]]:
     if not words:
         return None, ()
     n = len(words)
-    known = np.fromiter(map(_WORDS.__getitem__, words), np.int64, n)
+    table = once(("words",), lambda: PieceTable(_describe, WORDS))
+    known = np.fromiter(map(table.__getitem__, words), np.int64, n)
     repeats = np.fromiter(map(eq, words, islice(words, 1, None)), bool, n - 1)
     strange = (known >> 10 & 1).astype(bool)
     strange[1:] |= repeats

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.tokenizing import PieceTable, once
 
 MARK = "▁"
-PAIRS = 1 << 19
+PAIRS, STRETCHES = 250_000, 300_000
 REMEMBERED_CHARS = 64
 _LINES = re.compile(r"\n[^\n]*|[^\n]+")
 _STRETCH = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
@@ -57,9 +57,13 @@ class PieceModel:
         for p, i in self.id_of.items():
             self.automaton.add_word(p, (len(p), i))
         self.automaton.make_automaton()
-        self.pairs = PieceTable(lambda pair: self._merged(self.pieces[pair[0]] + self.pieces[pair[1]]) == [self.pieces[pair[0]], self.pieces[pair[1]]], PAIRS)
+        self.pairs = PieceTable(self._compatible, PAIRS)  # by both ids in one number
         self.alone = PieceTable(lambda i: self._merged(self.pieces[i]) == [self.pieces[i]], PAIRS)
 
+    def _compatible(self, pair: int) -> bool:
+        both = [self.pieces[pair >> 20], self.pieces[pair & (1 << 20) - 1]]
+        return self._merged("".join(both)) == both
+
     def _merged(self, text: str) -> list[str]:
         """The pieces of one or two joined pieces, by merging the best pair again and again."""
         parts = list(text)
@@ -83,7 +87,7 @@ class PieceModel:
                 fits = alone[found[1]]
             else:
                 before = last[start]
-                fits = alone[found[1]] if before is None else pairs[before[1], found[1]]
+                fits = alone[found[1]] if before is None else pairs[before[1] << 20 | found[1]]
             if fits:
                 last[end] = found
         ids: list[int] = []
@@ -134,7 +138,7 @@ class PieceEncoder:
 
     def __init__(self, path: str):
         self.model = PieceModel(path)
-        self.ids, self.texts = PieceTable(self._ids), PieceTable(self._text)
+        self.ids, self.texts = PieceTable(self._ids, STRETCHES), PieceTable(self._text, STRETCHES)
 
     def _ids(self, stretch: str) -> str:
         return ",".join(map(str, self.model.stretch(stretch)))

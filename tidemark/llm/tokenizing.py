@@ -14,12 +14,14 @@ import re
 import struct
 
 PIECES = 500_000
+_LOADED: dict[str, object] = {}
 _CACHED: dict[tuple, object] = {}
 
 
 def once(key: tuple, make):
-    """The object made for `key` in this process."""
+    """The object made for `key` in this process; making one lets the one before go, with its table."""
     if key not in _CACHED:
+        _CACHED.clear()
         _CACHED[key] = make()
     return _CACHED[key]
 
@@ -28,7 +30,9 @@ def load(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    return once(("tokenizer", path), lambda: Tokenizer.from_file(path))
+    if path not in _LOADED:
+        _LOADED[path] = Tokenizer.from_file(path)
+    return _LOADED[path]
 
 
 def version_digest(path: str) -> str:
