@@ -2,6 +2,7 @@ from datetime import date, datetime, timedelta
 
 from conftest import NOW
 
+from tidemark.operators.backfill import history_on_grid
 from tidemark.operators.features import feature_vector
 
 DAY = timedelta(days=1)
@@ -77,3 +78,13 @@ def test_session_time_zone_does_not_matter(spark, windows_raw):
         assert _one(windows_raw) == expected
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_spend_keeps_fractions_and_marks_odd_amounts(make_raw):
+    at, day = NOW - timedelta(days=1), NOW.date()
+    users = [(u, day, "pro") for u in (1, 2, 3, 4)]
+    facts = [(1, 0.004, "success", at)] * 1000 + [(2, float("nan"), "success", at), (3, 1e17, "success", at), (3, 0.25, "success", at)]
+    raw = make_raw(users, facts + [(4, float("inf"), "failed", at)])
+    for found in (feature_vector(*raw, NOW), history_on_grid(*raw, NOW, 0, 24)):
+        spend = {r.entity_id: r.total_spend_7d for r in found.collect()}
+        assert spend[1] == 4.0 and spend[2] != spend[2] and spend[3] == 1e17 and spend[4] == 0.0

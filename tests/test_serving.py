@@ -128,3 +128,27 @@ def test_stream_equals_batch_and_rests_without_new_files(spark, make_history):
     before = read_online(spark, root).inputFiles()
     refresh_online(spark, history, root, state, at)
     assert read_online(spark, root).inputFiles() == before
+
+
+def _arrive(spark, parts, as_ofs, **more):
+    history, root, state = (new_path(spark, n) for n in ("history", "online", "state"))
+    for part, as_of in zip(parts, as_ofs, strict=True):
+        part.selectExpr("*", "event_time AS computed_at", "'s' AS snapshot_id").write.mode("append").partitionBy(
+            "feature_version", "snapshot_id"
+        ).parquet(history)
+        refresh_online(spark, history, root, state, as_of, **more)
+    return {r.entity_id: r.event_time for r in read_online(spark, root).collect()}
+
+
+def test_stream_does_not_depend_on_batches(spark, make_history):
+    old, bad = make_history([(1, NOW, {})]), make_history([(1, NOW + HOUR, {"plan_encoded": 9.0}), (2, NOW, {})])
+    later = NOW + 2 * HOUR
+    assert _arrive(spark, [old, bad], [later, later]) == _arrive(spark, [bad, old], [later, later]) == {2: NOW}
+    assert _arrive(spark, [old.unionByName(bad)], [later]) == {2: NOW}
+    assert _arrive(spark, [old.unionByName(bad)], [later], max_files=1) == {2: NOW}
+
+
+def test_stream_keeps_rows_later_than_the_time_of_writing(spark, make_history):
+    rows = make_history([(1, NOW, {}), (1, NOW + 3 * HOUR, {})])
+    empty = rows.where("false")
+    assert _arrive(spark, [rows, empty], [NOW + HOUR, NOW + 4 * HOUR]) == {1: NOW + 3 * HOUR}

@@ -5,7 +5,7 @@ import pytest
 from conftest import NOW
 
 from tidemark.operators import model_quality as q
-from tidemark.operators import training
+from tidemark.operators import run_log, training
 
 DAY = timedelta(days=1)
 SCORED = "entity_id bigint, churned int, score double"
@@ -101,3 +101,13 @@ def test_model_learns(make_history):
     assert q.auc(q.score_churn(model, labelled)).first().roc_auc > 0.95
     weights = q.feature_importances(model)
     assert max(weights, key=weights.get) == "days_since_last_txn"
+
+
+def test_split_keeps_null_ids_and_labels(spark):
+    labels = spark.createDataFrame([(1, 1), (2, 1), (None, 1), (3, None)], "entity_id bigint, churned int")
+    assert q.stratified_split(labels).count() == 4
+
+
+def test_latency_of_requests_without_path(spark):
+    requests = spark.createDataFrame([(None, 1.0), ("/a", 2.0), (None, 3.0)], "path string, latency_ms double")
+    assert {r.path for r in run_log.latency_percentiles(requests).collect()} == {None, "/a"}

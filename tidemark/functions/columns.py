@@ -82,9 +82,16 @@ def plan_code_sql(column: str) -> str:
     return f"double(CASE {column} {known} ELSE {OTHER_PLAN_CODE} END)"
 
 
-def cents_sql(column: str) -> str:
-    """Money as a whole number of cents: its sums do not depend on the order of the rows."""
-    return f"bigint(round({column} * 100))"
+def money_sql(column: str) -> str:
+    """Money as a decimal number: its sums are exact and do not depend on the order of the rows.
+
+    NULL for amounts that are not finite or too large; `odd_money_sql` tells them from missing ones.
+    """
+    return f"try_cast({column} AS DECIMAL(28, 8))"
+
+
+def odd_money_sql(column: str) -> str:
+    return f"({column} IS NOT NULL AND {money_sql(column)} IS NULL)"
 
 
 def missing_sql(column: str) -> str:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import DAY_MICROS, before, epoch_micros_sql, micros_of, moment_sql
-from tidemark.operators.features import CENTS, FAILED, SUCCESS, SUMS, from_measures
+from tidemark.operators.features import FAILED, MONEY, ODD_MONEY, SUCCESS, SUMS, from_measures
 from tidemark.schemas import VERSION, WINDOW_DAYS
 
 HOUR_MICROS = 3_600_000_000
@@ -152,12 +152,13 @@ def history_on_grid(
         transactions,
         {
             "ok": f"count_if({SUCCESS})",
-            "money": f"sum(CASE WHEN {SUCCESS} THEN {CENTS} END)",
+            "money": f"sum(CASE WHEN {SUCCESS} THEN {MONEY} END)",
+            "odd": f"count_if({SUCCESS} AND {ODD_MONEY})",
             "failed": f"count_if({FAILED})",
             "every": "count(1)",
             "latest": f"max(CASE WHEN {SUCCESS} THEN event_time END)",
         },
-        {n: {f"n_ok_{n}": "ok", f"cents_{n}": "money"} | (month if n == 30 else {}) for n in WINDOW_DAYS},
+        {n: {f"n_ok_{n}": "ok", f"money_{n}": "money", f"odd_{n}": "odd"} | (month if n == 30 else {}) for n in WINDOW_DAYS},
         {"last_ok": "latest"},
         first, now, step, last,
     )

@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import (
     before,
-    cents_sql,
     days_crossed_sql,
     guarded_ratio_sql,
     in_window_sql,
     moment_sql,
+    money_sql,
+    odd_money_sql,
     plan_code_sql,
 )
 from tidemark.schemas import ENTITY_TYPE, FEATURES, NEVER_TRANSACTED, VERSION, WINDOW_DAYS
@@ -21,12 +22,14 @@ from tidemark.schemas import ENTITY_TYPE, FEATURES, NEVER_TRANSACTED, VERSION, W
 # Per-user measures from which every feature follows. The single-snapshot plan and the backfill
 # plan reach these in different ways and share `from_measures`.
 COUNTS = [f"n_ok_{n}" for n in WINDOW_DAYS]
-SPEND = [f"cents_{n}" for n in WINDOW_DAYS]
-SUMS = [*COUNTS, *SPEND, "n_failed_30", "n_all_30", "n_open", "n_tickets_30"]
+SPEND = [f"money_{n}" for n in WINDOW_DAYS]
+# Amounts that have no decimal value: with any of them the sum of a window is not a number.
+ODD = [f"odd_{n}" for n in WINDOW_DAYS]
+SUMS = [*COUNTS, *SPEND, *ODD, "n_failed_30", "n_all_30", "n_open", "n_tickets_30"]
 
 SUCCESS = "status = 'success'"
 FAILED = "status = 'failed'"
-CENTS = cents_sql("amount")
+MONEY, ODD_MONEY = money_sql("amount"), odd_money_sql("amount")
 
 
 def _measured(facts: DataFrame, snapshot: datetime, measures: dict[str, str]) -> DataFrame:
@@ -44,7 +47,8 @@ def transaction_measures(transactions: DataFrame, snapshot: datetime) -> DataFra
     for n in WINDOW_DAYS:
         inside = f"{SUCCESS} AND {in_window_sql('event_time', snapshot, n)}"
         measures[f"n_ok_{n}"] = f"count_if({inside})"
-        measures[f"cents_{n}"] = f"sum(CASE WHEN {inside} THEN {CENTS} END)"
+        measures[f"money_{n}"] = f"sum(CASE WHEN {inside} THEN {MONEY} END)"
+        measures[f"odd_{n}"] = f"count_if({inside} AND {ODD_MONEY})"
     month = in_window_sql("event_time", snapshot, 30)
     measures["n_failed_30"] = f"count_if({FAILED} AND {month})"
     measures["n_all_30"] = f"count_if({month})"
@@ -68,9 +72,12 @@ def from_measures(df: DataFrame, snapshot: str, version: str) -> DataFrame:
         return f"double(coalesce({name}, 0))"
 
     columns = {f"txn_count_{n}d": number(f"n_ok_{n}") for n in WINDOW_DAYS}
-    columns |= {f"total_spend_{n}d": f"{number(f'cents_{n}')} / 100D" for n in WINDOW_DAYS}
+    def spend(n: int) -> str:
+        return f"CASE WHEN odd_{n} > 0 THEN double('NaN') ELSE {number(f'money_{n}')} END"
+
+    columns |= {f"total_spend_{n}d": spend(n) for n in WINDOW_DAYS}
     columns |= {
-        "avg_txn_amount_30d": "CASE WHEN n_ok_30 > 0 THEN cents_30 / 100D / n_ok_30 ELSE 0D END",
+        "avg_txn_amount_30d": f"CASE WHEN n_ok_30 > 0 THEN ({spend(30)}) / n_ok_30 ELSE 0D END",
         "failed_txn_rate_30d": guarded_ratio_sql(number("n_failed_30"), number("n_all_30")),
         "days_since_last_txn": f"double(coalesce({days_crossed_sql(snapshot, 'last_ok')}, {NEVER_TRANSACTED}))",
         "open_tickets": number("n_open"),

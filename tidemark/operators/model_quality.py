@@ -19,15 +19,20 @@ SEED = 42
 def stratified_split(labels: DataFrame, label: str = "churned", share: float = TEST_SHARE, seed: int = SEED) -> DataFrame:
     """Add `part`: the first `share` of each class by a hash of the id is test, the rest train.
 
-    Copies of an id share its hash and therefore its part.
+    Copies of an id share its hash and therefore its part. A NULL label is a class and a NULL id an
+    id, so every row comes back.
     """
-    key = F.md5(F.concat(F.col("entity_id").cast("string"), F.lit(f"-{seed}")))
+    key = F.md5(F.concat(F.coalesce(F.col("entity_id").cast("string"), F.lit("")), F.lit(f"-{seed}")))
     keyed = labels.withColumn("_key", key)
     ids = keyed.groupBy(label, "_key").agg(F.count(F.lit(1)).alias("_n"))
     ranked = running_totals(ids, [label], ["_key"], {"_n": "_upto"})
     test = F.col("_upto") <= F.floor(F.col("_upto_all") * F.lit(share))
-    parts = ranked.select(label, "_key", F.when(test, "test").otherwise("train").alias("part"))
-    return keyed.join(parts, [label, "_key"]).drop("_key")
+    parts = ranked.select(
+        F.col(label).alias("_label"), F.col("_key").alias("_same"), F.when(test, "test").otherwise("train").alias("part")
+    )
+    return keyed.join(parts, F.col(label).eqNullSafe(F.col("_label")) & (F.col("_key") == F.col("_same"))).select(
+        *labels.columns, "part"
+    )
 
 
 def class_weights(labels: DataFrame, label: str = "churned") -> DataFrame:

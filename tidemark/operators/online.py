@@ -25,9 +25,13 @@ def upsert(online: DataFrame, rows: DataFrame) -> DataFrame:
 
     Merging the same rows again changes nothing, so a repeated batch is harmless.
     """
-    newest = Window.partitionBy(*ONLINE_KEY).orderBy(F.desc("event_time"), F.desc("written_at"))
-    both = online.select(*ONLINE_COLUMNS).unionByName(rows.select(*ONLINE_COLUMNS))
-    return both.withColumn("_rank", F.row_number().over(newest)).where(F.col("_rank") == 1).drop("_rank")
+    return newest(online.select(*ONLINE_COLUMNS).unionByName(rows.select(*ONLINE_COLUMNS)))
+
+
+def newest(rows: DataFrame) -> DataFrame:
+    """Per key the row with the newest event time, then the newest write, then the largest values."""
+    order = Window.partitionBy(*ONLINE_KEY).orderBy(F.desc("event_time"), F.desc("written_at"), *[F.desc(c) for c in FEATURES])
+    return rows.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") == 1).drop("_rank")
 
 
 def delete(online: DataFrame, ids: DataFrame) -> DataFrame:
@@ -44,6 +48,8 @@ def lookup(
 ) -> DataFrame:
     """One row per distinct requested id; ids that are unknown or expired have NULL features."""
     wanted = ids.select(F.col(ids.columns[0]).alias("entity_id")).distinct()
+    # the table is cut to the ids asked for before it meets them, so a short list moves few of its rows
+    online = online.join(wanted, "entity_id", "left_semi")
     current = live(online, as_of, ttl_hours).where(
         (F.col("feature_version") == version) & (F.col("entity_type") == ENTITY_TYPE)
     )

@@ -47,7 +47,11 @@ def running_totals(
         *[F.sum(f"_{m}").over(everything).alias(name) for m, name in whole.items()],
     )
     inside = Window.partitionBy(*groups, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return cut.join(starts, [*groups, "_chunk"]).select(
+    right = starts.select(*[F.col(c).alias(f"_of_{c}" if c in (*groups, "_chunk") else c) for c in starts.columns])
+    same = F.lit(True)
+    for c in (*groups, "_chunk"):  # a NULL group is a group
+        same = same & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
+    return cut.join(right, same).select(
         *df.columns,
         *[(F.sum(m).over(inside) + F.col(f"_start_{m}")).alias(name) for m, name in running.items()],
         *whole.values(),

@@ -197,12 +197,8 @@ FROM (SELECT count(DISTINCT user_id) AS total FROM raw_users),
      (SELECT count(*) FILTER (violations = '') AS processed, count(*) FILTER (violations <> '') AS validation_failures,
              count(*) AS with_history FROM checked)""",
     "stream_materialize": sql.with_(fx.QUARTERS_SQL, _LATEST_SQL, f"""
-batches AS (
-  SELECT * FROM latest
-  UNION ALL
-  (SELECT * FROM h WHERE event_time > {sql.ts(fx.SNAPSHOT)}
-   QUALIFY row_number() OVER (PARTITION BY entity_id ORDER BY event_time DESC) = 1)
-)""", sql.cleaned("checked", "batches")) + f"""
-SELECT {_ONLINE_ROW}, {sql.ts(END)} AS written_at FROM checked WHERE violations = ''
-QUALIFY row_number() OVER (PARTITION BY entity_id ORDER BY event_time DESC) = 1""",
+newest AS (
+  SELECT * FROM h QUALIFY row_number() OVER (PARTITION BY entity_id ORDER BY event_time DESC) = 1
+)""", sql.cleaned("checked", "newest")) + f"""
+SELECT {_ONLINE_ROW}, {sql.ts(END)} AS written_at FROM checked WHERE violations = ''""",
 }

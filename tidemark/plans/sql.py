@@ -49,7 +49,7 @@ def features_at(name: str, spine: str, version: str = "v1") -> str:
     windows = "".join(
         f"""
          count(*) FILTER (status = 'success' AND event_time >= s - INTERVAL {n} DAY) AS c{n},
-         sum(CAST(amount AS DECIMAL(18,2))) FILTER (status = 'success' AND event_time >= s - INTERVAL {n} DAY) AS m{n},"""
+         sum(CAST(amount AS DECIMAL(28,8))) FILTER (status = 'success' AND event_time >= s - INTERVAL {n} DAY) AS m{n},"""
         for n in (7, 30, 90)
     )
     return f"""

@@ -147,10 +147,14 @@ def read_online(spark: SparkSession, root: str, before: int | None = None) -> Da
 
     A missing table reads as empty, so that lookups degrade to misses.
     """
+    return read_copy(spark, root, ONLINE_FEATURES, before)
+
+
+def read_copy(spark: SparkSession, root: str, schema, before: int | None = None) -> DataFrame:
     found = [n for n in _batches(spark, root) if before is None or n < before]
     if not found:
-        return spark.createDataFrame([], ONLINE_FEATURES)
-    return spark.read.schema(ONLINE_FEATURES).parquet(f"{root}/batch={found[-1]:012d}")
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{root}/batch={found[-1]:012d}")
 
 
 def write_online(spark: SparkSession, root: str, table: DataFrame, batch: int | None = None) -> int:

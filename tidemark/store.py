@@ -200,8 +200,9 @@ class FeatureStore:
             distribution.window_rows(history, as_of, serving_days, self.version),
         )
 
-    def churn_labels(self, now: datetime, first_n: int | None = 10_000) -> DataFrame:
-        """Labels 30 days before `now`, the last moment whose 30 days after are known."""
+    def churn_labels(self, now: datetime, first_n: int | None = None) -> DataFrame:
+        """Labels 30 days before `now`, the last moment whose 30 days after are known; of all users
+        unless `first_n` keeps those with the smallest ids."""
         users, transactions, _ = self._raw()
         return training.churn_labels(users, transactions, now - timedelta(days=30), first_n=first_n)
 

@@ -5,12 +5,15 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.operators.asof import latest_asof
-from tidemark.operators.online import as_online, upsert
-from tidemark.operators.validation import valid_rows
-from tidemark.schemas import FEATURE_HISTORY, VERSION
-from tidemark.sources.tables import read_online, write_online
+from tidemark.functions.columns import moment
+from tidemark.operators.online import ONLINE_COLUMNS, newest
+from tidemark.operators.validation import validate
+from tidemark.schemas import FEATURE_HISTORY, ONLINE_FEATURES, VERSION
+from tidemark.sources.tables import read_copy, write_online
+
+STATE = f"{ONLINE_FEATURES}, valid boolean"
 
 
 def refresh_online(
@@ -19,18 +22,25 @@ def refresh_online(
 ) -> None:
     """Take in every history file not seen by earlier runs, then stop.
 
-    Each micro-batch is reduced to the newest row per entity, validated and merged into the
-    newest copy of the online table. The copy carries the batch number and builds on the copies
-    before it, so a batch that Spark repeats after a failure writes the same copy again.
+    Every row is validated. The state keeps the newest row of each entity, valid or not, and the
+    online table shows those that are valid, so the result is the same however files fall into
+    batches: an entity whose newest row breaks a rule is not shown. `as_of` is only the time of
+    writing; rows later than it count, since a file is taken in once. Rows that break a rule are kept
+    per batch in a quarantine beside the table. Copies carry the batch number and build on the copies
+    before them, so a batch that Spark repeats after a failure writes the same copies again.
     """
     arrivals = spark.readStream.schema(FEATURE_HISTORY)
     if max_files:
         arrivals = arrivals.option("maxFilesPerTrigger", max_files)
 
     def merge(batch: DataFrame, number: int) -> None:
-        rows = as_online(valid_rows(latest_asof(batch, as_of, version)), as_of)
-        merged = upsert(read_online(spark, online_root, before=number), rows)
-        write_online(spark, online_root, merged, batch=number)
+        checked = validate(batch.where(F.col("feature_version") == version)).withColumn("written_at", moment(as_of))
+        rows = checked.select(*ONLINE_COLUMNS, (F.size("violations") == 0).alias("valid"))
+        state = read_copy(spark, f"{online_root}_state", STATE, before=number)
+        write_online(spark, f"{online_root}_state", newest(state.unionByName(rows)), batch=number)
+        whole = read_copy(spark, f"{online_root}_state", STATE, before=number + 1)
+        write_online(spark, online_root, whole.where("valid").drop("valid"), batch=number)
+        write_online(spark, f"{online_root}_quarantine", checked.where(F.size("violations") > 0), batch=number)
 
     query = (
         arrivals.parquet(history_path)
