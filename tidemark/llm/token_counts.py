@@ -70,6 +70,7 @@ def token_counts(docs: DataFrame, tokenizer: str, cache: str, limit: int = LIMIT
         F.coalesce("text", F.lit("")).alias("text"),
     )
     texts = texts.join(missing.hint("shuffle_hash"), ["content", "_id"], "left_semi").select("content", "text")
-    encode_misses(texts, tokenizer).select("content", F.lit(version).alias("version"), "n_tokens").write.mode("append").parquet(cache)
+    new = encode_misses(texts, tokenizer).groupBy("content").agg(F.max("n_tokens").alias("n_tokens"))  # repeated rows have one count
+    new.select("content", F.lit(version).alias("version"), "n_tokens").write.mode("append").parquet(cache)
     counts = read_cache(docs, cache).filter(F.col("version") == version).groupBy("content").agg(F.max("n_tokens").alias("n_tokens"))
     return seen.join(counts, "content").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
