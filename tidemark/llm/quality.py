@@ -39,7 +39,7 @@ NEWTON_ROUNDS = 25
 RIDGE = 1e-3
 SHAPE_CHARS = 32
 SEGMENT = 50
-WORDS = 200_000
+WORDS = 100_000
 #: A score counts as the good share of the corpus for so many words more: a few words say little.
 PRIOR = 5
 #: With fewer words the worst segment gets no vote.
