@@ -26,6 +26,7 @@ HEX = r"[0-9a-f]+"
 ASSIGN_LENGTH, ACCESS_LENGTH, HEX_LENGTH = 6, 20, 24
 
 WINDOW = 20
+PIECE = 128
 _KEY = "A-Za-z0-9+/=_-"
 CANDIDATE = rf"(?<![{_KEY}])(?=[A-Za-z+/=_-]*[0-9])(?=[0-9+/=_-]*[A-Za-z])[{_KEY}]{{{WINDOW},}}"
 #: Character classes and the entropy in bits that a window must reach; the first class that fits holds.
@@ -72,8 +73,16 @@ def _spans(places: Column, kind: str) -> Column:
 def window_entropy(value: Column, window: int = WINDOW) -> Column:
     """Largest Shannon entropy, in bits, of a window that slides over a string of key characters.
 
-    A string shorter than the window has entropy 0.
+    A string shorter than the window has entropy 0. The window slides over pieces of `PIECE`
+    characters that overlap by all but one of its own, so work stays in proportion to the length.
     """
+    starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.length(value) - window), F.lit(PIECE - window + 1))
+    return F.array_max(F.transform(
+        F.transform(starts, lambda i: F.substring(value, i + 1, F.lit(PIECE))), lambda piece: _piece_entropy(piece, window)
+    ))
+
+
+def _piece_entropy(value: Column, window: int) -> Column:
     parts = F.array(*[F.lit(c * math.log2(c) if c else 0.0) for c in range(window + 2)])
     chars = F.split(value, "")
     code = lambda c: F.ascii(c) - _FIRST_CODE + 1
