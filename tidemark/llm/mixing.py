@@ -270,9 +270,14 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK, seed: int = SEED) -> Da
     def cut(text: pd.Series, n: pd.Series) -> pd.Series:
         return pd.Series([first_words(t, int(k)) for t, k in zip(text, n, strict=True)], dtype=object)
 
-    rows = docs.join(got, F.col("doc_id").eqNullSafe(F.col("_doc")) & (word_count(F.col("text")) == F.col("_size")))
-    whole = rows.select("*", F.explode(F.expr("if(_taken >= _size, array_repeat(true, int(_taken div _size)), array())")).alias("_all"))
-    part = rows.filter("_taken % _size > 0").withColumn("text", cut("text", F.expr("_taken % _size")))
-    if "n_chars" in docs.columns:
-        part = part.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return whole.select(*docs.columns).unionByName(part.select(*docs.columns))
+    held = docs.select(F.struct(*docs.columns).alias("_row"))  # so no column of theirs meets one of ours
+    text = F.col("_row")["text"]
+    rows = held.join(got, F.col("_row")["doc_id"].eqNullSafe(F.col("_doc")) & (word_count(text) == F.col("_size")))
+    whole = rows.select(
+        "_row", F.explode(F.expr("if(_taken >= _size, array_repeat(true, int(_taken div _size)), array())"))
+    ).select(*[F.col("_row")[c].alias(c) for c in docs.columns])
+    part = rows.filter("_taken % _size > 0").withColumn("_cut", cut(text, F.expr("_taken % _size")))
+    columns = {c: F.col("_row")[c].alias(c) for c in docs.columns} | {"text": F.col("_cut").alias("text")}
+    if "n_chars" in columns:
+        columns["n_chars"] = F.length("_cut").cast(docs.schema["n_chars"].dataType).alias("n_chars")
+    return whole.unionByName(part.select(*columns.values()))
