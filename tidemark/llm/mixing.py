@@ -36,12 +36,28 @@ REPEATS = 3
 WEIGHTS = (1, 2, 3)
 FEISTEL_ROUNDS = 4
 CHUNK_ROWS = 2_000
+#: Running sums are cut into stretches of so many numbers.
+STRETCH = 1_024
 
 
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
+def summed_before(df: DataFrame, by: str, order: str, value: str) -> DataFrame:
+    """`df` with _before: the sum of `value` over the rows of `by` that are earlier in the numbers `order`.
+
+    Stretches of numbers are summed first, so a source with most rows is sorted in many tasks.
+    """
+    cut = df.withColumn("_stretch", F.expr(f"{order} div {STRETCH}"))
+    line = Window.partitionBy(by).orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    sums = cut.groupBy(by, "_stretch").agg(F.sum(value).alias("_all"))
+    sums = sums.select(by, "_stretch", F.coalesce(F.sum("_all").over(line), F.lit(0)).alias("_earlier"))
+    inside = Window.partitionBy(by, "_stretch").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    cut = cut.withColumn("_inside", F.coalesce(F.sum(value).over(inside), F.lit(0))).join(sums, [by, "_stretch"])
+    return cut.withColumn("_before", F.col("_earlier") + F.col("_inside")).drop("_stretch", "_earlier", "_inside")
+
+
 def packed(docs: DataFrame) -> DataFrame:
     """(doc_id, source, size, chunk), staged: documents with sizes, each source cut into hash chunks."""
     sized = stage(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "sizes")
@@ -155,9 +171,8 @@ def shard_counts(quota: DataFrame, shard_slots: int = SHARD_SLOTS, seed: int = S
             yield out.groupby(["shard", "rank"], as_index=False).size().rename(columns={"size": "n"})
 
     drawn = spark.range(total).mapInPandas(draw, "shard long, rank int, n long").groupBy("shard", "rank").agg(F.sum("n").alias("n"))
-    own = Window.partitionBy("rank").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    drawn = stage(drawn.withColumn("first", F.coalesce(F.sum("n").over(own), F.lit(0))), "draws")
-    placed = drawn.join(quota.select("rank", "n_slots"), "rank").withColumn(
+    drawn = stage(drawn, "draws")
+    placed = summed_before(drawn, "rank", "shard", "n").withColumnRenamed("_before", "first").join(quota.select("rank", "n_slots"), "rank").withColumn(
         "_kept", F.greatest(F.lit(0), F.least("n", F.col("n_slots") - F.col("first")))
     )
 
@@ -207,9 +222,8 @@ def plan(docs: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS, se
     pack = packed(docs)
     sums = pack.groupBy("source", "chunk").agg(F.sum("size").alias("_sum"))
     goal = stage(targets(sums.groupBy("source").agg(F.sum("_sum").alias("source_size"))), "targets")
-    before = Window.partitionBy("source").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select(F.col("source").alias("_s"), F.col("chunk").alias("_c"), F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))
-    sums = sums.join(goal, F.col("_s").eqNullSafe(F.col("source"))).drop("source")
+    sums = sums.withColumnsRenamed({"source": "_s", "chunk": "_c"}).join(goal, F.col("_s").eqNullSafe(F.col("source"))).drop("source")
+    sums = summed_before(sums, "rank", "_c", "_sum")
     inside = Window.partitionBy("source", "chunk").orderBy("doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     pack = pack.withColumn("_inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     placed = pack.join(sums, F.col("source").eqNullSafe(F.col("_s")) & (F.col("chunk") == F.col("_c"))).select(
