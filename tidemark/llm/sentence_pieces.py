@@ -164,8 +164,9 @@ def encoded(docs: DataFrame, model: str) -> DataFrame:
         encoder = once(("pieces", model), lambda: PieceEncoder(model))
         for batch in batches:
             ids, back = zip(*map(encoder, batch.column(1).to_pylist()), strict=True) if batch.num_rows else ((), ())
-            values = np.array(",".join(i for i in ids if i).split(","), np.int32) if any(ids) else np.empty(0, np.int32)
-            ends = np.cumsum([0, *(i.count(",") + 1 if i else 0 for i in ids)])
+            values = [np.fromstring(i, np.int32, sep=",") for i in ids]
+            ends = np.cumsum([0, *map(len, values)])
+            values = np.concatenate(values) if values else np.empty(0, np.int32)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values)), pa.array(back, pa.string())],
                 ["doc_id", "ids", "decoded"],
