@@ -58,19 +58,62 @@ class PieceModel:
             self.automaton.add_word(p, (len(p), i))
         self.automaton.make_automaton()
         self.pairs = PieceTable(self._compatible, PAIRS)  # by both ids in one number
-        self.alone = PieceTable(lambda i: self._merged(self.pieces[i]) == [self.pieces[i]], PAIRS)
+        self.edges = PieceTable(self._edges, PAIRS)
+        self.alone = PieceTable(lambda i: self.edges[i] is not None, PAIRS)
 
     def _compatible(self, pair: int) -> bool:
-        both = [self.pieces[pair >> 20], self.pieces[pair & (1 << 20) - 1]]
-        return self._merged("".join(both)) == both
-
-    def _merged(self, text: str) -> list[str]:
-        """The pieces of one or two joined pieces, by merging the best pair again and again."""
+        """Whether no merge crosses the border between two tokens.
+
+        Only the last part of the first token and the first part of the second can merge across it.
+        Both grow as their tokens are merged alone; of the next growth on either side and the merge
+        across, the one with the best score comes first, of equal ones the leftmost.
+        """
+        one, two = self.edges[pair >> 20], self.edges[pair & (1 << 20) - 1]
+        if one is None or two is None:
+            return False
+        last, first = one[1], two[0]
+        never, score, i, j = float("-inf"), self.score.get, 0, 0
+        while True:
+            across = score(last[i][1] + first[j][1], never)
+            left = last[i + 1][0] if i + 1 < len(last) else never
+            right = first[j + 1][0] if j + 1 < len(first) else never
+            if across > left and across >= right:
+                return False
+            if left == right == never:
+                return True
+            if left >= right:
+                i += 1
+            else:
+                j += 1
+
+    def _edges(self, token: int) -> tuple[list, list] | None:
+        """How the first and the last part of a token grow when it is merged alone, as (score, part).
+
+        None for a token that merging its characters does not give.
+        """
+        steps: list[tuple[int, int, float, str]] = []
+        if self._merged(self.pieces[token], steps) != [self.pieces[token]]:
+            return None
+        first, last = ([(0.0, self.pieces[token][k])] for k in (0, -1))
+        for at, n, score, part in steps:
+            if at == 0:
+                first.append((score, part))
+            if at == n - 2:
+                last.append((score, part))
+        return first, last
+
+    def _merged(self, text: str, steps: list | None = None) -> list[str]:
+        """The pieces of one or two joined pieces, by merging the best pair again and again.
+
+        `steps` gets place, number of parts before, score and result of each merge.
+        """
         parts = list(text)
         while len(parts) > 1:
             best, at = max(((self.score.get(a + b, float("-inf")), -k) for k, (a, b) in enumerate(zip(parts, parts[1:], strict=False))))
             if best == float("-inf"):
                 break
+            if steps is not None:
+                steps.append((-at, len(parts), best, parts[-at] + parts[1 - at]))
             parts[-at : 2 - at] = [parts[-at] + parts[1 - at]]
         return parts
 
@@ -138,23 +181,21 @@ class PieceEncoder:
 
     def __init__(self, path: str):
         self.model = PieceModel(path)
-        self.ids, self.texts = PieceTable(self._ids, STRETCHES), PieceTable(self._text, STRETCHES)
-
-    def _ids(self, stretch: str) -> str:
-        return ",".join(map(str, self.model.stretch(stretch)))
+        self.table = PieceTable(self._both, STRETCHES)
 
-    def _text(self, stretch: str) -> str:
-        ids = self.ids[stretch] if len(stretch) <= REMEMBERED_CHARS else self._ids(stretch)
-        return self.model.decode_marked([int(i) for i in ids.split(",")])
+    def _both(self, stretch: str) -> tuple[str, str]:
+        ids = self.model.stretch(stretch)
+        return ",".join(map(str, ids)), self.model.decode_marked(ids)
 
     def __call__(self, text: str | None) -> tuple[str, str]:
         if not text:
             return "", ""
         cut = self.model.stretches(text)
         if max(map(len, cut)) <= REMEMBERED_CHARS:
-            return ",".join(map(self.ids.__getitem__, cut)), "".join(map(self.texts.__getitem__, cut)).removeprefix(" ")
-        ids = ",".join(self.ids[p] if len(p) <= REMEMBERED_CHARS else self._ids(p) for p in cut)
-        return ids, "".join(self.texts[p] if len(p) <= REMEMBERED_CHARS else self._text(p) for p in cut).removeprefix(" ")
+            ids, texts = zip(*map(self.table.__getitem__, cut), strict=True)
+        else:
+            ids, texts = zip(*(self.table[p] if len(p) <= REMEMBERED_CHARS else self._both(p) for p in cut), strict=True)
+        return ",".join(ids), "".join(texts).removeprefix(" ")
 
 
 def encoded(docs: DataFrame, model: str) -> DataFrame:
