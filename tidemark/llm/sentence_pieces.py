@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.tokenizing import PieceTable, once
 
 MARK = "▁"
-PAIRS, STRETCHES = 100_000, 150_000
+PAIRS, STRETCHES = 400_000, 150_000
 REMEMBERED_CHARS = 64
 _LINES = re.compile(r"\n[^\n]*|[^\n]+")
 _STRETCH = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
