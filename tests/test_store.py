@@ -1,11 +1,14 @@
 from datetime import date, timedelta
 
+import pytest
 from conftest import NOW
 
 from pyspark.sql import functions as F
 
+from tidemark.operators import backfill
 from tidemark.operators.asof import latest_asof
-from tidemark.schemas import FEATURE_HISTORY
+from tidemark.operators.distribution import window_rows
+from tidemark.schemas import FEATURE_HISTORY, RAW_SUPPORT_TICKETS, RAW_TRANSACTIONS, RAW_USERS
 from tidemark.session import new_path
 from tidemark.sources import tables
 from tidemark.store import FeatureStore
@@ -96,5 +99,77 @@ def test_only_snapshots_that_are_someones_newest_are_read(spark, make_history):
         assert {r.event_time for r in kept.collect()} == expected
         assert latest_asof(kept, at).exceptAll(latest_asof(stored, at)).isEmpty()
         assert latest_asof(kept, at).count() == 3
-    assert tables.only_latest_snapshots(stored, NOW, limit=2).count() == 5
+    assert tables.only_latest_snapshots(stored, NOW).columns == stored.columns
+    assert "dynamicpruning" in _plan(tables.only_latest_snapshots(stored, NOW))
     assert tables.only_latest_snapshots(stored, NOW - 9 * DAY).isEmpty()
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_folders_prune_every_reader_of_stored_history(spark, make_raw):
+    store = FeatureStore(spark, new_path(spark, "store"))
+    store.load_raw(*make_raw([(1, date(2024, 1, 1), "pro")]))
+    store.run_backfill(NOW, days=3)
+    history = store.table("feature_history")
+    labels = spark.createDataFrame([(1, NOW - 2 * DAY)], "entity_id bigint, label_time timestamp_ntz")
+    upper, lower = tables.snapshot_name(NOW - 2 * DAY), tables.snapshot_name(NOW - 3 * DAY)
+    for read, bounds in (
+        (window_rows(history, NOW - 2 * DAY, 1), (upper, lower)),
+        (store.latest_features(labels.select("entity_id"), NOW - 2 * DAY), (upper,)),
+        (store.training_dataset(labels), (upper,)),
+    ):
+        filters = [line for line in _formatted(read).splitlines() if "PartitionFilters" in line]
+        assert filters and all(b in line for b in bounds for line in filters if "snapshot_id" in line)
+        assert any("snapshot_id" in line for line in filters)
+
+
+def _formatted(df):
+    return df.sparkSession._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+
+
+def test_the_report_takes_the_logged_training_window(spark, make_raw):
+    store = FeatureStore(spark, new_path(spark, "store"))
+    store.load_raw(*make_raw([(i, date(2024, 1, 1), "pro") for i in range(1, 4)]))
+    store.run_backfill(NOW, days=4)
+    with pytest.raises(ValueError):
+        store.skew_report(NOW)
+    store.snapshot_training_distribution(NOW - 2 * DAY)
+    logged = store.skew_report(NOW).collect()
+    assert len(logged) == 13 and logged == store.skew_report(NOW, trained_at=NOW - 2 * DAY).collect()
+
+
+def test_a_failed_materialization_is_logged(spark, make_raw, monkeypatch):
+    store = FeatureStore(spark, new_path(spark, "store"))
+    store.load_raw(*make_raw([(1, date(2024, 1, 1), "pro")]))
+    store.compute_features(NOW)
+
+    def broken(*_):
+        raise OSError("disk gone")
+
+    monkeypatch.setattr(tables, "write_online", broken)
+    with pytest.raises(OSError):
+        store.run_materialization(NOW)
+    run = store.recent_runs().where("status = 'failed'").first()
+    assert "disk gone" in run.error_message
+
+
+def test_only_missing_snapshots_are_computed(spark, make_raw):
+    raw = make_raw([(i, date(2024, 1, 1), "pro") for i in (1, 2)], [(1, 5, "success", NOW - 2 * DAY)], [(2, 0, NOW - 3 * DAY)])
+    whole = backfill.backfill_history(*raw, NOW, days=4)
+    ends = [NOW - 4 * DAY, NOW]
+    some = backfill.history_on_grid(*raw, NOW - 4 * DAY, 4, 24, only=ends)
+    assert {r.event_time for r in some.collect()} == set(ends)
+    assert some.exceptAll(whole).isEmpty() and some.count() == 4
+
+
+def test_the_newest_copy_of_a_user_counts(spark):
+    store = FeatureStore(spark, new_path(spark, "store"))
+    users = [(1, date(2024, 1, 1), "xx", plan, "a", NOW - i * DAY) for i, plan in ((9, "free"), (3, "pro"), (5, "basic"))]
+    store.load_raw(
+        spark.createDataFrame(users, RAW_USERS), spark.createDataFrame([], RAW_TRANSACTIONS),
+        spark.createDataFrame([], RAW_SUPPORT_TICKETS),
+    )
+    store.compute_features(NOW)
+    assert [r.plan_encoded for r in store.table("feature_history").collect()] == [2.0]

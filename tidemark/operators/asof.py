@@ -7,10 +7,12 @@ from datetime import datetime
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from tidemark.functions.columns import epoch_micros, moment
+from tidemark.functions.columns import epoch_micros
 from tidemark.operators.sizing import SMALL_IDS, restrict_to_ids
 from tidemark.schemas import FEATURES, VERSION
+from tidemark.sources.tables import scan_history
 
 
 def latest_asof(history: DataFrame, as_of: datetime, version: str = VERSION) -> DataFrame:
@@ -19,7 +21,7 @@ def latest_asof(history: DataFrame, as_of: datetime, version: str = VERSION) ->
     Spark keeps one row per entity and task before the shuffle (WindowGroupLimit), so long
     histories of single entities do not pile up in one task.
     """
-    known = history.where((F.col("feature_version") == version) & (F.col("event_time") <= moment(as_of)))
+    known = scan_history(history, version, until=as_of)
     newest = Window.partitionBy("entity_id").orderBy(F.desc("event_time"))
     return known.withColumn("_rank", F.row_number().over(newest)).where(F.col("_rank") == 1).drop("_rank")
 
@@ -53,19 +55,24 @@ def pit_join(
     The labels are read a few times; stage them first if they are costly to compute.
     """
     columns = columns or FEATURES
-    history = history.where(
-        (F.col("feature_version") == version) & F.col("entity_id").isNotNull() & F.col("event_time").isNotNull()
-    ).select("entity_id", "event_time", *columns)
+    # labels that can match nothing, however many share a NULL, stay out of the shuffle
+    keyed = F.col("entity_id").isNotNull() & F.col("label_time").isNotNull()
+    types = {"feature_time": history.schema["event_time"].dataType, **{c: history.schema[c].dataType for c in columns}}
+    unmatched = labels.where(~keyed).select("*", *[F.lit(None).cast(t).alias(c) for c, t in types.items()])
+    labels = labels.where(keyed)
     asked = labels.groupBy("entity_id").agg(F.count(F.lit(1)).alias("n"), F.max("label_time").alias("newest"))
     n_entities, newest = asked.agg(F.count(F.lit(1)), F.max("newest")).first()
-    if newest is not None:
-        history = history.where(F.col("event_time") <= moment(newest))
+    history = (
+        scan_history(history, version, until=newest)
+        .where(F.col("entity_id").isNotNull() & F.col("event_time").isNotNull())
+        .select("entity_id", "event_time", *columns)
+    )
     if n_entities <= SMALL_IDS:
         history = history.join(F.broadcast(asked.select("entity_id")), "entity_id", "left_semi")
 
     busy, cuts = _busy_entities(labels, asked, history, busy_rows)
     if busy is None:
-        return _by_window(labels, history, columns)
+        return _by_window(labels, history, columns).unionByName(unmatched)
     calm = _by_window(
         labels.join(F.broadcast(busy), "entity_id", "left_anti"),
         history.join(F.broadcast(busy), "entity_id", "left_anti"),
@@ -78,7 +85,7 @@ def pit_join(
     matched = _by_slots(times, history.join(F.broadcast(busy), "entity_id", "left_semi"), columns, cuts)
     matched = matched.withColumnsRenamed({"entity_id": "_id", "label_time": "_time"})
     same = F.col("entity_id").eqNullSafe(F.col("_id")) & F.col("label_time").eqNullSafe(F.col("_time"))
-    return calm.unionByName(busy_labels.join(matched, same, "left").drop("_id", "_time"))
+    return calm.unionByName(busy_labels.join(matched, same, "left").drop("_id", "_time")).unionByName(unmatched)
 
 
 def _busy_entities(labels: DataFrame, asked: DataFrame, history: DataFrame, busy_rows: int | None):
@@ -98,7 +105,7 @@ def _busy_entities(labels: DataFrame, asked: DataFrame, history: DataFrame, busy
     found = per_entity.where((F.col("n") > busy_rows) & F.col("entity_id").isNotNull()).collect()
     if not found:
         return None, None
-    busy = spark.createDataFrame([(r["entity_id"],) for r in found], "entity_id bigint")
+    busy = spark.createDataFrame([(r["entity_id"],) for r in found], StructType([labels.schema["entity_id"]]))
     pieces = sum(r["n"] for r in found) // busy_rows + 1
     times = (
         labels.select("entity_id", F.col("label_time").alias("event_time"))

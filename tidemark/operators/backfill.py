@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import DAY_MICROS, before, epoch_micros_sql, micros_of, moment_sql
+from tidemark.functions.columns import DAY_MICROS, before, epoch_micros_sql, micros_of, moment, moment_sql
 from tidemark.operators.features import FAILED, MONEY, ODD_MONEY, SUCCESS, SUMS, from_measures
 from tidemark.schemas import VERSION, WINDOW_DAYS
 
@@ -113,14 +113,8 @@ def backfill_history(
 
 
 def _partitions(users: DataFrame, snapshots: int) -> int:
-    """About ROWS_PER_TASK output rows for each task, but no core left idle.
-
-    Without more shuffle partitions than cores, as on one machine, there is nothing to choose.
-    """
-    spark = users.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if int(spark.conf.get("spark.sql.shuffle.partitions")) <= cores:
-        return cores
+    """About ROWS_PER_TASK output rows for each task, but no core left idle."""
+    cores = users.sparkSession.sparkContext.defaultParallelism
     return max(cores, users.count() * snapshots // ROWS_PER_TASK + 1)
 
 
@@ -133,8 +127,9 @@ def history_on_grid(
     interval_hours: int,
     version: str = VERSION,
     partitions: int | None = None,
+    only: list[datetime] | None = None,
 ) -> DataFrame:
-    """Features of every user at `first` and the `last` snapshots after it.
+    """Features of every user at `first` and the `last` snapshots after it, or at those in `only`.
 
     Facts become changes at grid positions and a running sum per user turns the changes into
     windowed values, so the work is linear in facts + output rows; no fact is joined with the
@@ -144,7 +139,7 @@ def history_on_grid(
     The shuffle gets a fixed number of partitions, by default from the number of rows to come:
     its rows multiply afterwards, so their size before must not decide how many tasks share them.
     """
-    partitions = partitions or _partitions(users, last + 1)
+    partitions = partitions or _partitions(users, last + 1 if only is None else len(only))
     step = interval_hours * HOUR_MICROS
     now = first + timedelta(hours=interval_hours * last)
     month = {"n_failed_30": "failed", "n_all_30": "every"}
@@ -181,6 +176,8 @@ def history_on_grid(
         .repartition(partitions, "user_id")
         .selectExpr("*", f"posexplode({times}) AS (idx, snapshot)")
     )
+    if only is not None:  # a running sum needs all changes, but no row at the other snapshots
+        subjects = subjects.where(F.col("snapshot").isin([moment(t) for t in only]))
     so_far = Window.partitionBy("user_id").orderBy("idx").rangeBetween(Window.unboundedPreceding, 0)
     running = subjects.unionByName(changes, allowMissingColumns=True).select(
         "user_id", "signup_date", "plan_type", "snapshot",

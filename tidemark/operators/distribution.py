@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import guarded_ratio_sql, missing_sql, moment, per_feature
 from tidemark.operators.running import running_totals
 from tidemark.schemas import FEATURES, KS_THRESHOLD, VERSION
+from tidemark.sources.tables import scan_history
 
 # Reported quantiles and the smallest spread that a shift is measured in.
 QUANTILES = {"p25": 0.25, "p50": 0.50, "p75": 0.75, "p95": 0.95}
@@ -18,12 +19,7 @@ SMALLEST_STD = 1e-6
 
 def window_rows(history: DataFrame, as_of: datetime, since_days: int, version: str = VERSION) -> DataFrame:
     """History of the last `since_days` days up to `as_of`, both ends included."""
-    time = F.col("event_time")
-    return history.where(
-        (F.col("feature_version") == version)
-        & (time >= moment(as_of - timedelta(days=since_days)))
-        & (time <= moment(as_of))
-    )
+    return scan_history(history, version, as_of - timedelta(days=since_days), as_of)
 
 
 def long_form(history: DataFrame, *keep: str) -> DataFrame:

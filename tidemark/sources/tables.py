@@ -53,28 +53,34 @@ def load_raw(root: str, **frames: DataFrame) -> DataFrame:
 def scan_history(
     history: DataFrame, version: str = VERSION, since: datetime | None = None, until: datetime | None = None
 ) -> DataFrame:
-    """History of a version between two times, both included; the folder names prune the scan."""
+    """History of a version between two times, both included.
+
+    Where the history has its snapshot folders as a column, their names prune the scan.
+    """
     found = history.where(F.col("feature_version") == version)
+    in_folders = "snapshot_id" in history.columns
     if since is not None:
-        found = found.where((F.col("snapshot_id") >= snapshot_name(since)) & (F.col("event_time") >= moment(since)))
+        found = found.where(F.col("event_time") >= moment(since))
+        if in_folders:
+            found = found.where(F.col("snapshot_id") >= snapshot_name(since))
     if until is not None:
-        found = found.where((F.col("snapshot_id") <= snapshot_name(until)) & (F.col("event_time") <= moment(until)))
+        found = found.where(F.col("event_time") <= moment(until))
+        if in_folders:
+            found = found.where(F.col("snapshot_id") <= snapshot_name(until))
     return found
 
 
-def only_latest_snapshots(history: DataFrame, as_of: datetime, version: str = VERSION, limit: int = 1000) -> DataFrame:
+def only_latest_snapshots(history: DataFrame, as_of: datetime, version: str = VERSION) -> DataFrame:
     """Stored history without the snapshots that are nobody's newest one at `as_of`.
 
-    Finding them reads two columns; the wide rows are then read from the few folders that count.
-    With more than `limit` such snapshots the history stays as it is.
+    Finding them reads two columns. The names of the folders that count, one row each, then prune
+    the scan of the wide rows while it runs.
     """
-    known = history.where((F.col("feature_version") == version) & (F.col("event_time") <= moment(as_of)))
+    known = scan_history(history, version, until=as_of)
     newest = known.groupBy("entity_id").agg(F.max("event_time").alias("event_time"))
-    times = [r["event_time"] for r in newest.select("event_time").distinct().limit(limit + 1).collect()]
-    if len(times) > limit:
-        return history
-    folders = sorted({snapshot_name(t) for t in times})
-    return history.where(F.col("snapshot_id").isin(folders) & F.col("event_time").isin([moment(t) for t in times]))
+    folders = newest.select(snapshot_id("event_time").alias("snapshot_id")).distinct()
+    kept = scan_history(history, version, until=as_of).join(F.broadcast(folders), "snapshot_id", "left_semi")
+    return kept.select(*history.columns)
 
 
 def append_history(

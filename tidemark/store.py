@@ -47,9 +47,14 @@ class FeatureStore:
         return f"{self.root}/{name}"
 
     def _raw(self) -> tuple[DataFrame, DataFrame, DataFrame]:
-        """The raw tables, with one row per user: no key keeps copies out of the users table."""
+        """The raw tables, with one row per user: no key keeps copies out of the users table.
+
+        Of several rows the one created last counts, then the one with the largest values.
+        """
         users, transactions, tickets = tables.raw_tables(self.spark, self.root)
-        return users.dropDuplicates(["user_id"]), transactions, tickets
+        rest = [c for c in users.columns if c not in ("user_id", "created_at")]
+        newest = users.groupBy("user_id").agg(F.max(F.struct("created_at", *rest)).alias("_row"))
+        return newest.select("user_id", "_row.*").select(*users.columns), transactions, tickets
 
     def _online(self) -> DataFrame:
         return tables.read_online(self.spark, self.path("online_features"))
@@ -92,9 +97,8 @@ class FeatureStore:
         started = _clock()
         pending = plan.where("state <> 'stored'").select("event_time")
         first, steps = min(missing), (max(missing) - min(missing)) // timedelta(hours=interval_hours)
-        features = backfill.history_on_grid(*self._raw(), first, steps, interval_hours, self.version)
+        fresh = backfill.history_on_grid(*self._raw(), first, steps, interval_hours, self.version, only=missing)
         try:
-            fresh = features.join(F.broadcast(pending), "event_time", "left_semi")
             tables.append_history(self.path("feature_history"), fresh, now, first, max(missing), unique=True)
         except Exception as error:
             failed = pending.withColumns({"processed": F.lit(0), "entities_failed": F.lit(1)})
@@ -134,6 +138,14 @@ class FeatureStore:
     def run_materialization(self, as_of: datetime) -> dict:
         """Newest rows into the online table; rows that break a rule go to `quarantine` instead."""
         started, run_id = _clock(), uuid.uuid4().hex[:12]
+        try:
+            return self._materialize(as_of, started, run_id)
+        except Exception as error:
+            failed = self.spark.createDataFrame([(run_id, 0, 0)], "run_id string, processed bigint, entities_failed bigint")
+            self._log(failed, "failed", started, str(error))
+            raise
+
+    def _materialize(self, as_of: datetime, started: datetime, run_id: str) -> dict:
         checked_path = f"{self.path('checked_features')}/{run_id}"
         history = tables.only_latest_snapshots(self.table("feature_history"), as_of, self.version)
         online.materialize_rows(history, as_of, self.version).write.parquet(checked_path)
@@ -190,10 +202,17 @@ class FeatureStore:
         )
         tables.append(self.path("skew_snapshots"), rows)
 
-    def skew_report(self, as_of: datetime, trained_at: datetime, serving_days: int = 1, training_days: int = 7) -> DataFrame:
-        """Serving window up to `as_of` against the training window up to `trained_at`; the
-        serving statistics go to the snapshot log."""
+    def skew_report(
+        self, as_of: datetime, trained_at: datetime | None = None, serving_days: int = 1, training_days: int = 7
+    ) -> DataFrame:
+        """Serving window up to `as_of` against the training window up to `trained_at`, by default
+        the time of the training snapshot logged last; the serving statistics go to that log."""
         history = self.table("feature_history")
+        if trained_at is None:
+            logged = distribution.latest_snapshot(self.table("skew_snapshots"), "training", self.version)
+            trained_at = logged.agg(F.max("captured_at")).first()[0]
+            if trained_at is None:
+                raise ValueError("no training distribution is logged: take a snapshot or give trained_at")
         self._snapshot("serving", as_of, serving_days)
         return distribution.skew_report(
             distribution.window_rows(history, trained_at, training_days, self.version),
