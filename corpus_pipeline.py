@@ -31,7 +31,7 @@ def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents come as often, whole or cut, as the mix takes their words."""
+    """Documents come once for each epoch that reads them, with the words that the slots of the mix read."""
     ship(spark)
     return mixing.mixed_documents(docs)
 

@@ -138,6 +138,26 @@ def test_mix_meets_targets(odd_docs):
     assert mixing.mix(odd_docs.limit(0)).count() == 0
 
 
+def test_mixed_documents_hold_the_words_that_the_slots_read(make_docs):
+    word = re.compile(r"[^\x20\x09-\x0D]+")
+    rows = [(k, " ".join(f"d{k}w{j}" for j in range(n)), s) for k, (n, s) in enumerate([(5000, "a"), (3, "a"), (700, "a"), (6000, "b"), (40, "b"), (90, "c")])]
+    docs = make_docs([*rows, (0, "other text of one id", "a"), rows[2], rows[2]])
+    placed, slot = mixing.plan(docs, 16)
+    placed, slot = placed.collect(), slot.collect()
+    texts = {(i, len(word.findall(t))): word.findall(t) for i, t in _rows(docs)}
+    lines = {}
+    for r in sorted(placed, key=lambda r: (r["rank"], r.start)):
+        lines.setdefault(r["rank"], []).extend(texts[r.doc_id, r.size])
+    want = Counter(w for s in slot for w in lines[s["rank"]][s.block * 16 : s.block * 16 + s.words])
+    mixed = mixing.mixed_documents(docs, block=16).collect()
+    assert Counter(w for r in mixed for w in word.findall(r.text)) == want
+    assert all(r.n_chars == len(r.text) for r in mixed) and len(mixed) <= sum((r["rank"] < 3) * 3 for r in placed)
+    last = max(int(w.split("w")[1]) for r in mixed if r.doc_id == 0 and r.source == "a" for w in word.findall(r.text) if w.startswith("d0w"))
+    assert last > 4900
+    assert mixing.word_ranges(" a b\tc  d e", [(0, 1), (1, 2), (3, 4), (4, 5)]) == "a b\nd e"
+    assert mixing.word_ranges("a b c", [(1, 2)]) == "b"
+
+
 def test_permutation_and_its_inverse():
     for n in (1, 2, 3, 100, 1000):
         at, size, key = np.arange(n), np.full(n, n), np.full(n, 7)

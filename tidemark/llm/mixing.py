@@ -6,7 +6,8 @@
    draws beyond a source's target go to sources that are short of theirs.
 4. `slots`: slot k of a source reads the block that a keyed permutation of the block numbers
    gives for k; all blocks are used once before any is used again.
-5. `taken`: blocks and documents are joined by block number.
+5. `taken`: blocks and documents are joined by block number; `mixed_documents` cuts the same word
+   ranges out of the texts.
 
 Words are `[^\\x20\\x09-\\x0D]+`. Defined results: a null text has no words; null and empty
 documents are taken 0 words; a null source is a source of its own, the last in order; rows with
@@ -36,6 +37,8 @@ REPEATS = 3
 WEIGHTS = (1, 2, 3)
 FEISTEL_ROUNDS = 4
 CHUNK_ROWS = 2_000
+#: Two hashes of a whole row, by which `mixed_documents` finds it again.
+ROW = ("_mix_row", "_mix_also")
 #: Running sums are cut into stretches of so many numbers.
 STRETCH = 1_024
 
@@ -58,9 +61,16 @@ def summed_before(df: DataFrame, by: str, order: str, value: str) -> DataFrame:
     return cut.withColumn("_before", F.col("_earlier") + F.col("_inside")).drop("_stretch", "_earlier", "_inside")
 
 
+def _named(docs: DataFrame) -> list[str]:
+    return [c for c in ROW if c in docs.columns]
+
+
 def packed(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, size, chunk), staged: documents with sizes, each source cut into hash chunks."""
-    sized = stage(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "sizes")
+    """(doc_id, source, size, chunk), staged: documents with sizes, each source cut into hash chunks.
+
+    The columns `ROW` of `docs`, if there, stay.
+    """
+    sized = stage(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), *_named(docs)), "sizes")
     chunks = max(1, math.ceil(sized.count() / CHUNK_ROWS))
     return sized.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "size"), F.lit(chunks)))
 
@@ -194,7 +204,7 @@ def shard_counts(quota: DataFrame, shard_slots: int = SHARD_SLOTS, seed: int = S
 
 
 def slots(quota: DataFrame, counts: DataFrame, block: int = BLOCK, seed: int = SEED) -> DataFrame:
-    """(shard, rank, slot, block, words): each output slot reads the first `words` words of a block.
+    """(shard, rank, slot, epoch, block, words): each output slot reads the first `words` words of a block.
 
     `words` may be 0 in the last slot of a source, where its rest was used up one slot early.
     """
@@ -214,7 +224,7 @@ def slots(quota: DataFrame, counts: DataFrame, block: int = BLOCK, seed: int = S
     words = F.when(F.col("_epoch") < F.col("epochs"), length).otherwise(
         F.greatest(F.lit(0), F.least(length, F.col("rest") - gone))
     )
-    return each.select("shard", "rank", "slot", "block", words.cast("long").alias("words"))
+    return each.select("shard", "rank", "slot", F.col("_epoch").alias("epoch"), "block", words.cast("long").alias("words"))
 
 
 def plan(docs: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
@@ -224,15 +234,29 @@ def plan(docs: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS, se
     goal = stage(targets(sums.groupBy("source").agg(F.sum("_sum").alias("source_size"))), "targets")
     sums = sums.withColumnsRenamed({"source": "_s", "chunk": "_c"}).join(goal, F.col("_s").eqNullSafe(F.col("source"))).drop("source")
     sums = summed_before(sums, "rank", "_c", "_sum")
-    inside = Window.partitionBy("source", "chunk").orderBy("doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("source", "chunk").orderBy("doc_id", "size", *_named(pack)).rowsBetween(Window.unboundedPreceding, -1)
     pack = pack.withColumn("_inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     placed = pack.join(sums, F.col("source").eqNullSafe(F.col("_s")) & (F.col("chunk") == F.col("_c"))).select(
-        "doc_id", "size", (F.col("_before") + F.col("_inside")).alias("start"), "rank", "source_size", "target"
+        "doc_id", "size", (F.col("_before") + F.col("_inside")).alias("start"), "rank", "source_size", "target", *_named(pack)
     )
     quota = stage(quotas(goal, block, seed), "quotas")
     return placed, slots(quota, shard_counts(quota, shard_slots, seed), block, seed)
 
 
+def _met(placed: DataFrame, slot: DataFrame, block: int, how: str) -> DataFrame:
+    """Documents that have words, with the slots that read a block they lie in.
+
+    _from and _to are the words of the document, counted in it, that the slot reads.
+    """
+    pieces = placed.filter("size > 0").withColumn(
+        "block", F.explode(F.expr(f"sequence(start div {block}, (start + size - 1) div {block})"))
+    )
+    cuts = slot.filter("words > 0").select("rank", "epoch", "block", "words")
+    first = F.greatest(F.col("start"), F.col("block") * block) - F.col("start")
+    last = F.least(F.col("start") + F.col("size"), F.col("block") * block + F.col("words")) - F.col("start")
+    return pieces.join(cuts, ["rank", "block"], how).withColumns({"_from": first, "_to": last})
+
+
 def taken(placed: DataFrame, slot: DataFrame, block: int = BLOCK) -> DataFrame:
     """(doc_id, size, source_size, target, taken, first_word): words the mix takes of each document.
 
@@ -240,15 +264,8 @@ def taken(placed: DataFrame, slot: DataFrame, block: int = BLOCK) -> DataFrame:
     block, so a hot source makes many small groups. A block is read by REPEATS slots at most.
     """
     own = ["doc_id", "size", "start", "rank", "source_size", "target"]
-    pieces = placed.filter("size > 0").select(
-        *own, F.explode(F.expr(f"sequence(start div {block}, (start + size - 1) div {block})")).alias("block")
-    )
-    cuts = slot.filter("words > 0").select("rank", "block", "words")
-    got = F.greatest(
-        F.lit(0), F.least(F.col("start") + F.col("size"), F.col("block") * block + F.col("words"))
-        - F.greatest(F.col("start"), F.col("block") * block)
-    )
-    summed = pieces.join(cuts, ["rank", "block"], "left").groupBy(*own).agg(
+    got = F.greatest(F.lit(0), F.col("_to") - F.col("_from"))
+    summed = _met(placed, slot, block, "left").groupBy(*own).agg(
         F.coalesce(F.sum(F.when(F.col("words").isNotNull(), got)), F.lit(0)).alias("taken")
     )
     return summed.unionByName(placed.filter("size = 0").withColumn("taken", F.lit(0).cast("long"))).drop("start", "rank")
@@ -259,39 +276,63 @@ def mix(docs: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS, see
     return taken(*plan(docs, block, shard_slots, seed), block)
 
 
-def first_words(text: str, n: int) -> str:
-    """The text up to the end of its n-th word."""
-    end = 0
+def word_ranges(text: str, ranges: list[tuple[int, int]]) -> str:
+    """The words first .. last - 1 of each range, in order; what two ranges leave out is one line end.
+
+    Inside a range the text stays as it is; ranges that touch are one.
+    """
+    out, todo, first, end = [], iter(ranges), None, 0
+    start, stop = next(todo)
     for k, word in enumerate(re.finditer(r"[^\x20\x09-\x0D]+", text)):
-        if k == n:
-            break
-        end = word.end()
-    return text[:end]
+        while k >= stop:
+            if (after := next(todo, None)) is None:
+                out.append(text[first:end])
+                return "\n".join(out)
+            if after[0] > stop:
+                out.append(text[first:end])
+                first = None
+            start, stop = after
+        if k >= start:
+            first, end = word.start() if first is None else first, word.end()
+    return "\n".join([*out, text[first:end]])
 
 
 def mixed_documents(docs: DataFrame, block: int = BLOCK, seed: int = SEED) -> DataFrame:
-    """The rows of `docs` as often as the mix takes them, with the columns of `docs`.
+    """The words that the slots of the mix read, as rows of `docs` with the columns of `docs`.
 
-    A document taken q times its size and r words more comes as q whole rows and one row with its
-    first r words (and their number of characters, where there is a column n_chars). Documents of
-    which nothing is taken go, among them empty ones. Rows with equal ids share their words evenly.
+    A document comes once for each epoch of its source in which slots read some of its words: the
+    whole row if they read all of it, else with the text of the words they read (and its number of
+    characters, where there is a column n_chars). Documents of which nothing is read go, among them
+    empty ones. Rows are told apart by all their columns; rows alike in all of them are one row that
+    comes as often as all of them do.
     """
-    got = mix(docs, block, seed=seed).groupBy("doc_id", "size").agg(
-        F.floor(F.avg("taken")).alias("_taken")
-    ).withColumnRenamed("doc_id", "_doc").withColumnRenamed("size", "_size").filter("_taken > 0")
+    every = [docs[c] for c in docs.columns] + [docs[c].isNull() for c in docs.columns]
+    held = docs.select(  # one column, so no column of theirs meets one of ours
+        F.struct(*docs.columns).alias("_row"), F.xxhash64(*every).alias(ROW[0]), F.xxhash64(F.lit(seed), *every).alias(ROW[1])
+    )
+    told = held.select("_row.doc_id", "_row.source", "_row.text", *ROW)
+    placed, slot = plan(told, block, seed=seed)
+    one = Window.partitionBy(*ROW).orderBy(F.lit(0))
+    held = held.withColumn("_alike", F.row_number().over(one)).filter("_alike = 1").drop("_alike")
+    read = _met(placed, slot, block, "inner").filter("_to > _from").groupBy(*ROW, "rank", "start", "size", "epoch").agg(
+        F.sort_array(F.collect_list(F.struct("_from", "_to"))).alias("_ranges"), F.sum(F.col("_to") - F.col("_from")).alias("_words")
+    )
+    read = read.select(*ROW, F.when(F.col("_words") < F.col("size"), F.col("_ranges")).alias("_ranges"))
 
     @F.pandas_udf("string")
-    def cut(text: pd.Series, n: pd.Series) -> pd.Series:
-        return pd.Series([first_words(t, int(k)) for t, k in zip(text, n, strict=True)], dtype=object)
-
-    held = docs.select(F.struct(*docs.columns).alias("_row"))  # so no column of theirs meets one of ours
-    text = F.col("_row")["text"]
-    rows = held.join(got, F.col("_row")["doc_id"].eqNullSafe(F.col("_doc")) & (word_count(text) == F.col("_size")))
-    whole = rows.select(
-        "_row", F.explode(F.expr("if(_taken >= _size, array_repeat(true, int(_taken div _size)), array())"))
-    ).select(*[F.col("_row")[c].alias(c) for c in docs.columns])
-    part = rows.filter("_taken % _size > 0").withColumn("_cut", cut(text, F.expr("_taken % _size")))
-    columns = {c: F.col("_row")[c].alias(c) for c in docs.columns} | {"text": F.col("_cut").alias("text")}
+    def cut(text: pd.Series, ranges: pd.Series) -> pd.Series:
+        return pd.Series(
+            [None if r is None else word_ranges(t, [(x["_from"], x["_to"]) for x in r]) for t, r in zip(text, ranges, strict=True)],
+            dtype=object,
+        )
+
+    # whole texts do not pass through Python
+    part = F.col("_ranges").isNotNull()
+    rows = held.join(read, list(ROW)).withColumn("_cut", cut(F.when(part, F.col("_row")["text"]), F.col("_ranges")))
+    columns = {c: F.col("_row")[c].alias(c) for c in docs.columns}
+    columns["text"] = F.when(part, F.col("_cut")).otherwise(F.col("_row")["text"]).alias("text")
     if "n_chars" in columns:
-        columns["n_chars"] = F.length("_cut").cast(docs.schema["n_chars"].dataType).alias("n_chars")
-    return whole.unionByName(part.select(*columns.values()))
+        columns["n_chars"] = F.when(part, F.length("_cut").cast(docs.schema["n_chars"].dataType)).otherwise(
+            F.col("_row")["n_chars"]
+        ).alias("n_chars")
+    return rows.select(*columns.values())
