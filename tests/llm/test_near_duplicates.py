@@ -118,6 +118,20 @@ def test_nearest_recall_and_scores(spark):
     assert permutation_index.nearest(table.limit(0), F.lit(True)).count() == 0
 
 
+def test_nearest_recall_where_vectors_share_a_direction(spark):
+    rng = np.random.default_rng(8)
+    shared, own = rng.standard_normal(32), rng.standard_normal((3000, 32))
+    unit = lambda v: v / np.linalg.norm(v, axis=-1, keepdims=True)
+    held = (unit(shared) * 0.9**0.5 + unit(own) * 0.1**0.5).astype(np.float32).astype(float)
+    table = spark.createDataFrame([(k, v.tolist(), 0, "x") for k, v in enumerate(held)], VECTORS)
+    assert len(permutation_index.fit_pivots(table.selectExpr("vec_id id", "cast(embedding as array<double>) vector"))) == 256
+    got = {}
+    for r in permutation_index.nearest(table, F.col("id") % 50 == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = sum(len(got[q] & set(np.argsort(((held - held[q]) ** 2).sum(axis=1))[1:11].tolist())) for q in got)
+    assert len(got) == 60 and hits >= 0.9 * 10 * len(got)
+
+
 def test_pipeline_stages(spark):
     folder = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{folder}/documents.parquet")

@@ -5,11 +5,13 @@ index keeps, per pivot, the vectors that have the pivot in their prefix and at w
 pivot's inverted file. A query walks through the files of its own nearest pivots and adds up, for
 each vector met, how far the places differ (Spearman's footrule, with the place just past the
 prefix for a pivot that one side lacks). The `RERANK` part of a chunk with the smallest footrule is
-ranked by true distance.
+ranked by true distance, and with it all that tie with its last.
 
 Pivots come from a bounded sample, the `SAMPLE * PIVOTS` vectors with the smallest hash of their id:
-those that are not too close to one chosen before. Everything else covers all rows: every vector is in the index, and every query meets every chunk, so the part
-that is ranked by true distance grows with the table. Queries meet chunks in blocks of `QUERIES`.
+farthest first, in the distance of the queries, so a direction that all vectors share makes no
+difference and a crowd of near copies takes no place from others. There are `PIVOTS` of them unless
+the sample has fewer distinct vectors. Everything else covers all rows: every vector is in the index,
+and every query meets every chunk, so the part that is ranked by true distance grows with the table. Queries meet chunks in blocks of `QUERIES`.
 
 Defined results: vectors that are null, zero or hold null or non-finite components, or have a null
 id, take no part; rows with equal ids are one vector; a query with fewer candidates than asked for
@@ -32,8 +34,6 @@ from tidemark.session import stage
 
 PIVOTS = 256
 PREFIX = 192
-#: No two pivots are closer than this cosine, so a crowd of near copies gives one pivot only.
-APART = 0.8
 SAMPLE = 8
 RERANK = 0.12
 LEAST = 200
@@ -45,11 +45,10 @@ def fit_pivots(vectors: DataFrame, n: int = PIVOTS) -> np.ndarray:
     """At most n pivots; a sample of n * SAMPLE vectors passes the driver."""
     rows = vectors.orderBy(F.xxhash64("id"), "id").limit(n * SAMPLE).select("vector").collect()
     held = np.array([r.vector for r in rows], dtype=np.float64)
-    unit = held / np.linalg.norm(held, axis=1, keepdims=True)
-    chosen: list[int] = []
-    for k in range(len(unit)):
-        if len(chosen) < n and (not chosen or (unit[chosen] @ unit[k]).max() < APART):
-            chosen.append(k)
+    chosen, away = [0], ((held - held[0]) ** 2).sum(axis=1)
+    while len(chosen) < n and away.max() > 0:
+        chosen.append(int(away.argmax()))
+        away = np.minimum(away, ((held - held[chosen[-1]]) ** 2).sum(axis=1))
     return held[chosen]
 
 
@@ -130,7 +129,7 @@ def nearest(table: DataFrame, is_query: Column, k: int = 10, rerank: float = RER
             depth = min(len(ids), max(LEAST, math.ceil(rerank * len(ids))))
             for query, vector, place in zip(queries["id"], queries["vector"], queries["places"], strict=True):
                 rule = files.footrule(np.frombuffer(place, np.int16))
-                near = np.argpartition(rule, depth - 1)[:depth] if depth < len(ids) else np.arange(len(ids))
+                near = np.flatnonzero(rule <= np.partition(rule, depth - 1)[depth - 1])
                 near = near[ids[near] != query]
                 away = np.sqrt(((mine[near] - np.asarray(vector)) ** 2).sum(axis=1))
                 best = np.lexsort((ids[near], away))[:k]
