@@ -165,6 +165,19 @@ def test_permutation_and_its_inverse():
         assert sorted(there) == list(at) and (mixing.permuted(there, size, key, inverse=True) == at).all()
 
 
+def test_quality_sees_long_words_to_their_end():
+    start, rng = "漢字仮名交文" * 6, np.random.default_rng(2)
+    letters = "".join(chr(0x4E00 + k) for k in rng.integers(0, 5000, 4000))
+    clean, junk = start + letters, start + "!#" * 2000
+    assert not np.array_equal(quality.features(clean)[0], quality.features(junk)[0])
+    assert quality.features(clean)[1][-1] == -(-len(clean) // quality.SHAPE_CHARS)
+    good, bad = (quality.features(" ".join(["word"] * 40 + [w]))[0] for w in (clean, junk))
+    assert np.abs(good - bad).sum() > 1  # most units of the text are in the long word
+    signs = ("漢" * 19 + "。") * 3000  # 5 in 100
+    assert abs(quality.features(signs)[1][2] - 0.05) < 1e-9
+    assert quality.features("x" * 40 + " " + "x" * 40)[1][0] == 2 / 4 and quality.features("a a b")[1][0] == 1 / 3
+
+
 def test_quality_on_labelled_rows(spark, odd_docs):
     folder = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{folder}/documents.parquet")

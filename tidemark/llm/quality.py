@@ -6,6 +6,8 @@
    3 ** (number of labellers) patterns, however many documents.
 3. The patterns' posteriors label a sample of about `SAMPLE` documents, chosen by a hash of their
    rows, and train a linear scorer on hashed features: word shapes and repeats, as shares of the words.
+   A word longer than `SHAPE_CHARS` counts as several words of that length, the last maybe shorter,
+   so texts without spaces are seen to their end.
    The sample's bound is a parameter; votes, counts and scores cover all documents.
 4. The scorer gives every document the probability that it is good; those below `KEEP` go.
 
@@ -63,12 +65,13 @@ def shape(word: str) -> str:
     """Runs of small letters, capitals, digits and other letters as one sign each, symbols up to twice."""
     signs = "".join(
         "a" if c.islower() else "A" if c.isupper() else "0" if c.isdigit() else "x" if c.isalpha() else c
-        for c in word[:SHAPE_CHARS]
+        for c in word
     )
     return _RUNS.sub(lambda m: m[1] or m[2] * 2, signs)
 
 
 _PLACES = PieceTable(lambda sign: zlib.crc32(sign.encode()) % (DIMENSIONS - 2) + 2, 100_000)
+#: Bits of each count of a word; no word is longer than SHAPE_CHARS.
 _BITS, _MOST = 13, (1 << 13) - 1
 
 
@@ -86,24 +89,32 @@ def _describe(word: str) -> int:
         sign = shape(word)
     out = 0
     for count in (capitals, letters, symbols, len(word)):
-        out = out << _BITS | min(count, _MOST)
+        out = out << _BITS | count
     return (out << 3 | odd << 2 | bare << 1 | (end == "!")) << 8 | _PLACES[sign]
 
 
+def _parts(words: list[str]) -> tuple[list[str], np.ndarray]:
+    """Words cut to SHAPE_CHARS, and whether each but the first repeats: equals the part before, or its word the word before."""
+    repeats = np.fromiter(map(eq, words, islice(words, 1, None)), bool, len(words) - 1)
+    if max(map(len, words)) <= SHAPE_CHARS:
+        return words, repeats
+    parts = [w[k : k + SHAPE_CHARS] for w in words for k in range(0, len(w), SHAPE_CHARS)]
+    again = np.repeat(np.concatenate([[False], repeats]), [-(-len(w) // SHAPE_CHARS) for w in words])[1:]
+    return parts, again | np.fromiter(map(eq, parts, islice(parts, 1, None)), bool, len(parts) - 1)
 
 
 def features(text: str | None) -> tuple[np.ndarray | None, tuple[float, ...]]:
     """Hashed features of a text (None without words) and the shares that the labellers look at.
 
-    The last number is the number of words.
+    The last number is the number of words, those of long words' parts.
     """
     words = (text or "").split()
     if not words:
         return None, ()
+    words, repeats = _parts(words)
     n = len(words)
     table = once(("words",), lambda: PieceTable(_describe, WORDS))
     known = np.fromiter(map(table.__getitem__, words), np.int64, n)
-    repeats = np.fromiter(map(eq, words, islice(words, 1, None)), bool, n - 1)
     strange = (known >> 10 & 1).astype(bool)
     strange[1:] |= repeats
     vector = np.bincount(known & 255, minlength=DIMENSIONS) / n
