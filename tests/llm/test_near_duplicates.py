@@ -68,6 +68,25 @@ def test_minhash_groups_equal_brute_force(make_docs, odd_docs):
     assert minhash.groups(docs.limit(0)).count() == 0 and minhash.deduplicated(odd_docs).filter("doc_id = 5").count() == 1
 
 
+def test_minhash_pairs_whose_hubs_are_strangers(make_docs, monkeypatch):
+    rng = random.Random(6)
+    # all documents meet in one bucket only: the bands of a crowd, without waiting for chance
+    plain = minhash.sketches
+
+    def crowded(docs, n):
+        return plain(docs, n).withColumn("bands", F.when(F.col("bands").isNotNull(), F.array(F.lit(7).cast("long"))))
+
+    monkeypatch.setattr(minhash, "sketches", crowded)
+    rows = [(k, " ".join(f"s{rng.randrange(10**6)}" for _ in range(60))) for k in range(700)]
+    copies = {100: 500, 200: 300, 301: 302}
+    for a, b in copies.items():
+        words = rows[a][1].split()
+        rows[b] = (b, " ".join([*words[:-1], "other"]))
+    got = {r.doc_id: r.component_id for r in minhash.groups(make_docs(rows), 3, 85).collect()}
+    want = {k: k for k, _ in rows} | {b: a for a, b in copies.items()}
+    assert got == want
+
+
 VECTORS = "vec_id long, embedding array<float>, label int, id string"
 
 

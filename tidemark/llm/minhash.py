@@ -4,8 +4,10 @@
    universal hash minima, one key per band of minima, and a sketch of one byte per minimum.
 2. Documents with equal sets form a class; one document stands for it from here on.
 3. Classes with an equal band key are a bucket. Each is paired with the bucket's smallest and
-   largest member, never with all members, and pairs whose sketches agree too little go.
-   Components of these pairs are clusters: wider than the groups looked for.
+   largest member, and pairs whose sketches agree too little go. Where that leaves a bucket's other
+   members in several components, all their pairs across components are compared by sketches too,
+   in blocks, so no pair of a bucket is left undecided. Components of all pairs that agree are
+   clusters: wider than the groups looked for.
 4. Inside a cluster all pairs are compared on full sets, in blocks of at most `BLOCK` members, by one
    product of incidence matrices per pair of blocks. A block returns a spanning forest of its links.
 5. Components of the links, by alternating large-star and small-star, are the groups.
@@ -30,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import connected_components
+from tidemark.llm.open_pairs import compared, open_pairs
 from tidemark.session import stage
 
 BANDS, ROWS = 32, 5
@@ -159,6 +162,7 @@ def sketches(docs: DataFrame, n: int) -> DataFrame:
 
 def _clusters(classes: DataFrame, threshold: int) -> DataFrame:
     """(node, component_id): classes that may be linked, directly or through others."""
+    least = (threshold / 100 - SLACK) * HASHES
     rows = classes.select("node", F.explode("bands").alias("key"))
     hubs = rows.groupBy("key").agg(F.min("node").alias("_low"), F.max("node").alias("_high")).filter("_low < _high")
     pairs = rows.join(hubs, "key").select("node", F.explode(F.array("_low", "_high")).alias("hub")).filter("node <> hub")
@@ -167,7 +171,6 @@ def _clusters(classes: DataFrame, threshold: int) -> DataFrame:
     pairs = pairs.join(known.toDF("a", "_one"), "a").join(known.toDF("b", "_two"), "b")
 
     def agree(batches):
-        least = (threshold / 100 - SLACK) * HASHES
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -175,7 +178,21 @@ def _clusters(classes: DataFrame, threshold: int) -> DataFrame:
             close = pa.array((one == two).sum(axis=1) >= least)
             yield pa.RecordBatch.from_arrays([batch.column(c).filter(close) for c in (0, 1)], ["a", "b"])
 
-    return connected_components(pairs.select("a", "b", "_one", "_two").mapInArrow(agree, "a long, b long"))
+    found = connected_components(pairs.select("a", "b", "_one", "_two").mapInArrow(agree, "a long, b long"))
+
+    def close(left: pd.DataFrame, right: pd.DataFrame) -> np.ndarray:
+        one, two = (np.ascontiguousarray(np.frombuffer(b"".join(s["sketch"]), np.uint8).reshape(-1, HASHES).T) for s in (left, right))
+        same = np.zeros((len(left), len(right)), np.uint8)
+        for x, y in zip(one, two, strict=True):
+            same += x[:, None] == y[None, :]
+        return same >= least
+
+    # a hub has met its whole bucket
+    others = rows.join(hubs, "key").filter("node <> _low AND node <> _high").select("key", "node")
+    others = others.join(found, "node", "left").select("key", "node", F.coalesce("component_id", "node").alias("component"))
+    more = compared(open_pairs(others, ["key"]).join(known, "node"), close)
+    joined = found.select(F.col("node").alias("a"), F.col("component_id").alias("b"))
+    return connected_components(joined.unionByName(more))
 
 
 def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
