@@ -118,6 +118,24 @@ def test_vector_groups_equal_brute_force(spark):
     assert vector_dedup.groups(table.limit(0)).count() == 0
 
 
+def test_vector_pairs_in_a_crowd(spark):
+    rng = np.random.default_rng(11)
+    unit = lambda v: v / np.linalg.norm(v, axis=-1, keepdims=True)
+    centre = unit(rng.standard_normal(64))
+    crowd = unit(centre * 0.95**0.5 + 0.05**0.5 * unit(rng.standard_normal((4000, 64))))
+    pairs = [(k, 4000 + k) for k in range(200)]
+    held = np.concatenate([crowd, unit(crowd[:200] + 0.19 * unit(rng.standard_normal((200, 64)))), rng.standard_normal((1000, 64))])
+    held = held.astype(np.float32).astype(float)
+    linked = unit(held) @ unit(held).T >= 0.98
+    np.fill_diagonal(linked, False)
+    table = spark.createDataFrame([(k, v.tolist(), 1, "x") for k, v in enumerate(held)], VECTORS)
+    want = _groups(range(len(held)), [(int(a), int(b)) for a, b in zip(*np.nonzero(np.triu(linked)), strict=True)])
+    assert sum(linked[a, b] for a, b in pairs) > 150
+    got = vector_dedup.groups(table).collect()
+    assert {r.vec_id: r.component_id for r in got} == want
+    assert {r.vec_id: r.n_links for r in got} == dict(enumerate(linked.sum(axis=1).tolist()))
+
+
 def test_nearest_recall_and_scores(spark):
     rows, table = _vectors(spark)
     good = {r[0]: np.array(r[1], np.float32).astype(float) for r in rows if r[0] is not None and r[0] < 2000 or r[0] == 3000}

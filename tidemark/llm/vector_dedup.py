@@ -4,8 +4,11 @@
    sorted by the concatenated bits, first bit first, then id. In that order each vector is
    compared with the `WINDOW` vectors after it. Close vectors often agree in the leading bits, and
    passes are independent: their number follows from the size of the largest label, so that a pair
-   at the threshold is missed by all passes with probability `MISS` at most.
-2. Verified pairs of all passes are united: connected components.
+   at the threshold agrees in `leading_bits` of no pass with probability `MISS` at most.
+2. Vectors that agree in so many bits are a cell. A cell that fits the window has been compared. In
+   a larger one, as a crowd of vectors just below the threshold makes, all pairs that are not in one
+   component yet are compared, in blocks. So that probability is the miss rate whatever the cells hold.
+   Verified pairs of all passes and cells are united: connected components.
 3. A component may be larger than any window. So all pairs inside a component are compared, block
    against block of at most `BLOCK` members, which finds every link between its members.
 
@@ -31,6 +34,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.components import connected_components
 from tidemark.llm.minhash import _forest
+from tidemark.llm.open_pairs import compared, open_pairs
 from tidemark.llm.vectors import dimension, matrix, usable
 from tidemark.session import stage
 
@@ -42,13 +46,17 @@ CHUNK = 1024
 SEED = 99
 
 
+def leading_bits(largest: int, window: int = WINDOW) -> int:
+    """Bits that part a label of so many vectors into cells of half a window, if all were alike in size."""
+    return min(BITS, math.ceil(max(0.0, math.log2(max(largest, 1) / window))) + 1)
+
+
 def n_passes(largest: int, threshold: float, window: int = WINDOW) -> int:
-    """Passes for a label of so many vectors.
+    """Passes for a label of so many vectors: two of them must agree in the leading bits of one pass.
 
-    About log2(largest / window) leading bits must agree for two vectors to be in one window; each
-    does with probability 1 - angle / pi.
+    They agree in each bit with probability 1 - angle / pi.
     """
-    bits = max(0.0, math.log2(max(largest, 1) / window)) + 1
+    bits = leading_bits(largest, window)
     found = (1 - math.acos(threshold) / math.pi) ** bits
     return max(2, math.ceil(math.log(MISS) / math.log(1 - min(found, 1 - 1e-9))))
 
@@ -73,7 +81,7 @@ def _ordered(vectors: DataFrame, size: int, number: int) -> DataFrame:
     return keyed.select("id", "label", "vector", F.posexplode("keys").alias("pass", "key"))
 
 
-def _pass_links(vectors: DataFrame, size: int, number: int, threshold: float, window: int) -> DataFrame:
+def _pass_links(keyed: DataFrame, threshold: float, window: int) -> DataFrame:
     """(a, b): verified pairs from the windows of all passes, a spanning forest per chunk.
 
     Rows get their place in the order of (pass, label, key, id): range and place inside the range.
@@ -89,8 +97,7 @@ def _pass_links(vectors: DataFrame, size: int, number: int, threshold: float, wi
             )
             at += batch.num_rows
 
-    kind = vectors.schema["label"].dataType.simpleString()
-    keyed = stage(_ordered(vectors, size, number), "keys")
+    kind = keyed.schema["label"].dataType.simpleString()
     order = ["pass", "label", "key", "id"]
     placed = stage(
         keyed.select(*order).repartitionByRange(*order).sortWithinPartitions(*order).select("pass", "label", "id")
@@ -119,6 +126,23 @@ def _pass_links(vectors: DataFrame, size: int, number: int, threshold: float, wi
     return dealt.groupBy("chunk").applyInPandas(compare, "a long, b long")
 
 
+def _cell_links(keyed: DataFrame, vectors: DataFrame, found: DataFrame, bits: int, threshold: float, window: int) -> DataFrame:
+    """(a, b): verified pairs of the cells that are wider than the window, across the components found so far."""
+
+    def close(left: pd.DataFrame, right: pd.DataFrame) -> np.ndarray:
+        held = [np.stack(s["vector"].to_numpy()) for s in (left, right)]
+        held = [h / np.sqrt((h * h).sum(axis=1, keepdims=True)) for h in held]
+        return (held[0] @ held[1].T >= threshold) & (left["label"].to_numpy()[:, None] == right["label"].to_numpy()[None, :])
+
+    cell = ["pass", "label", "cell"]
+    rows = keyed.select("pass", "label", F.shiftright("key", BITS - bits).alias("cell"), "id")
+    wide = rows.groupBy(*cell).count().filter(F.col("count") > window + 1).drop("count")
+    rows = rows.join(wide, cell).join(found.withColumnRenamed("node", "id"), "id", "left")
+    rows = rows.select(*cell, F.col("id").alias("node"), F.coalesce("component_id", "id").alias("component"))
+    known = vectors.select(F.col("id").alias("node"), "label", "vector")
+    return compared(open_pairs(rows, cell).join(known, "node"), close)
+
+
 def _link_counts(vectors: DataFrame, found: DataFrame, threshold: float) -> DataFrame:
     """(id, n_links): links of every vector with the members of its component."""
     members = vectors.select("id", "label", "vector").join(found.withColumnRenamed("node", "id"), "id")
@@ -155,7 +179,11 @@ def groups(table: DataFrame, threshold: float = 0.98, window: int = WINDOW) -> D
     everyone = table.select(F.col("vec_id").cast("long").alias("vec_id"))
     if size:
         largest = vectors.groupBy("label").count().agg(F.max("count")).first()[0]
-        found = connected_components(_pass_links(vectors, size, n_passes(largest, threshold, window), threshold, window))
+        keyed = stage(_ordered(vectors, size, n_passes(largest, threshold, window)), "keys")
+        found = connected_components(_pass_links(keyed, threshold, window))
+        more = _cell_links(keyed, vectors, found, leading_bits(largest, window), threshold, window)
+        joined = found.select(F.col("node").alias("a"), F.col("component_id").alias("b"))
+        found = connected_components(joined.unionByName(more))
         counts = _link_counts(vectors, found, threshold)
         named = found.withColumnRenamed("node", "vec_id").join(counts.withColumnRenamed("id", "vec_id"), "vec_id")
     else:
