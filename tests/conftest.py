@@ -4,13 +4,12 @@ from pathlib import Path
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).parent.parent))
+sys.path[:0] = [str(Path(__file__).parent), str(Path(__file__).parent.parent)]
 
+from raw_data import NOW, history_ddl  # noqa: E402
 from tidemark.schemas import FEATURES, RAW_SUPPORT_TICKETS, RAW_TRANSACTIONS, RAW_USERS  # noqa: E402
 from tidemark.session import build_session  # noqa: E402
 
-NOW = datetime(2024, 6, 1)
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -60,11 +59,6 @@ def windows_raw(make_raw):
     )
 
 
-def history_ddl(extra: str = "") -> str:
-    columns = ", ".join(f"{c} double" for c in FEATURES)
-    return f"entity_id bigint, entity_type string, feature_version string, event_time timestamp_ntz, {columns}{extra}"
-
-
 @pytest.fixture
 def make_history(spark):
     """History rows from (entity, time, values) with all features 1.0 unless named in values."""

@@ -2,7 +2,7 @@ import random
 from datetime import date, datetime, timedelta
 
 import pytest
-from conftest import NOW
+from raw_data import NOW
 
 from pyspark.sql import functions as F
 

@@ -1,7 +1,7 @@
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import NOW
+from raw_data import NOW
 
 from tidemark.operators import lineage, registry, run_log
 from tidemark.schemas import FEATURE_REGISTRY, FEATURES, MATERIALIZATION_LOG, REQUEST_LOG, TABLES

@@ -5,7 +5,7 @@ from statistics import NormalDist
 
 import numpy as np
 import pytest
-from conftest import NOW
+from raw_data import NOW
 
 from pyspark.sql import functions as F
 

@@ -1,6 +1,6 @@
 from datetime import date, datetime, timedelta
 
-from conftest import NOW
+from raw_data import NOW
 
 from tidemark.operators.backfill import history_on_grid
 from tidemark.operators.features import feature_vector

@@ -1,7 +1,7 @@
 from datetime import date, datetime, timedelta
 
 import pytest
-from conftest import NOW
+from raw_data import NOW
 
 from tidemark.operators import online
 from tidemark.operators.retrieval import dual_path_batch, dual_path_summary, on_demand_batch, on_demand_single, parity_check

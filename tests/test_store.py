@@ -1,7 +1,7 @@
 from datetime import date, timedelta
 
 import pytest
-from conftest import NOW
+from raw_data import NOW
 
 from pyspark.sql import functions as F
 

@@ -1,5 +1,5 @@
 import pytest
-from conftest import NOW
+from raw_data import NOW
 
 from tidemark.operators.validation import clean, quarantined_rows, valid_rows, validate, violation_counts
 
