@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    licenses, minhash, mixing, permutation_index, quality, secret_scan, sentence_pieces, token_counts, token_files, vector_dedup,
+    alignment, importance, licenses, minhash, mixing, packing, permutation_index, quality, secret_scan, sentence_pieces, token_counts, token_files,
+    vector_dedup,
 )
 from tidemark.llm.common import read
 from tidemark.session import new_path
@@ -62,11 +63,25 @@ def op10_nearest(spark: SparkSession, folder: str) -> DataFrame:
     return permutation_index.nearest(read(spark, folder, "embeddings"), F.col("id") % 100 == 0)
 
 
+def op11_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.digests(read(spark, folder, "documents"), _tokenizer("word_bpe_49k.json"), 1)
+
+
+def op12_importance(spark: SparkSession, folder: str) -> DataFrame:
+    return importance.resampled(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    digest = F.when(F.col("n_a") == 0, F.lit("")).otherwise(F.sha2("groups", 256)).alias("groups_sha256")
+    tokenizers = _tokenizer("byte_bpe_50k.json"), _tokenizer("piece_bpe_32k.model")
+    return alignment.link_scores(read(spark, folder, "documents"), *tokenizers, [digest])
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_license_scan, op2_source_mix, op3_quality, op4_token_counts, op5_token_files, op6_sentence_pieces, op7_secret_scan, op8_minhash_groups,
-        op9_vector_groups, op10_nearest,
+        op9_vector_groups, op10_nearest, op11_packing, op12_importance, op13_alignment,
     )
 }
 ORACLES: dict[str, str] = {}
