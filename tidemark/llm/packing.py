@@ -22,6 +22,7 @@ empty table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
+import struct
 from collections import Counter
 from dataclasses import dataclass, field
 
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import ship
-from tidemark.llm.tokenizing import PieceTable, load, once
+from tidemark.llm.tokenizing import UNITS, WORDS, PieceTable, byte_signs, load, once, signs_and_letters
 from tidemark.session import stage
 
 CAPACITY = 4096
@@ -44,12 +45,34 @@ class WordEncoder:
     """Ids, as bytes, for a tokenizer that drops white space before it looks for tokens.
 
     Words between spaces and line ends are encoded on their own: no token and no special string
-    holds one.
+    holds one. Most words are letters with signs around them; letters and signs are units of their own,
+    so the library's model gets the letters without its splitting. Words, letters and kinds of signs are
+    remembered, up to bounds that change speed only.
     """
 
     def __init__(self, path: str):
-        encode = load(path).encode
-        self.table = PieceTable(lambda word: np.array(encode(word, add_special_tokens=False).ids, DTYPE).tobytes())
+        tokenizer = load(path)
+        encode, of_model, signs = tokenizer.encode, tokenizer.model.tokenize, byte_signs()
+        whole = lambda word: np.array(encode(word, add_special_tokens=False).ids, DTYPE).tobytes()
+        around = PieceTable(whole)
+
+        def unit(letters: str) -> bytes:
+            ids = [t.id for t in of_model(letters if letters.isascii() else letters.encode().decode("latin-1").translate(signs))]
+            return struct.pack(f"<{len(ids)}I", *ids)
+
+        units = PieceTable(unit, UNITS)
+
+        plain = all(
+            around[a] + units[w.lower()] + around[b] == whole(a + w + b) for w in ("The", "Élève", "ŵordLess") for a in ("", "(", "**") for b in ("", ".", ",***")
+        )
+
+        def value(word: str) -> bytes:
+            if plain and (parts := signs_and_letters(word)):
+                before, letters, after = parts
+                return around[before] + units[letters.lower()] + around[after]
+            return whole(word)
+
+        self.table = PieceTable(value, WORDS)
 
     def __call__(self, text: str | None) -> bytes:
         return b"".join(map(self.table.__getitem__, (text or "").replace("\n", " ").split(" ")))
@@ -67,7 +90,7 @@ def cut_documents(docs: DataFrame, tokenizer: str, end_id: int, capacity: int =
         encoder = once(("words", tokenizer), lambda: WordEncoder(tokenizer))
         width, end = np.dtype(DTYPE).itemsize, np.array([end_id], DTYPE).tobytes()
         part, seen = TaskContext.get().partitionId(), [0] * (capacity + 1)
-        for batch in batches:
+        for batch in (b.slice(at, 1000) for b in batches for at in range(0, b.num_rows, 1000)):
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 ids = encoder(text) + end
@@ -247,7 +270,8 @@ def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     earlier = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     before = seen.select("part", "length", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_before"))
     rest = [c for c in pieces.columns if c not in ("part", "number")]
-    known = pieces.join(before, ["part", "length"]).select(*rest, (F.col("_before") + F.col("number")).alias("_number"))
+    # hinted, as both sides grow with the corpus and neither may be broadcast
+    known = pieces.join(before.hint("merge"), ["part", "length"]).select(*rest, (F.col("_before") + F.col("number")).alias("_number"))
     names = [*rest, "sequence_id", "offset"]
     at = rest.index("length")
 
