@@ -226,16 +226,35 @@ def test_alignment(spark, make_docs, odd_docs, monkeypatch):
     assert _tuples(queries.op13_alignment(spark, FOLDER)) == _aligned(whole)[0]
 
 
+def test_alignment_stays_right_when_tables_are_full(make_docs, monkeypatch):
+    rng = random.Random(6)
+    texts = [" ".join("".join(rng.choice("abté(.,") for _ in range(rng.randint(1, 4))) for _ in range(30)) for _ in range(40)]
+    want = _aligned(list(enumerate(texts)))[0]
+    monkeypatch.setattr(alignment, "STRETCHES", 10)
+    monkeypatch.setattr(alignment, "PARTS", 7)
+    known = alignment.Known(alignment.Tokenizers(BYTE_BPE, PIECES))
+    sizes = {}
+    for k, text in enumerate(texts):
+        known.forget(alignment.STRETCHES)
+        pieces = alignment.pieces_of(text)
+        known.add(list(set(pieces).difference(known.number)))
+        used = [known.number[p] for p in pieces]
+        groups = ";".join(known.groups[u] for u in used)
+        sizes[k] = (*np.array([known.sizes[u] for u in used]).sum(axis=0)[:4].tolist(), hashlib.sha256(groups.encode()).hexdigest())
+        assert len(known.of_part) <= 7 and len(known.groups) == len(known.number) == len(known.sizes) == len(known.ones) == len(known.odds)
+    assert sizes == {r[0]: (*r[1:5], r[7]) for r in want}
+
+
 def test_stretches_equal_whole_texts():
     known = alignment.Known(alignment.Tokenizers(BYTE_BPE, PIECES))
     library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
     rng = random.Random(4)
-    signs = [" ", " ", "\n", "a", "b", "The", "é", "漢", "\t", "\r", "1", ".", "'s", "᠎", " ", "\x1c", "🙂"]
+    signs = [" ", " ", "(", ",*", "_", "É", "İ", "-", "\n", "a", "b", "The", "é", "漢", "\t", "\r", "1", ".", "'s", "᠎", " ", "\x1c", "🙂"]
     for _ in range(3000):
         text = "".join(rng.choice(signs) for _ in range(rng.randint(1, 14)))
-        cut = alignment.stretches_of(text)
+        cut = list(map(alignment.stretch_of, alignment.pieces_of(text)))
         assert "".join(cut) == " " + text
-        parts = known.tokenizers.encode(cut)
+        parts = known.tokenizers.encode([p for s in cut for p in known.tokenizers.parts(s)])
         assert [i for p in parts for i in p[0]] == known.tokenizers.a.encode(" " + text, add_special_tokens=False).ids, text
         assert [i for p in parts for i in p[1]] == library.encode(text), text
 

@@ -12,7 +12,7 @@ with its number of documents, and gets its total back once, however many links i
 all documents share comes once for each block, and a block's size bounds what a task holds.
 
 Texts are cut at single spaces and line ends between other signs, where neither tokenizer has a token
-across; what such a stretch gives is remembered by its worker up to a bound.
+across; what such a stretch gives is remembered by its worker up to a bound; letters and the signs around them are aligned apart.
 
 Defined results: texts that are null or empty, or whose tokens of either side do not spell the space and
 the text (those with a space mark of B inside) have no tokens; special strings are plain text; repeated
@@ -22,6 +22,9 @@ unless `extra` names them.
 
 from __future__ import annotations
 
+import struct
+from itertools import islice
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -31,19 +34,25 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import ship
 from tidemark.llm.sentence_pieces import MARK
-from tidemark.llm.tokenizing import _LONE, _WHITE, byte_signs, once
+from tidemark.llm.tokenizing import _LETTERS, _LONE, _WHITE, byte_signs, once, signs_and_letters
+from tidemark.llm.tokenizing import _SIGNS as SIGNS
 from tidemark.session import stage
 
-STRETCHES = 200_000
+STRETCHES, PARTS = 250_000, 200_000
 BLOCK_CHARS = 4_000_000
 _CODE = 16  # bits of a B id in the code of a pair
 ROWS = (
     "block long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups string, ones binary, odds binary, "
     "pairs binary, vector binary"
 )
+_OTHER_WHITE = frozenset(c for c in map(chr, range(0x3001)) if _WHITE.match(c)) - set(" \n")
 _LINKS = np.dtype([("code", "<u4"), ("n", "<u4")])
 
 
+def is_letter(sign: str) -> bool:
+    return _LETTERS.fullmatch(sign) is not None
+
+
 class Tokenizers:
     """Both tokenizers, the bytes of their tokens, and the B id that spells the same bytes as each A id."""
 
@@ -67,6 +76,16 @@ class Tokenizers:
         ]
         if any(MARK in p.lstrip(MARK) or "\n" in p for i, p in enumerate(pieces) if self.b_bytes[i] and not self.b.is_byte(i)):
             raise ValueError("a piece holds a space mark after its start, or a line end")
+        signs = byte_signs()
+        of_model = self.a.model.tokenize
+        self._letters = lambda part: [t.id for t in of_model(part.encode().decode("latin-1").translate(signs))]
+        self._apart = all(  # letters are a unit of their own for A, and no piece of B holds letters and signs
+            self._letters(" " + w) + self._letters(w) == self.a.encode(f" {w}", add_special_tokens=False).ids + self.a.encode(w, add_special_tokens=False).ids
+            for w in ("The", "élève", "ŵordless")
+        ) and not any(
+            is_letter(x) and y in SIGNS or x in SIGNS and is_letter(y)
+            for i, p in enumerate(pieces) if self.b_bytes[i] and not self.b.is_byte(i) for x, y in zip(p, p[1:], strict=False)
+        )
 
     def same_bytes(self) -> np.ndarray:
         """For each A id the B id with the same bytes, -1 if there is none. Where a byte has a token
@@ -75,80 +94,143 @@ class Tokenizers:
         of = {self.b_bytes[i]: i for i in ids}
         return np.array([of.get(token, -1) if token else -1 for token in self.a_bytes], np.int64)
 
-    def encode(self, stretches: list[str]) -> list[tuple[list[int], list[int]]]:
-        """Ids of both sides for stretches that begin with their space or line end."""
-        a = [e.ids for e in self.a.encode_batch(stretches, add_special_tokens=False)]
-        # B adds a space, which a stretch has already; before a line end it is a token of its own
-        b = self.b.encode([s[1:] if s[0] == " " else s for s in stretches], num_threads=1)
-        return [(x, y if s[0] == " " else y[1:]) for s, x, y in zip(stretches, a, b, strict=True)]
-
-
-def cut_groups(a: list[int], b: list[int], a_bytes: list[bytes], b_bytes: list[bytes]) -> list[tuple[list[int], list[int]]]:
-    """The groups of two tokenizations of the same bytes."""
-    groups, i, j, end_a, end_b, from_a, from_b = [], 0, 0, 0, 0, 0, 0
-    while i < len(a) or j < len(b):
-        if end_a <= end_b and i < len(a):
-            end_a += len(a_bytes[a[i]])
-            i += 1
-        else:
-            end_b += len(b_bytes[b[j]])
-            j += 1
-        if end_a == end_b:
-            groups.append((a[from_a:i], b[from_b:j]))
-            from_a, from_b = i, j
-    return groups
+    def parts(self, stretch: str) -> list[str]:
+        """A stretch cut between its letters and the signs around them, where neither side has a token across."""
+        held = signs_and_letters(stretch[1:]) if self._apart else None
+        if held is None:
+            return [stretch]
+        lead, (before, letters, after) = stretch[0], held
+        if before or lead == "\n":
+            return [p for p in (lead + before, letters, after) if p]
+        return [lead + letters, after] if after else [lead + letters]
+
+    def encode(self, parts: list[str]) -> list[tuple[list[int], list[int]]]:
+        """Ids of both sides for parts as they stand inside a text."""
+        plain = [self._apart and _LETTERS.fullmatch(p, 1 if p[0] == " " else 0) is not None for p in parts]
+        others = iter(self.a.encode_batch([p for p, k in zip(parts, plain, strict=True) if not k], add_special_tokens=False))
+        a = [self._letters(p) if k else next(others).ids for p, k in zip(parts, plain, strict=True)]
+        # B adds a space: one that the part has already; before a line end it is a token of its own
+        b = self.b.encode([p[1:] if p[0] == " " else p if p[0] == "\n" else "\n" + p for p in parts], num_threads=1)
+        return [(x, y if p[0] == " " else y[1:] if p[0] == "\n" else y[2:]) for p, x, y in zip(parts, a, b, strict=True)]
 
 
 class Known:
-    """What each stretch gives, as lists by the stretch's number; numbers grow as stretches come."""
+    """What parts and stretches give; parts are remembered up to `PARTS`, stretches have numbers as they come.
+
+    A stretch gives the text of its groups, the codes of its links that the array of same bytes names, those
+    of the others, and its sizes: A tokens, B tokens, groups, links, whether the tokens spell it.
+    """
 
     def __init__(self, tokenizers: Tokenizers):
         self.tokenizers, self.same = tokenizers, tokenizers.same_bytes().tolist()
-        self.clear()
-
-    def clear(self) -> None:
+        self.a_size, self.b_size = ([len(x) for x in of] for of in (tokenizers.a_bytes, tokenizers.b_bytes))
+        self.a_text, self.b_text = ([str(i) for i in range(len(of))] for of in (tokenizers.a_bytes, tokenizers.b_bytes))
+        self.of_part: dict[str, tuple[str, bytes, bytes, tuple]] = {}
         self.number: dict[str, int] = {}
         self.groups: list[str] = []
-        self.sizes: list[tuple[int, int, int, int, bool]] = []  # A tokens, B tokens, groups, links, spelled
-        self.ones: list[list[int]] = []  # A ids of links that the array of same bytes names
-        self.odds: list[list[int]] = []  # codes of the other links
-
-    def add(self, stretches: list[str]) -> None:
+        self.ones: list[bytes] = []
+        self.odds: list[bytes] = []
+        self.sizes: list[tuple[int, int, int, int, int]] = []
+
+    def forget(self, limit: int) -> None:
+        """Let go of the stretches that came after the first `limit`: the frequent ones come early."""
+        for piece in list(islice(reversed(self.number), max(0, len(self.number) - limit))):
+            del self.number[piece]
+        for held in (self.groups, self.ones, self.odds, self.sizes):
+            del held[limit:]
+
+    def _aligned(self, a: list[int], b: list[int]) -> tuple[str, bytes, bytes, tuple]:
+        """Groups of two tokenizations that spell the same bytes."""
+        a_size, b_size, a_text, b_text, same = self.a_size, self.b_size, self.a_text, self.b_text, self.same
+        texts, ones, odds = [], [], []
+        i = j = end_a = end_b = 0
+        n_a = len(a)
+        while i < n_a:
+            from_a, from_b = i, j
+            end_a += a_size[a[i]]
+            end_b += b_size[b[j]]
+            i += 1
+            j += 1
+            while end_a != end_b:
+                if end_a < end_b:
+                    end_a += a_size[a[i]]
+                    i += 1
+                else:
+                    end_b += b_size[b[j]]
+                    j += 1
+            if i - from_a == 1 == j - from_b:
+                x, y = a[from_a], b[from_b]
+                texts.append(f"{a_text[x]}|{b_text[y]}")
+                if same[x] == y:
+                    ones.append(x)
+                else:
+                    odds.append(x << _CODE | y)
+                continue
+            mine, other = a[from_a:i], b[from_b:j]
+            texts.append(f"{','.join([a_text[x] for x in mine])}|{','.join([b_text[y] for y in other])}")
+            for x in mine:
+                for y in other:
+                    if same[x] == y:
+                        ones.append(x)
+                    else:
+                        odds.append(x << _CODE | y)
+        sizes = (n_a, len(b), len(texts), len(ones) + len(odds), 1)
+        return ";".join(texts), struct.pack(f"<{len(ones)}I", *ones), struct.pack(f"<{len(odds)}I", *odds), sizes
+
+    def _parts(self, parts: set[str]) -> dict[str, tuple[str, bytes, bytes, tuple]]:
+        """What each of the parts gives that are not remembered."""
+        new = list(parts.difference(self.of_part))
         a_bytes, b_bytes = self.tokenizers.a_bytes, self.tokenizers.b_bytes
-        for stretch, (a, b) in zip(stretches, self.tokenizers.encode(stretches), strict=True):
-            raw = stretch.encode()
-            spelled = b"".join(map(a_bytes.__getitem__, a)) == raw == b"".join(map(b_bytes.__getitem__, b))
-            groups = cut_groups(a, b, a_bytes, b_bytes) if spelled else []
-            ones, odds = [], []
-            for of_a, of_b in groups:
-                for x in of_a:
-                    for y in of_b:
-                        if self.same[x] == y:
-                            ones.append(x)
-                        else:
-                            odds.append(x << _CODE | y)
-            self.number[stretch] = len(self.groups)
-            self.groups.append(";".join(f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in groups))
-            self.sizes.append((len(a), len(b), len(groups), len(ones) + len(odds), spelled))
+        found = {}
+        for part, (a, b) in zip(new, self.tokenizers.encode(new), strict=True):
+            raw = part.encode()
+            spelled = b"".join([a_bytes[x] for x in a]) == raw == b"".join([b_bytes[y] for y in b])
+            found[part] = self._aligned(a, b) if spelled else ("", b"", b"", (0, 0, 0, 0, 0))
+        self.of_part.update(islice(found.items(), max(0, PARTS - len(self.of_part))))
+        return found
+
+    def add(self, pieces: list[str]) -> None:
+        """Take in the stretches of new pieces."""
+        cut = [self.tokenizers.parts(stretch_of(p)) for p in pieces]
+        found = self._parts(set().union(*cut))
+        known = self.of_part
+        for piece, parts in zip(pieces, cut, strict=True):
+            held = [known.get(p) or found[p] for p in parts]
+            if len(held) == 1:
+                text, ones, odds, sizes = held[0]
+            else:
+                text, ones, odds, sizes = zip(*held, strict=True)
+                text, ones, odds = ";".join(text), b"".join(ones), b"".join(odds)
+                sizes = (*map(sum, list(zip(*sizes, strict=True))[:4]), min([x[4] for x in sizes]))
+            self.number[piece] = len(self.groups)
+            self.groups.append(text)
             self.ones.append(ones)
             self.odds.append(odds)
+            self.sizes.append(sizes)
+
 
+def pieces_of(text: str) -> list[str]:
+    """Short names of the stretches of a text that is not empty: a stretch without its space, where that is clear.
 
-def stretches_of(text: str) -> list[str]:
-    """Stretches that joined are a space and the text, each with its space or line end first."""
-    first, *rest = text.replace("\n", " \n").split(" ")
-    if first and not _WHITE.search(first) and all(p and not _WHITE.search(p, 1 if p[0] == "\n" and len(p) > 1 else 0) for p in rest):
-        return [" " + first, *[p if p[0] == "\n" else " " + p for p in rest]]
+    Joined, the stretches are a space and the text.
+    """
+    if not (text[0] in " \n" or text[-1] in " \n" or "  " in text or "\n\n" in text or " \n" in text or "\n " in text or _OTHER_WHITE.intersection(text)):
+        return text.replace("\n", " \n").split(" ")
     first, *rest = _LONE.split(text)
     return [" " + first, *[p if p[0] == "\n" else " " + p for p in rest]]
 
 
-def _summed(doc: np.ndarray, values: list[list[int]], used: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def stretch_of(piece: str) -> str:
+    """The stretch that a short name stands for, with its space or line end first."""
+    return piece if piece[0] in " \n" else " " + piece
+
+
+def _summed(doc: np.ndarray, values: list[bytes], used: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct (document, value) of the stretches `used` by documents `doc`, with how often each comes."""
     kinds, at = np.unique(used, return_inverse=True)
     lists = [values[k] for k in kinds.tolist()]
-    size = np.array([len(v) for v in lists], np.int64)
-    flat = np.array([x for v in lists for x in v], np.int64)
+    size = np.fromiter(map(len, lists), np.int64, len(lists)) // 4
+    flat = np.frombuffer(b"".join(lists), "<u4").astype(np.int64)
     start = np.cumsum(size) - size
     each = size[at]
     total = int(each.sum())
@@ -201,9 +283,8 @@ def alignments(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
         part = TaskContext.get().partitionId()
         vector = np.zeros(len(known.same), np.int64)
         for at, (ids, texts) in enumerate(blocks(batches)):
-            if len(known.number) > STRETCHES:
-                known.clear()
-            cut = [stretches_of(t) if t and MARK not in t else [] for t in texts]
+            known.forget(STRETCHES)
+            cut = [pieces_of(t) if t and MARK not in t else [] for t in texts]
             new = list(set().union(*cut).difference(known.number))
             for k in range(0, len(new), 10_000):
                 known.add(new[k : k + 10_000])
