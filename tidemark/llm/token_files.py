@@ -7,8 +7,9 @@ one, four ids to a byte from the low bits up; `data` has the bytes of the ranks,
 `part` and `offset` tell the place of a row: the ids before it inside its part. The ranking, one row
 per vocabulary id, lies beside the rows.
 
-Defined results: a null text holds only the end id; rows with equal ids come in the order of their
-ids' bytes; null ids come first; an empty table gives empty files; other columns are not read.
+Defined results: a null text holds only the end id; rows with equal doc_id come in the order of a hash
+of their token ids, copies side by side; null ids come first; an empty table gives empty files; other
+columns are not read; a vocabulary whose ids need more than 16 bits is refused with an error.
 """
 
 from __future__ import annotations
@@ -17,23 +18,31 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import ship
 from tidemark.llm.tokenizing import ByteLevelEncoder, once
 from tidemark.session import new_path
 
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Lengths of the four ranks of each control byte.
 LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1
 
 
-def pack(ranks: np.ndarray) -> tuple[bytes, bytes]:
-    """Control and data bytes of ranks below 2**32."""
+def pack(ranks: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Control and data bytes of ranks below 2**32, and where those of each document end in both.
+
+    `n` is the number of ranks of each document, one document by default; each begins a control byte of its own.
+    """
+    n = np.array([len(ranks)]) if n is None else n
     size = 1 + (ranks > 0xFF).astype(np.int64) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
-    codes = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
-    codes[: len(ranks)] = size - 1
+    control_ends = np.cumsum((n + 3) // 4)
+    # a rank's place among the padded codes: its own place plus the padding of the documents before
+    padding = 4 * (control_ends - (n + 3) // 4) - (np.cumsum(n) - n)
+    codes = np.zeros(4 * int(control_ends[-1]) if len(n) else 0, np.uint8)
+    codes[np.arange(len(ranks)) + np.repeat(padding, n)] = size - 1
     codes = codes.reshape(-1, 4)
     control = codes[:, 0] | codes[:, 1] << 2 | codes[:, 2] << 4 | codes[:, 3] << 6
     ends = np.cumsum(size)
@@ -41,28 +50,45 @@ def pack(ranks: np.ndarray) -> tuple[bytes, bytes]:
     starts = ends - size
     data[starts] = ranks & 0xFF
     for k in range(1, int(size.max(initial=1))):
-        longer = size > k
+        longer = np.flatnonzero(size > k)
         data[starts[longer] + k] = ranks[longer] >> 8 * k & 0xFF
-    return control.tobytes(), data.tobytes()
+    data_ends = np.concatenate([[0], ends])[np.cumsum(n)]
+    return control, data, control_ends, data_ends
 
 
-def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
-    """The n ranks: control bytes give lengths by table, lengths give places, places give bytes."""
-    size = LENGTHS[np.frombuffer(control, np.uint8)].reshape(-1)[:n]
+def unpack(control: np.ndarray, data: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The ranks of documents of n ranks each: control bytes give lengths by table, lengths give places, places give bytes."""
+    size = LENGTHS[control].reshape(-1)
+    if len(n) > 1 or len(size) != int(n.sum()):  # codes that fill up a document's last control byte stand for nothing
+        padded = (n + 3) // 4 * 4
+        first = np.cumsum(padded) - padded
+        size = size[np.arange(int(n.sum())) + np.repeat(first - (np.cumsum(n) - n), n)]
     starts = np.cumsum(size) - size
-    raw = np.frombuffer(data, np.uint8)
-    ranks = raw[starts].astype(np.uint32)
+    ranks = data[starts].astype(np.uint32)
     for k in range(1, int(size.max(initial=1))):
-        longer = size > k
-        ranks[longer] |= raw[starts[longer] + k].astype(np.uint32) << np.uint32(8 * k)
+        longer = np.flatnonzero(size > k)
+        ranks[longer] |= data[starts[longer] + k].astype(np.uint32) << np.uint32(8 * k)
     return ranks
 
 
-def encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
-    """Documents in ranges of doc_id as (doc_id, ids), and a row (counts) for every task.
+def _bytes_of(column: pa.Array) -> np.ndarray:
+    """All bytes of a binary column without nulls, one value after another."""
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
 
-    Texts are put in order first, so the ids need no further shuffle.
-    """
+
+def _binary(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    offsets = np.concatenate([[0], ends]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _slices(batches, rows: int = 1000):
+    return (b.slice(at, rows) for b in batches for at in range(0, b.num_rows, rows))
+
+
+def encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
+    """(doc_id, ids) of every document as the scan meets it, and a row (counts) for every task."""
+    ship(docs.sparkSession)
 
     def encode(batches):
         encoder = once(("bytes", tokenizer), lambda: ByteLevelEncoder(tokenizer))
@@ -78,8 +104,7 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary()), pa.nulls(len(ids), pa.binary())], schema=schema)
         yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([counts.tobytes()], pa.binary())], schema=schema)
 
-    ordered = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-    return ordered.mapInArrow(encode, "doc_id long, ids binary, counts binary")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(encode, "doc_id long, ids binary, counts binary")
 
 
 def ranking(staged: DataFrame) -> DataFrame:
@@ -101,12 +126,7 @@ def write_files(docs: DataFrame, tokenizer: str, end_id: int, path: str) -> None
     """Encode, rank and write; `path` gets the folders `tokens` and `ranking`."""
     spark = docs.sparkSession
     work = new_path(spark, "ids")
-    before = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")  # the texts in order are not needed once their ids are written
-    try:
-        encoded(docs, tokenizer, end_id).write.option("compression", "zstd").parquet(work)
-    finally:
-        spark.conf.set(CLEANUP, before) if before is not None else spark.conf.unset(CLEANUP)
+    encoded(docs, tokenizer, end_id).write.option("compression", "zstd").parquet(work)
     staged = spark.read.schema("doc_id long, ids binary, counts binary").parquet(work)
     ranking(staged).write.parquet(f"{path}/ranking")
     rank_of = np.zeros(1 << 16, np.uint32)
@@ -115,20 +135,24 @@ def write_files(docs: DataFrame, tokenizer: str, end_id: int, path: str) -> None
 
     def to_bytes(batches):
         part, offset = TaskContext.get().partitionId(), 0
-        for batch in batches:
-            rows = []
-            for doc, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ranks = rank_of[np.frombuffer(ids, ByteLevelEncoder.dtype)]
-                rows.append((doc, part, offset, len(ranks), *pack(ranks)))
-                offset += len(ranks)
+        for batch in _slices(batches):
+            ids = _bytes_of(batch.column(1)).view(ByteLevelEncoder.dtype)
+            n = np.asarray(pc.binary_length(batch.column(1)), np.int64) // ids.itemsize
+            control, data, control_ends, data_ends = pack(rank_of[ids], n)
+            starts = offset + np.cumsum(n) - n
+            offset += int(n.sum())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary()), strict=True)],
+                [batch.column(0), pa.array(np.full(len(n), part, np.int32)), pa.array(starts), pa.array(n.astype(np.int32)),
+                 _binary(control, control_ends), _binary(data, data_ends)],
                 ["doc_id", "part", "offset", "n_tokens", "control", "data"],
             )
 
-    # a staged file is a range of documents in order; a new shuffle would only repeat the first one
-    ordered = staged.filter("ids IS NOT NULL").select("doc_id", "ids")
-    parts = ordered.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "ids")
+    # the only shuffle: ids, dealt by ranges; a hash and the row's place part rows of one id, copies too
+    order = ["doc_id", "_hash", "_row"]
+    ordered = staged.filter("ids IS NOT NULL").select(
+        "doc_id", "ids", F.xxhash64("ids").alias("_hash"), F.monotonically_increasing_id().alias("_row")
+    )
+    parts = ordered.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "ids")
     parts.mapInArrow(to_bytes, "doc_id long, part int, offset long, n_tokens int, control binary, data binary").write.parquet(f"{path}/tokens")
 
 
@@ -140,9 +164,11 @@ def read_files(spark: SparkSession, path: str) -> DataFrame:
         ids_of[row["rank"]] = row.id
 
     def check(batches):
-        for batch in batches:
-            n, control, data = (batch.column(k).to_pylist() for k in (3, 4, 5))
-            crcs = [zlib.crc32(ids_of[unpack(c, d, k)].astype("<u4").tobytes()) for c, d, k in zip(control, data, n, strict=True)]
+        for batch in _slices(batches):
+            n = np.asarray(batch.column(3), np.int64)
+            ids = ids_of[unpack(_bytes_of(batch.column(4)), _bytes_of(batch.column(5)), n)].astype("<u4")
+            ends = np.cumsum(n)
+            crcs = [zlib.crc32(ids[a:b]) for a, b in zip((ends - n).tolist(), ends.tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(crcs, pa.int64())], ["doc_id", "part", "offset", "n_tokens", "ids_crc32"])
 
     parts = tokens.groupBy("part").agg(F.sum("n_tokens").alias("_n"))
