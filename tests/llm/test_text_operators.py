@@ -48,7 +48,17 @@ def test_token_files_round_trip(spark, odd_docs):
     crc = lambda t: zlib.crc32(np.array([*library.encode(t or "", add_special_tokens=False).ids, 2], "<u4").tobytes())
     assert Counter((r.doc_id, r.ids_crc32) for r in got) == Counter((i, crc(t)) for i, t in _rows(odd_docs).elements())
     ranks = np.array([0, 255, 256, 65535, 65536, 1 << 24, 3], np.uint32)
-    assert (token_files.unpack(*token_files.pack(ranks), len(ranks)) == ranks).all()
+    control, data, *_ = token_files.pack(ranks)
+    assert (token_files.unpack(control, data, np.array([len(ranks)])) == ranks).all()
+    rng = np.random.default_rng(1)
+    for n in ([], [0], [1], [4, 0, 3], [5, 8, 0, 0, 1, 2]):
+        n = np.array(n, np.int64)
+        ranks = (rng.integers(0, 1 << 32, n.sum()) >> rng.choice([0, 8, 16, 24], n.sum())).astype(np.uint32)
+        control, data, control_ends, data_ends = token_files.pack(ranks, n)
+        assert (token_files.unpack(control, data, n) == ranks).all()
+        for k, (c, d) in enumerate(zip(control_ends, data_ends)):
+            alone = token_files.pack(ranks[n[:k].sum() : n[: k + 1].sum()])
+            assert (control[control_ends[k - 1] if k else 0 : c] == alone[0]).all() and (data[data_ends[k - 1] if k else 0 : d] == alone[1]).all()
     empty = new_path(spark, "files")
     token_files.write_files(odd_docs.limit(0), BYTE_BPE, 2, empty)
     assert token_files.read_files(spark, empty).count() == 0
@@ -92,6 +102,47 @@ def test_secrets(spark, make_docs):
     assert secret_scan.redacted(docs).columns == docs.columns and secret_scan.scan(docs.limit(0)).count() == 0
 
 
+def test_the_allow_list_clears_only_what_it_names(make_docs):
+    key = "aZ3kP9xQ7vLm2RtY8sWd4BnC"
+    whole = [f"EXAMPLE_KEY={key}", f"/samples/{key}", f"2024-01-01-{key}", f"{key}/xxxx", f"dummy-{key}-example", f"a1/xxxx+{key}=="]
+    none = [f"example{key}", f"{key}Sample", f"placeholder_{key}DUMMY", "2024-01-01-some-long-file-name-with-words", "0123456789/abcdefgh/0123456789",
+            "123e4567-e89b-12d3-a456-426614174000"]
+    docs = make_docs(list(enumerate(whole + none)))
+    for r in secret_scan.scan(docs).collect():
+        text = (whole + none)[r.doc_id]
+        assert r.spans == (f"entropy:0:{len(text)}" if r.doc_id < len(whole) else ""), text
+    assert all((key in r.text) == (r.doc_id >= len(whole)) for r in secret_scan.redacted(docs).collect() if key in (whole + none)[r.doc_id])
+
+
+def _entropy_spans(text, base):
+    """The rule of the module in plain Python, window by window."""
+    found = []
+    for m in re.finditer(rf"(?<![{secret_scan._KEY}])(?=[A-Za-z+/=_-]*[0-9])(?=[0-9+/=_-]*[A-Za-z])[{secret_scan._KEY}]{{{secret_scan.WINDOW},}}", text):
+        left = "" if re.search(secret_scan.IDENTIFIER, m[0]) else re.sub(secret_scan.ALLOWED, " ", m[0])
+        for run in left.split(" "):
+            bits = next(b for p, b in secret_scan.CLASSES if re.search(p, run))
+            windows = [run[k : k + secret_scan.WINDOW] for k in range(len(run) - secret_scan.WINDOW + 1)]
+            entropy = lambda w: -sum(n / len(w) * np.log2(n / len(w)) for n in Counter(w).values())
+            if re.search("[0-9]", run) and re.search("[A-Za-z]", run) and any(entropy(w) >= bits for w in windows):
+                found.append((m.start(), 3, m.end()))
+                break
+    return [f for f in found if not any(f[0] < e and s < f[2] for s, _, e in base)]
+
+
+def test_all_spans_equal_plain_python(spark, odd_docs):
+    docs = odd_docs.select("doc_id", "text").unionByName(spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text"))
+    want = Counter()
+    for i, t in _rows(docs).elements():
+        t = t or ""
+        base = sorted(
+            [(m.start(), 0, m.end()) for m in ASSIGN.finditer(t) if len(m[2]) >= 6]
+            + [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 20]
+            + [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 24]
+        )
+        want[i, ",".join(f"{secret_scan.KINDS[k]}:{a}:{b}" for a, k, b in sorted(base + _entropy_spans(t, base)))] += 1
+    assert Counter((r.doc_id, r.spans) for r in secret_scan.scan(docs).collect()) == want
+
+
 def test_window_entropy_equals_counting(spark):
     values = ["aB3" * 10, "".join(chr(48 + k % 10) for k in range(45)), "a" * 25, "short1", "aZ3kP9xQ7vLm2RtY8sWd4BnC"]
 

@@ -4,8 +4,10 @@ Patterns give spans of the kinds assign, access and hex. The method adds the kin
 runs of key characters with both letters and digits are candidates; a window of `WINDOW` characters
 slides over each, counts of characters and the sum of c * log2(c) are kept up to date as one
 character enters and one leaves, and a candidate whose largest window entropy (in bits) reaches the
-threshold of its character class is a secret, unless the allow list names it or a pattern span
-touches it.
+threshold of its character class is a secret, unless a pattern span touches it. The allow list takes
+out of a candidate only what it names, a leading date or the whole part (letters and digits between
+other signs) that holds a word of it; what is left around that is judged like candidates of its own.
+Only an identifier that is the whole candidate clears all of it.
 
 Spans count code points, end exclusive. Defined results: a null text is the empty one and has no
 spans; repeated rows give a row each; an empty table gives an empty result; other columns are kept
@@ -31,12 +33,11 @@ _KEY = "A-Za-z0-9+/=_-"
 CANDIDATE = rf"(?<![{_KEY}])(?=[A-Za-z+/=_-]*[0-9])(?=[0-9+/=_-]*[A-Za-z])[{_KEY}]{{{WINDOW},}}"
 #: Character classes and the entropy in bits that a window must reach; the first class that fits holds.
 CLASSES = ((r"^[0-9a-fA-F]+$", 2.9), (r"^[A-Z0-9]+$", 3.4), (r"^", 3.75))
-#: Candidates that are no secrets: identifiers, dates, and strings made to be examples.
-ALLOWED = (
-    r"^[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$"
-    r"|^[0-9]{4}-[0-9]{2}-[0-9]{2}"
-    r"|(?i)example|sample|dummy|placeholder|xxxx|0123456789|abcdefgh"
-)
+#: Candidates that are no secrets as a whole: identifiers.
+IDENTIFIER = r"^[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$"
+#: What is no secret inside a candidate: a leading date, and parts made to be examples.
+ALLOWED_WORDS = "example|sample|dummy|placeholder|xxxx|0123456789|abcdefgh"
+ALLOWED = rf"^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}|(?<![0-9A-Za-z])(?i:[0-9a-z]*(?:{ALLOWED_WORDS})[0-9a-z]*)"
 _FIRST_CODE, _CODES = 43, 80  # from "+" to "z"
 MARK = "[SECRET]"
 _PLACES = "array<struct<start:bigint,end:bigint,value:string>>"
@@ -107,11 +108,18 @@ def _piece_entropy(value: Column, window: int) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.length(value)), start, step, lambda s: s["best"])
 
 
-def _is_secret(value: Column) -> Column:
+def _reaches(run: Column) -> Column:
+    """Whether a run of key characters has letters, digits and a window of enough entropy for its class."""
     bound = F.lit(CLASSES[-1][1])
     for pattern, bits in reversed(CLASSES[:-1]):
-        bound = F.when(value.rlike(pattern), F.lit(bits)).otherwise(bound)
-    return ~value.rlike(ALLOWED) & (window_entropy(value) >= bound)
+        bound = F.when(run.rlike(pattern), F.lit(bits)).otherwise(bound)
+    mixed = (F.length(run) >= WINDOW) & run.rlike("[0-9]") & run.rlike("[A-Za-z]")
+    return F.when(mixed, window_entropy(run) >= bound).otherwise(False)
+
+
+def _is_secret(value: Column) -> Column:
+    left = F.when(value.rlike(IDENTIFIER), F.lit("")).otherwise(F.regexp_replace(value, ALLOWED, " "))
+    return F.exists(F.split(left, " "), _reaches)
 
 
 def with_spans(docs: DataFrame) -> DataFrame:
