@@ -15,10 +15,12 @@
 Sorting is distributed: rows are dealt by ranges of (label, bits, id), and the last rows of each
 range are given to the following ranges as well, as far as the window reaches.
 
-Links are between vectors of one label with a cosine of `threshold` or more in double precision.
-Defined results: vectors that are null, zero or hold null or non-finite components, and those with a
-null label or id, link with nothing and are groups of their own; rows with equal ids are one vector
-each and share the group; an empty table gives an empty result; other columns are not read.
+Links are between vectors of one label with a cosine of `threshold` or more in double precision; vectors
+are scaled to length one first, whatever their size. Defined results: vectors that are null, zero or hold
+null or non-finite components, those with a null label or id and those with another number of components
+than most link with nothing and are groups of their own; repeated rows are one vector and have its links;
+different vectors of one id have each their own links, also with each other, and share the group; an
+empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -32,10 +34,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import ship
 from tidemark.llm.components import connected_components
 from tidemark.llm.minhash import _forest
 from tidemark.llm.open_pairs import compared, open_pairs
-from tidemark.llm.vectors import dimension, matrix, usable
+from tidemark.llm.vectors import checked, distinct_vectors, matrix, of_one_size, units
 from tidemark.session import stage
 
 BITS = 62
@@ -81,6 +84,22 @@ def _ordered(vectors: DataFrame, size: int, number: int) -> DataFrame:
     return keyed.select("id", "label", "vector", F.posexplode("keys").alias("pass", "key"))
 
 
+def _unit_vectors(rows: DataFrame, size: int) -> DataFrame:
+    """(id, label, vector): the row's number as id, the vector scaled to length one."""
+
+    def scale(batches):
+        for batch in batches:
+            if batch.num_rows:
+                held = units(matrix(batch.column(2), size))
+                ends = pa.array(np.arange(0, held.size + 1, size), pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), batch.column(1), pa.ListArray.from_arrays(ends, pa.array(held.ravel()))], ["id", "label", "vector"]
+                )
+
+    kind = rows.schema["label"].dataType.simpleString()
+    return rows.select("row", "label", "vector").mapInArrow(scale, f"id long, label {kind}, vector array<double>")
+
+
 def _pass_links(keyed: DataFrame, threshold: float, window: int) -> DataFrame:
     """(a, b): verified pairs from the windows of all passes, a spanning forest per chunk.
 
@@ -114,7 +133,6 @@ def _pass_links(keyed: DataFrame, threshold: float, window: int) -> DataFrame:
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("at")
         held = np.stack(pdf["vector"].to_numpy())
-        held = held / np.sqrt((held * held).sum(axis=1, keepdims=True))
         at, ids = pdf["at"].to_numpy(), pdf["id"].to_numpy()
         label, which = pd.factorize(pdf["label"])[0], pdf["pass"].to_numpy()
         # a pair belongs to the chunk of its later member
@@ -131,7 +149,6 @@ def _cell_links(keyed: DataFrame, vectors: DataFrame, found: DataFrame, bits: in
 
     def close(left: pd.DataFrame, right: pd.DataFrame) -> np.ndarray:
         held = [np.stack(s["vector"].to_numpy()) for s in (left, right)]
-        held = [h / np.sqrt((h * h).sum(axis=1, keepdims=True)) for h in held]
         return (held[0] @ held[1].T >= threshold) & (left["label"].to_numpy()[:, None] == right["label"].to_numpy()[None, :])
 
     cell = ["pass", "label", "cell"]
@@ -157,7 +174,6 @@ def _link_counts(vectors: DataFrame, found: DataFrame, threshold: float) -> Data
         i, j = pdf["i"].iloc[0], pdf["j"].iloc[0]
         parts = [pdf[pdf["_at"] == k] for k in ((i,) if i == j else (i, j))]
         held = [np.stack(p["vector"].to_numpy()) if len(p) else np.zeros((0, 1)) for p in parts]
-        held = [h / np.sqrt((h * h).sum(axis=1, keepdims=True)) for h in held]
         if not (len(held[0]) and len(held[-1])):
             return pd.DataFrame({"id": [], "n": []}, dtype=np.int64)
         linked = held[0] @ held[-1].T >= threshold
@@ -172,22 +188,36 @@ def _link_counts(vectors: DataFrame, found: DataFrame, threshold: float) -> Data
     return each.groupBy("id").agg(F.sum("n").alias("n_links"))
 
 
+def _by_id(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """(vec_id, component_id): the smallest id of the component that the vectors of an id are in."""
+    known = found.join(rows.select(F.col("row").alias("node"), "id"), "node")
+    roots = known.groupBy("component_id").agg(F.min("id").alias("_root"))
+    return known.join(roots, "component_id").groupBy(F.col("id").alias("vec_id")).agg(F.min("_root").alias("component_id"))
+
+
 def groups(table: DataFrame, threshold: float = 0.98, window: int = WINDOW) -> DataFrame:
     """(vec_id, n_links, component_id, kept), one row per row of `table`."""
-    vectors = stage(usable(table).filter("label IS NOT NULL").dropDuplicates(["id"]), "vectors")
-    size = dimension(vectors)
-    everyone = table.select(F.col("vec_id").cast("long").alias("vec_id"))
+    ship(table.sparkSession)
+    rows = checked(table)
+    good, size = of_one_size(distinct_vectors(rows))
     if size:
+        vectors = stage(_unit_vectors(good, size), "units")
         largest = vectors.groupBy("label").count().agg(F.max("count")).first()[0]
         keyed = stage(_ordered(vectors, size, n_passes(largest, threshold, window)), "keys")
-        found = connected_components(_pass_links(keyed, threshold, window))
+        # vectors of one id belong together, linked or not
+        first = good.groupBy("id").agg(F.min("row").alias("a"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+        tied = good.select("id", F.col("row").alias("b")).join(first, "id").select("a", "b")
+        found = connected_components(_pass_links(keyed, threshold, window).unionByName(tied))
         more = _cell_links(keyed, vectors, found, leading_bits(largest, window), threshold, window)
         joined = found.select(F.col("node").alias("a"), F.col("component_id").alias("b"))
         found = connected_components(joined.unionByName(more))
-        counts = _link_counts(vectors, found, threshold)
-        named = found.withColumnRenamed("node", "vec_id").join(counts.withColumnRenamed("id", "vec_id"), "vec_id")
+        counts = _link_counts(vectors, found, threshold).withColumnRenamed("id", "row")
+        counts = good.join(counts, "row").select("id", "label", "vector", "n_links")
+        named = _by_id(good, found)
     else:
-        named = table.sparkSession.createDataFrame([], "vec_id long, component_id long, n_links long")
+        named = table.sparkSession.createDataFrame([], "vec_id long, component_id long")
+        counts = good.withColumn("n_links", F.lit(0)).drop("row")
+    everyone = rows.join(counts, ["id", "label", "vector"], "left").withColumnRenamed("id", "vec_id")
     return everyone.join(named, "vec_id", "left").select(
         "vec_id",
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
