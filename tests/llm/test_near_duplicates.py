@@ -118,6 +118,52 @@ def test_vector_groups_equal_brute_force(spark):
     assert vector_dedup.groups(table.limit(0)).count() == 0
 
 
+def _by_hand(vectors, threshold=0.98):
+    """Links and groups of (id, label, vector) rows by the definition, on scaled vectors."""
+    distinct = sorted({(i, k, tuple(v)) for i, k, v in vectors})
+    unit = [np.array(v) / np.abs(v).max() for _, _, v in distinct]
+    unit = [u / np.linalg.norm(u) for u in unit]
+    pairs = [
+        (x, y) for x, y in combinations(range(len(distinct)), 2) if distinct[x][1] == distinct[y][1] and unit[x] @ unit[y] >= threshold
+    ]
+    n = [sum(x in p for p in pairs) for x in range(len(distinct))]
+    root = _groups(sorted({d[0] for d in distinct}), [(distinct[x][0], distinct[y][0]) for x, y in pairs])
+    return sorted((i, n[distinct.index((i, k, tuple(v)))], root[i]) for i, k, v in vectors)
+
+
+def test_vectors_of_one_id_and_of_any_size(spark):
+    rows = [
+        (1, 0, [1.0, 0.0]), (1, 0, [0.0, 1.0]), (3, 0, [0.0, 1.0]), (3, 0, [0.0, 1.0]),  # different vectors of one id, a repeated row
+        (10, 1, [1e-200, 1e-200]), (11, 1, [1.0, 0.1]),  # no link: cosine 0.77
+        (12, 2, [1e200, 1e200]), (13, 2, [1e200, 1e200]), (14, 2, [5e-324, 5e-324]), (15, 2, [1.7e308, 1.6e308]),  # all links
+        (20, 3, [1.0, 0.0]), (20, 3, [1.0, 0.01]), (21, 3, [0.0, 1.0]),
+    ]
+    table = spark.createDataFrame(
+        [(i, v, k, "x") for i, k, v in rows] + [(30, [1.0, 0.0, 0.0], 0, "x")], "vec_id long, embedding array<double>, label int, _taken string"
+    )
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in vector_dedup.groups(table).collect())
+    assert got == [*_by_hand(rows), (30, 0, 30)]
+
+
+def test_nearest_vectors_of_one_id_ties_and_any_size(spark):
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (3, [0.0, 1.0]), (3, [0.0, 1.0]), (5, [2.0, 1.0]), (4, [-2.0, 1.0]), (6, [1e200, 1e200]), (7, [-1e200, -1e200]),
+            (8, [1e-300, 2e-300]), (9, [1e-300, 3e-300])]
+    table = spark.createDataFrame([(i, v, None, "x") for i, v in rows] + [(2, [1.0], 0, "x")], "vec_id long, embedding array<double>, label int, _taken string")
+    distinct = sorted({(i, tuple(v)) for i, v in rows})
+    want = []
+    for q, a in distinct:
+        away = []
+        for other in distinct:
+            if other != (q, a):
+                d = np.abs(np.array(a) - np.array(other[1]))
+                away.append((float(d.max() * np.sqrt(((d / d.max()) ** 2).sum())) if d.max() else 0.0, other[0]))
+        want += [(q, k + 1, i, d) for k, (d, i) in enumerate(sorted(away)[:10])]
+    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in permutation_index.nearest(table, F.lit(True)).collect())
+    by_rank = lambda rows: sorted((q, r, i) for q, r, i, _ in rows)
+    assert by_rank(got) == by_rank(want)
+    assert np.allclose([g[3] for g in got], [w[3] for w in sorted(want)], rtol=1e-14, atol=0)
+
+
 def test_vector_pairs_in_a_crowd(spark):
     rng = np.random.default_rng(11)
     unit = lambda v: v / np.linalg.norm(v, axis=-1, keepdims=True)
@@ -169,6 +215,14 @@ def test_nearest_recall_where_vectors_share_a_direction(spark):
     assert len(got) == 60 and hits >= 0.9 * 10 * len(got)
 
 
+def test_deduplication_keeps_every_different_text(make_docs):
+    texts = [(1, "a b c d e f g"), (1, "one two three four five six"), (2, "a b c d e f g"), (3, "other words that stand alone here"), (1, "a b c d e f g"), (None, "x"), (None, "x")]
+    kept = [(r.doc_id, r.text) for r in minhash.deduplicated(make_docs(texts)).collect()]
+    assert sorted(kept, key=str) == sorted([(1, "a b c d e f g"), (1, "one two three four five six"), (3, "other words that stand alone here"), (None, "x"), (None, "x")], key=str)
+    odd = make_docs([(7, "same text of both rows", "b"), (7, "same text of both rows", "a")])
+    assert [r.source for r in minhash.deduplicated(odd).collect()] == ["a"] and minhash.deduplicated(odd).columns == odd.columns
+
+
 def test_pipeline_stages(spark):
     folder = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{folder}/documents.parquet")

@@ -304,8 +304,15 @@ def groups(docs: DataFrame, n: int = 5, threshold: int = 80) -> DataFrame:
 def deduplicated(docs: DataFrame, n: int = 5, threshold: int = 80) -> DataFrame:
     """One document of each group, the one with the smallest id; all columns of `docs` stay.
 
-    Of several rows of one document one stays; rows with a null id all stay.
+    Of rows with equal id and text one stays, the one with the smallest other columns; rows with equal
+    id and different texts are one document and stay or go together; rows with a null id all stay.
     """
     kept = groups(docs, n, threshold).filter("kept").select("doc_id").distinct()
-    first = docs.filter("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return first.select(*docs.columns).unionByName(docs.filter("doc_id IS NULL"))
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    # copies merge inside the tasks, before the shuffle
+    first = docs.filter("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").groupBy("doc_id", "text").agg(
+        F.min(F.struct(F.lit(0).alias("_none"), *[F.col(c).alias(f"_{k}") for k, c in enumerate(rest)])).alias("_first")
+    )
+    columns = {c: F.col("_first")[f"_{k}"] for k, c in enumerate(rest)}
+    first = first.select(*[columns[c].alias(c) if c in columns else F.col(c) for c in docs.columns])
+    return first.unionByName(docs.filter("doc_id IS NULL"))
