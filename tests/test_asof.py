@@ -4,6 +4,9 @@ from datetime import datetime, timedelta
 import pytest
 
 from tidemark.operators.asof import latest_asof, latest_for_ids, pit_join
+from tidemark.schemas import FEATURE_HISTORY
+from tidemark.session import new_path
+from tidemark.sources.tables import append_history, read
 
 LABELS = "entity_id bigint, label_time timestamp_ntz, tag string"
 JAN, FEB, MAR, APR = (datetime(2024, m, 1) for m in (1, 2, 3, 4))
@@ -54,8 +57,8 @@ def test_empty_labels(spark, make_history):
     assert pit_join(spark.createDataFrame([], LABELS), _history(make_history)).count() == 0
 
 
-@pytest.mark.parametrize("busy_rows", [None, 5, 20, 60])
-def test_busy_entities_give_the_same_rows(spark, make_history, busy_rows):
+@pytest.mark.parametrize("slot_days", [1, 3, 30, 4000])
+def test_busy_entities_give_the_same_rows(spark, make_history, slot_days):
     """Entity 1 holds a third of the rows, and one of its labels is copied many times."""
     rng = random.Random(7)
     who = lambda: rng.choice([1, 1, 1, 2, 3, 4, 5, 6])
@@ -69,7 +72,7 @@ def test_busy_entities_give_the_same_rows(spark, make_history, busy_rows):
         times = [t for e, t in known if e == entity and at is not None and t <= at]
         expected.append((entity, tag, known[(entity, max(times))] if times else None))
     history = make_history([(e, t, {"txn_count_7d": v}) for (e, t), v in known.items()])
-    joined = pit_join(spark.createDataFrame(labels, LABELS), history, busy_rows=busy_rows)
+    joined = pit_join(spark.createDataFrame(labels, LABELS), history, slot_days=slot_days)
     assert _values(joined) == sorted(expected, key=str)
 
 
@@ -85,3 +88,39 @@ def test_latest(spark, make_history):
 def test_latest_keeps_one_row_per_task_before_the_shuffle(make_history):
     plan = latest_asof(_history(make_history), APR)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_slots_before_1970_and_copies_of_a_row(spark, make_history):
+    early = datetime(1969, 12, 20)
+    history = make_history([(1, early, {"txn_count_7d": 1.0}), (1, JAN, {"txn_count_7d": 4.0}), (1, JAN, {"txn_count_7d": 6.0})])
+    labels = spark.createDataFrame(
+        [(1, early - timedelta(days=1), "a"), (1, datetime(1970, 2, 1), "b"), (1, JAN, "c")], LABELS
+    )
+    assert _values(pit_join(labels, history)) == [(1, "a", None), (1, "b", 1.0), (1, "c", 6.0)]
+
+
+def _jobs_of(spark, group, work):
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        out = work()
+        return out, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_the_join_is_lazy_and_reads_history_once(spark, make_history):
+    path = new_path(spark, "history")
+    append_history(path, _history(make_history), JAN)
+    stored = read(spark, path, FEATURE_HISTORY)
+    labels = spark.createDataFrame([(1, FEB, "a"), (2, FEB, "b")], LABELS)
+    joined, jobs = _jobs_of(spark, "lazy", lambda: pit_join(labels, stored))
+    assert jobs == 0
+    rows = joined.collect()
+    assert {r.tag: r.txn_count_7d for r in rows} == {"a": 5.0, "b": 777.0}
+    plan = joined._jdf.queryExecution().executedPlan().toString().split("\n+- == Initial Plan ==")[0]
+    scans = [line for line in plan.splitlines() if "FileScan parquet" in line]
+    assert len(scans) == 1 and "ReusedExchange" in plan
+    # the folder of March is later than every label, so only that of January is read
+    assert "snapshot_id" in scans[0].split("PartitionFilters")[1]
+    files = spark.createDataFrame([(1, JAN, "a")], LABELS)
+    assert {r.feature_time for r in pit_join(files, stored).collect()} == {JAN}

@@ -4,16 +4,16 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
-from tidemark.functions.columns import epoch_micros
-from tidemark.operators.sizing import SMALL_IDS, restrict_to_ids
+from tidemark.functions.columns import snapshot_id
+from tidemark.operators.sizing import restrict_to_ids
 from tidemark.schemas import FEATURES, VERSION
 from tidemark.sources.tables import scan_history
 
+SLOT_DAYS = 30
+
 
 def latest_asof(history: DataFrame, as_of: datetime, version: str = VERSION) -> DataFrame:
     """The newest row of each entity not later than `as_of`.
@@ -34,149 +34,59 @@ def latest_for_ids(history: DataFrame, ids: DataFrame, as_of: datetime, version:
     return newest.join(wanted, "entity_id", "left_semi")
 
 
+def _slot(time: str, days: int) -> Column:
+    return F.expr(f"unix_date(to_date({time})) div {days}").alias("_slot")
+
+
 def pit_join(
     labels: DataFrame,
     history: DataFrame,
     version: str = VERSION,
     columns: list[str] | None = None,
-    busy_rows: int | None = None,
+    slot_days: int = SLOT_DAYS,
 ) -> DataFrame:
     """Each label row with the newest history row of its entity not later than `label_time`.
 
     Labels without an earlier history row are kept with NULLs. `columns` are taken from the
-    history (the features by default) and `feature_time` tells when the matched row was made.
-
-    Only history that a label can see takes part: rows up to the newest label time, and, where
-    the labels name few entities, rows of those entities. One shuffle by entity and one sort then
-    serve the join. Entities with more than `busy_rows` rows on both sides together (by default a
-    quarter of an average shuffle partition's share, at least 100,000) are cut into time slots as
-    well, so that no entity has to fit into one task.
-
-    The labels are read a few times; stage them first if they are costly to compute.
+    history (the features by default) and `feature_time` tells when the matched row was made; of
+    several rows of one entity and time the one with the largest values counts.
+
+    A scan in two levels, the same plan at every size. Time is cut into fixed slots of `slot_days`.
+    History is gathered once by entity and slot, as an array in order of time; a slot that labels ask
+    for has an entry even if it has no history. A prefix pass over the entries, one small row per
+    entity and slot, carries the last row of earlier slots on. A label then meets its slot's entry, and
+    takes the last row of the array up to its own time, or else the carried one. Labels are neither
+    sorted against each other nor gathered, so Spark may split a busy entity's labels over tasks; its
+    history is gathered for one slot at a time.
+
+    Nothing runs before the result is asked for: that history later than the newest label stays out
+    is a subquery, which also prunes the folders of stored history.
     """
     columns = columns or FEATURES
     # labels that can match nothing, however many share a NULL, stay out of the shuffle
     keyed = F.col("entity_id").isNotNull() & F.col("label_time").isNotNull()
     types = {"feature_time": history.schema["event_time"].dataType, **{c: history.schema[c].dataType for c in columns}}
     unmatched = labels.where(~keyed).select("*", *[F.lit(None).cast(t).alias(c) for c, t in types.items()])
-    labels = labels.where(keyed)
-    asked = labels.groupBy("entity_id").agg(F.count(F.lit(1)).alias("n"), F.max("label_time").alias("newest"))
-    n_entities, newest = asked.agg(F.count(F.lit(1)), F.max("newest")).first()
-    history = (
-        scan_history(history, version, until=newest)
-        .where(F.col("entity_id").isNotNull() & F.col("event_time").isNotNull())
-        .select("entity_id", "event_time", *columns)
-    )
-    if n_entities <= SMALL_IDS:
-        history = history.join(F.broadcast(asked.select("entity_id")), "entity_id", "left_semi")
-
-    busy, cuts = _busy_entities(labels, asked, history, busy_rows)
-    if busy is None:
-        return _by_window(labels, history, columns).unionByName(unmatched)
-    calm = _by_window(
-        labels.join(F.broadcast(busy), "entity_id", "left_anti"),
-        history.join(F.broadcast(busy), "entity_id", "left_anti"),
-        columns,
-    )
-    # Copies of a busy label collapse here; the join back is by (entity, time), unique on the
-    # matched side, and Spark splits its skewed partitions on the label side.
-    busy_labels = labels.join(F.broadcast(busy), "entity_id", "left_semi")
-    times = busy_labels.select("entity_id", "label_time").distinct()
-    matched = _by_slots(times, history.join(F.broadcast(busy), "entity_id", "left_semi"), columns, cuts)
-    matched = matched.withColumnsRenamed({"entity_id": "_id", "label_time": "_time"})
-    same = F.col("entity_id").eqNullSafe(F.col("_id")) & F.col("label_time").eqNullSafe(F.col("_time"))
-    return calm.unionByName(busy_labels.join(matched, same, "left").drop("_id", "_time")).unionByName(unmatched)
-
-
-def _busy_entities(labels: DataFrame, asked: DataFrame, history: DataFrame, busy_rows: int | None):
-    """Entities too large for one task, and times that cut their rows into even slots.
-
-    Both are bounded: at most rows / busy_rows entities and as many cuts.
-    """
-    spark = labels.sparkSession
-    known = history.groupBy("entity_id").agg(F.count(F.lit(1)).alias("n"))
-    per_entity = asked.select("entity_id", "n").union(known).groupBy("entity_id").agg(F.sum("n").alias("n"))
-    total, largest = per_entity.agg(F.sum("n"), F.max("n")).first()
-    if busy_rows is None:
-        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        busy_rows = max(100_000, (total or 0) // (4 * partitions))
-    if (largest or 0) <= busy_rows:
-        return None, None
-    found = per_entity.where((F.col("n") > busy_rows) & F.col("entity_id").isNotNull()).collect()
-    if not found:
-        return None, None
-    busy = spark.createDataFrame([(r["entity_id"],) for r in found], StructType([labels.schema["entity_id"]]))
-    pieces = sum(r["n"] for r in found) // busy_rows + 1
-    times = (
-        labels.select("entity_id", F.col("label_time").alias("event_time"))
-        .union(history.select("entity_id", "event_time"))
-        .join(F.broadcast(busy), "entity_id", "left_semi")
-        .select(epoch_micros("event_time").alias("at"))
-    )
-    shares = [i / pieces for i in range(1, pieces)]
-    cuts = times.agg(F.percentile_approx("at", shares, 10 * pieces)).first()[0]
-    return busy, sorted(set(cuts or []))
-
-
-def _side_by_side(labels: DataFrame, history: DataFrame, columns: list[str]) -> DataFrame:
-    """Labels and history in one frame; the payload of each side is a struct."""
-    rest = [c for c in labels.columns if c not in ("entity_id", "label_time")]
-    label_rows = labels.select(
-        "entity_id", F.col("label_time").alias("at"), F.lit(1).alias("side"),
-        F.struct(F.lit(True).alias("_label"), *rest).alias("label"),
-    )
-    history_rows = history.select(
-        "entity_id", F.col("event_time").alias("at"), F.lit(0).alias("side"),
-        F.struct(F.col("event_time").alias("feature_time"), *columns).alias("known"),
-    )
-    return label_rows.unionByName(history_rows, allowMissingColumns=True)
-
-
-def _label_rows(df: DataFrame, labels: DataFrame, columns: list[str]) -> DataFrame:
-    rest = [F.col(f"label.{c}").alias(c) for c in labels.columns if c not in ("entity_id", "label_time")]
-    return df.where(F.col("side") == 1).select(
-        "entity_id", F.col("at").alias("label_time"), *rest,
-        F.col("known.feature_time").alias("feature_time"), *[F.col(f"known.{c}").alias(c) for c in columns],
-    )
-
-
-def _by_window(labels: DataFrame, history: DataFrame, columns: list[str]) -> DataFrame:
-    # The struct keeps a matched row with a NULL feature from being skipped; history sorts
-    # before labels of the same time, as a label sees the snapshot of its own moment.
-    rows = _side_by_side(labels, history, columns)
-    up_to = (
-        Window.partitionBy("entity_id").orderBy("at", "side").rowsBetween(Window.unboundedPreceding, 0)
-    )
-    seen = rows.withColumn("known", F.last("known", ignorenulls=True).over(up_to))
-    return _label_rows(seen, labels, columns)
-
-
-def _by_slots(labels: DataFrame, history: DataFrame, columns: list[str], cuts: list[int]) -> DataFrame:
-    """As `_by_window`, but per entity and time slot, with the last row of earlier slots carried
-    in. The carried table has at most one row per busy entity and slot."""
-    rows = _side_by_side(labels, history, columns)
-    if cuts:
-        micros = rows.withColumn("_micros", epoch_micros("at").cast("double"))
-        slots = Bucketizer(
-            splits=[float("-inf"), *map(float, cuts), float("inf")], inputCol="_micros", outputCol="slot",
-            handleInvalid="keep",
-        )
-        rows = slots.transform(micros).drop("_micros")
-    else:
-        rows = rows.withColumn("slot", F.lit(0.0))
-    ends = (
-        rows.groupBy("entity_id", "slot")
-        .agg(F.max_by("known", F.when(F.col("side") == 0, F.col("at"))).alias("end"))
-    )
-    earlier = Window.partitionBy("entity_id").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
-    carried = ends.select(
-        "entity_id", "slot", F.last("end", ignorenulls=True).over(earlier).alias("carried")
-    )
-    up_to = (
-        Window.partitionBy("entity_id", "slot").orderBy("at", "side").rowsBetween(Window.unboundedPreceding, 0)
-    )
-    seen = rows.withColumn("known", F.last("known", ignorenulls=True).over(up_to)).where(F.col("side") == 1)
-    filled = seen.join(carried, ["entity_id", "slot"], "left").withColumn(
-        "known", F.coalesce("known", "carried")
+    asked = labels.where(keyed).select("*", _slot("label_time", slot_days))
+
+    newest = asked.agg(F.max("label_time").alias("newest"))
+    known = scan_history(history, version).where(F.col("event_time") <= newest.scalar())
+    if "snapshot_id" in history.columns:
+        known = known.where(F.col("snapshot_id") <= newest.select(snapshot_id("newest")).scalar())
+    row = F.struct(F.col("event_time").alias("feature_time"), *columns).alias("_row")
+    rows = known.select("entity_id", _slot("event_time", slot_days), row)
+    entries = (
+        rows.unionByName(asked.select("entity_id", "_slot"), allowMissingColumns=True)
+        # said here, so that both uses of the entries have the same plan and share its shuffle
+        .where(F.col("entity_id").isNotNull() & F.col("_slot").isNotNull())
+        .groupBy("entity_id", "_slot")
+        .agg(F.sort_array(F.collect_list("_row")).alias("_rows"))
     )
-    return _label_rows(filled, labels, columns)
+    earlier = Window.partitionBy("entity_id").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    ends = entries.select("entity_id", "_slot", F.try_element_at("_rows", F.lit(-1)).alias("_end"))
+    carried = ends.select("entity_id", "_slot", F.last("_end", ignorenulls=True).over(earlier).alias("_carried"))
+
+    both = asked.join(entries.join(carried, ["entity_id", "_slot"]), ["entity_id", "_slot"])
+    up_to = F.filter("_rows", lambda r: r["feature_time"] <= F.col("label_time"))
+    matched = both.withColumn("_match", F.coalesce(F.try_element_at(up_to, F.lit(-1)), F.col("_carried")))
+    return matched.select(*labels.columns, "_match.*").unionByName(unmatched)
