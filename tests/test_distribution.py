@@ -9,8 +9,9 @@ from raw_data import NOW
 
 from pyspark.sql import functions as F
 
+from tidemark import session
 from tidemark.operators import distribution as d
-from tidemark.operators.running import running_totals
+from tidemark.operators.running import at_ranks, chunked, running_totals
 
 LONG = "feature_name string, value double"
 
@@ -31,7 +32,7 @@ def test_running_totals(spark, chunks):
     rows = [(rng.choice("aaaaaab"), i, rng.randrange(-5, 50)) for i in range(300)] + [("c", 1, None)]
     rng.shuffle(rows)
     df = spark.createDataFrame(rows, "g string, o int, m int")
-    got = running_totals(df, ["g"], ["o"], {"m": "upto"}, {"o": "sum_o"}, chunks).collect()
+    got = running_totals(df, ["g"], "o", {"m": "upto"}, {"o": "sum_o"}, buckets=chunks, chunk_rows=20).collect()
     assert len(got) == len(rows)
     for r in got:
         same = [x for x in rows if x[0] == r.g]
@@ -41,6 +42,48 @@ def test_running_totals(spark, chunks):
         assert r.sum_o == sum(x[1] for x in same)
 
 
+ODD = [None, float("-inf"), -1e308, -7.5, -0.0, 1e-300, 3.0, 3.5, 1e308, float("inf"), float("nan")]
+
+
+@pytest.mark.parametrize("buckets, rows", [(1, 1), (1, 100), (4, 2), (1024, 100_000)])
+def test_ranks_and_totals_of_odd_values(spark, buckets, rows):
+    """NULL sorts first and NaN last; infinite and huge values must not upset the chunks; a NULL group is a group."""
+    data = [(g, v, k % 3 + 1) for g in ("a", None) for k, v in enumerate(ODD)] + [("b", float("nan"), 2), ("c", None, 1)]
+    df = spark.createDataFrame(data, "g string, v double, n long")
+    spread = {g: [v for h, v, n in data if h == g for _ in range(n)] for g in ("a", None, "b", "c")}
+    same = lambda x, y: x == y or (x is not None and y is not None and math.isnan(x) and math.isnan(y))
+    ranks = {"first": "0L", "middle": "total div 2", "last": "total - 1", "past": "total"}
+    got = {r.g: r for r in at_ranks(df, ["g"], "v", "n", ranks, buckets=buckets, chunk_rows=rows).collect()}
+    assert set(got) == set(spread)
+    for g, values in spread.items():
+        n = len(values)
+        assert got[g].total == n and got[g].past is None
+        assert all(same(got[g][name], values[k]) for name, k in (("first", 0), ("middle", n // 2), ("last", n - 1)))
+    for r in running_totals(df, ["g"], "v", {"n": "upto"}, buckets=buckets, chunk_rows=rows).collect():
+        held = spread[r.g]
+        assert r.upto_all == len(held) and r.upto == max(k for k, v in enumerate(held, 1) if same(v, r.v))
+
+
+def test_chunks_grow_with_the_rows_of_a_bucket(spark):
+    """Values crowded in a thousandth of the range still fall into many chunks."""
+    df = spark.createDataFrame([("a", k / 1e6) for k in range(1000)] + [("a", 1000.0)], "g string, v double")
+    sizes = [r["count"] for r in chunked(df, ["g"], "v", 16, 50).groupBy("_g", "_bucket", "_part").count().collect()]
+    assert max(sizes) <= 51 and sum(sizes) == 1001
+
+
+def test_no_job_and_no_file_before_the_result_is_asked_for(spark, make_history, monkeypatch):
+    written = []
+    monkeypatch.setattr(session, "new_path", lambda *a: written.append(a))
+    spark.sparkContext.setJobGroup("ranking", "ranking")
+    try:
+        history = _history(make_history, [1.0, 2.0, 3.0])
+        frames = [d.feature_stats(history), d.skew_report(history, history)]
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("ranking")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert [f.count() for f in frames] == [13, 13] and not written
+
+
 def test_stats_of_two_values(make_history):
     stats = {r.feature_name: r for r in d.feature_stats(_history(make_history, [10.0, 20.0])).collect()}
     row = stats["txn_count_7d"]
@@ -56,7 +99,7 @@ def test_stats_against_numpy(make_history, chunks):
     # A third of the rows share one value; others are scattered far from zero; some are missing.
     values = [1e6] * 100 + [1e6 + rng.gauss(0, 50) for _ in range(200)]
     history = _history(make_history, values + [None] * 20)
-    row = d.feature_stats(history, chunks).where("feature_name = 'txn_count_7d'").first()
+    row = d.feature_stats(history, buckets=chunks, chunk_rows=10).where("feature_name = 'txn_count_7d'").first()
     assert row.sample_count == 320 and row.null_rate == 20 / 320
     assert math.isclose(row["mean"], np.mean(values), rel_tol=1e-12)
     assert math.isclose(row["std"], np.std(values), rel_tol=1e-9)
@@ -82,9 +125,9 @@ def test_null_rate(make_history):
     assert rates["txn_count_7d"] == 0.5 and rates["open_tickets"] == 0.0
 
 
-def _ks(spark, a, b, chunks=None):
+def _ks(spark, a, b, **cut):
     frames = [spark.createDataFrame([("f", v) for v in side], LONG) for side in (a, b)]
-    row = d.ks_statistic(*frames, chunks).withColumn(
+    row = d.ks_statistic(*frames, **cut).withColumn(
         "p", d.ks_pvalue(F.col("ks_statistic"), F.col("n_training"), F.col("n_serving"))
     ).first()
     return row
@@ -96,7 +139,7 @@ def test_distance_against_brute_force(spark, chunks):
     a = [float(rng.randrange(30)) for _ in range(200)] + [7.0] * 100
     b = [float(rng.randrange(10, 45)) for _ in range(150)]
     expected = max(abs(np.mean([x <= v for x in a]) - np.mean([x <= v for x in b])) for v in {*a, *b})
-    row = _ks(spark, a + [None, float("nan")], b + [None], chunks)
+    row = _ks(spark, a + [None, float("nan")], b + [None], buckets=chunks, chunk_rows=10)
     assert math.isclose(row.ks_statistic, expected, rel_tol=1e-12)
     assert (row.n_training, row.n_serving) == (300, 150)
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import guarded_ratio_sql, missing_sql, moment, per_feature
-from tidemark.operators.running import running_totals
+from tidemark.operators.running import at_ranks, running_totals
 from tidemark.schemas import FEATURES, KS_THRESHOLD, VERSION
 from tidemark.sources.tables import scan_history
 
@@ -36,18 +36,18 @@ def null_rate(rows: DataFrame) -> DataFrame:
     return per_feature(counts, FEATURES, columns, "n AS sample_count")
 
 
-def _ranked(sides: dict[str, DataFrame], chunks: int | None = None) -> DataFrame:
-    """Distinct values per feature over all sides, ranked within each side.
+def _counted(sides: dict[str, DataFrame]) -> DataFrame:
+    """Distinct values per feature over all sides, with how often each side has them.
 
-    `sides` maps a suffix to (feature_name, value) rows. Per suffix s the result has n_s, the
-    rows with the value (0 if there is none), upto_s, the ranks used up to it, and the group
-    sums upto_s_all (values), rows_s (rows), sum_s (of the values) and valid_s (values that are
-    numbers). Copies of a value merge before the shuffle, however common it is.
+    `sides` maps a suffix to (feature_name, value) rows, perhaps with `n`, the rows that each stands
+    for. Per suffix s the result has all_s (rows with the value), n_s (the same without NULLs),
+    weighted_s (their sum) and number_s (rows whose value is a number). Copies of a value merge before
+    the shuffle, however common it is.
     """
-    flags = {s: [f"{int(s == other)} AS is_{other}" for other in sides] for s in sides}
     long = None
     for s, rows in sides.items():
-        side = rows.selectExpr("feature_name", "value", *flags[s])
+        n = "n" if "n" in rows.columns else "1L"
+        side = rows.selectExpr("feature_name", "value", *[f"{n if s == other else '0L'} AS is_{other}" for other in sides])
         long = side if long is None else long.unionByName(side)
     counts = long.groupBy("feature_name", "value").agg(*[F.sum(f"is_{s}").alias(f"all_{s}") for s in sides])
     measures = {}
@@ -55,34 +55,48 @@ def _ranked(sides: dict[str, DataFrame], chunks: int | None = None) -> DataFrame
         measures[f"n_{s}"] = f"CASE WHEN value IS NULL THEN 0L ELSE all_{s} END"
         measures[f"weighted_{s}"] = f"CASE WHEN all_{s} > 0 THEN value * all_{s} END"
         measures[f"number_{s}"] = f"CASE WHEN {missing_sql('value')} THEN 0L ELSE all_{s} END"
-    whole = {}
+    return counts.withColumns({name: F.expr(text) for name, text in measures.items()})
+
+
+def _whole(sides) -> dict[str, str]:
+    """Measures of `_counted` and the names of their group sums: rows, sum of the values, numbers."""
+    out = {}
     for s in sides:
-        whole |= {f"all_{s}": f"rows_{s}", f"weighted_{s}": f"sum_{s}", f"number_{s}": f"valid_{s}"}
-    return running_totals(
-        counts.withColumns({name: F.expr(text) for name, text in measures.items()}),
-        ["feature_name"],
-        ["value"],
-        {f"n_{s}": f"upto_{s}" for s in sides},
-        whole,
-        chunks,
-    )
+        out |= {f"all_{s}": f"rows_{s}", f"weighted_{s}": f"sum_{s}", f"number_{s}": f"valid_{s}"}
+    return out
 
 
-def _stats_columns(s: str) -> dict[str, str]:
-    """Aggregates of ranked values that give the statistics of side `s` in `_stats_of`."""
+def _ranked(sides: dict[str, DataFrame], **cut) -> DataFrame:
+    """The rows of `_counted` with upto_s, the ranks used up to the value, and the group sums
+    upto_s_all (values), rows_s (rows), sum_s (of the values) and valid_s (values that are numbers)."""
+    running = {f"n_{s}": f"upto_{s}" for s in sides}
+    return running_totals(_counted(sides), ["feature_name"], "value", running, _whole(sides), **cut)
+
+
+def _moment_columns(s: str) -> dict[str, str]:
+    """Aggregates of values with their group sums that give moments and counts of side `s`."""
     mean = f"(sum_{s} / upto_{s}_all)"
-    columns = {
+    return {
         f"mean_{s}": f"max({mean})",
         f"std_{s}": f"sqrt(sum((value - {mean}) * (value - {mean}) * n_{s}) / max(upto_{s}_all))",
         f"present_{s}": f"max(upto_{s}_all)",
         f"sample_count_{s}": f"max(rows_{s})",
         f"missing_{s}": f"max(rows_{s} - valid_{s})",
     }
-    for name, q in QUANTILES.items():
-        for end, edge in (("low", "floor"), ("high", "ceil")):
-            rank = f"{edge}((upto_{s}_all - 1) * {q}D)"
-            inside = f"n_{s} > 0 AND upto_{s} - n_{s} <= {rank} AND {rank} < upto_{s}"
-            columns[f"{name}_{end}_{s}"] = f"max(CASE WHEN {inside} THEN value END)"
+
+
+def _quantile_ranks(s: str, total: str) -> dict[str, str]:
+    """The two ranks that each quantile of side `s` lies between."""
+    ends = (("low", "floor"), ("high", "ceil"))
+    return {f"{name}_{end}_{s}": f"{edge}(({total} - 1) * {q}D)" for name, q in QUANTILES.items() for end, edge in ends}
+
+
+def _stats_columns(s: str) -> dict[str, str]:
+    """Aggregates of ranked values that give the statistics of side `s` in `_stats_of`."""
+    columns = _moment_columns(s)
+    for name, rank in _quantile_ranks(s, f"upto_{s}_all").items():
+        inside = f"n_{s} > 0 AND upto_{s} - n_{s} <= {rank} AND {rank} < upto_{s}"
+        columns[name] = f"max(CASE WHEN {inside} THEN value END)"
     return columns
 
 
@@ -102,16 +116,20 @@ def _aggregate(ranked: DataFrame, columns: dict[str, str]) -> DataFrame:
     return ranked.groupBy("feature_name").agg(*[F.expr(text).alias(name) for name, text in columns.items()])
 
 
-def feature_stats(rows: DataFrame, chunks: int | None = None) -> DataFrame:
+def feature_stats(rows: DataFrame, **cut) -> DataFrame:
     """Mean, population deviation, exact interpolated quantiles, share of missing values and
     number of rows per feature. A feature without any value is left out.
 
-    Everything follows from the distinct values and their counts, whose running totals give
-    each value its range of ranks; no feature's values are gathered in one place.
+    Everything follows from the distinct values and their counts. Quantiles are selected by
+    counting: no feature's values are put in order as a whole.
     """
-    ranked = _ranked({"a": long_form(rows)}, chunks).where("upto_a_all > 0")
+    counts = _counted({"a": long_form(rows)})
+    sums = {"n_a": "upto_a_all"} | _whole("a")
+    totals = counts.groupBy("feature_name").agg(*[F.sum(m).alias(name) for m, name in sums.items()]).where("upto_a_all > 0")
+    moments = _aggregate(counts.join(F.broadcast(totals), "feature_name"), _moment_columns("a"))
+    values = at_ranks(counts.where("n_a > 0"), ["feature_name"], "value", "n_a", _quantile_ranks("a", "total"), **cut)
     columns = [f"{text} AS {name}" for name, text in _stats_of("a").items()]
-    return _aggregate(ranked, _stats_columns("a")).selectExpr("feature_name", *columns)
+    return moments.join(F.broadcast(values), "feature_name").selectExpr("feature_name", *columns)
 
 
 def skew_snapshot(
@@ -169,12 +187,12 @@ def _ks_columns() -> dict[str, str]:
     }
 
 
-def ks_statistic(training: DataFrame, serving: DataFrame, chunks: int | None = None) -> DataFrame:
+def ks_statistic(training: DataFrame, serving: DataFrame, **cut) -> DataFrame:
     """Two-sample Kolmogorov-Smirnov distance of (feature_name, value) rows, per feature.
 
     Missing values take no part; a feature without values on one side is left out.
     """
-    ranked = _ranked({"a": training, "b": serving}, chunks).where("valid_a > 0 AND valid_b > 0")
+    ranked = _ranked({"a": training, "b": serving}, **cut).where("valid_a > 0 AND valid_b > 0")
     return _aggregate(ranked, _ks_columns())
 
 
@@ -201,14 +219,50 @@ def ks_test(training: DataFrame, serving: DataFrame) -> DataFrame:
     )
 
 
-def skew_report(training_rows: DataFrame, serving_rows: DataFrame, chunks: int | None = None) -> DataFrame:
+def baseline(
+    history: DataFrame, context: str, as_of: datetime, since_days: int, snapshot_id: str, version: str = VERSION
+) -> DataFrame:
+    """The values of one window with their numbers of rows, as rows of the table of baselines.
+
+    An exact empirical distribution, much smaller than the rows where values repeat. Baselines of
+    disjoint sets of rows merge by adding up, see `merged_baselines`.
+    """
+    counts = long_form(window_rows(history, as_of, since_days, version)).groupBy("feature_name", "value").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    return counts.select(
+        F.lit(snapshot_id).alias("snapshot_id"), "feature_name", F.lit(version).alias("feature_version"),
+        F.lit(context).alias("context"), "value", "n", moment(as_of).alias("captured_at"),
+    )
+
+
+def merged_baselines(baselines: DataFrame) -> DataFrame:
+    """(feature_name, value, n) of the union of the windows, which must not overlap."""
+    return baselines.groupBy("feature_name", "value").agg(F.sum("n").alias("n"))
+
+
+def latest_baseline(baselines: DataFrame, context: str, version: str = VERSION) -> DataFrame:
+    """(feature_name, value, n) of the baseline captured last in the given context."""
+    known = baselines.where((F.col("feature_version") == version) & (F.col("context") == context))
+    last = known.agg(F.max(F.struct("captured_at", "snapshot_id")).alias("last")).select("last.snapshot_id")
+    return known.where(F.col("snapshot_id") == last.scalar()).select("feature_name", "value", "n")
+
+
+def skew_report(training_rows: DataFrame, serving_rows: DataFrame, **cut) -> DataFrame:
+    """`skew_report_of` two sets of history rows."""
+    return skew_report_of(long_form(training_rows), long_form(serving_rows), **cut)
+
+
+def skew_report_of(training: DataFrame, serving: DataFrame, **cut) -> DataFrame:
     """Full drift report, flagged features first, then by distance.
 
+    Both sides are (feature_name, value) rows, or (feature_name, value, n) as a baseline holds them.
+
     Statistics and test come from one ranking of the values of both windows. The report is empty
     when either window is: a feature without serving rows is left out rather than compared with
     an invented zero.
     """
-    ranked = _ranked({"a": long_form(training_rows), "b": long_form(serving_rows)}, chunks)
+    ranked = _ranked({"a": training, "b": serving}, **cut)
     figures = _aggregate(
         ranked.where("valid_a > 0 AND valid_b > 0"),
         _stats_columns("a") | _stats_columns("b") | _ks_columns(),

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from tidemark.operators import distribution
 from tidemark.plans import fixtures as fx
 from tidemark.plans import sql
-from tidemark.schemas import KS_THRESHOLD
+from tidemark.schemas import KS_THRESHOLD, SKEW_BASELINES
+from tidemark.session import new_path
+from tidemark.sources import tables
 
 STATS = ["mean", "std", "p25", "p50", "p75", "p95", "null_rate"]
 BEFORE = fx.TRAINED_AT - timedelta(days=7)
@@ -71,6 +73,17 @@ def skew_report(spark, folder):
     return distribution.skew_report(*fx.drift_windows(spark, folder))
 
 
+def skew_report_logged(spark, folder):
+    """Against baselines stored when the model was trained, the later of two; no training history is read again."""
+    log = new_path(spark, "baselines")
+    for at, name in ((BEFORE, "train-a"), (fx.TRAINED_AT, "train-b")):
+        history = fx.history(spark, folder, dict(fx.TRAINING_WEEK, now=at))
+        tables.append(log, distribution.baseline(history, "training", at, 7, name))
+    stored = tables.read(spark, log, SKEW_BASELINES)
+    serving = distribution.window_rows(fx.history(spark, folder, fx.SERVING_DAY), fx.SNAPSHOT, 1)
+    return distribution.skew_report_of(distribution.latest_baseline(stored, "training"), distribution.long_form(serving))
+
+
 def skew_flag_counts(spark, folder):
     return distribution.skew_flag_counts(skew_report(spark, folder))
 
@@ -85,6 +98,7 @@ QUERIES = {
     "ks_statistic": ks_statistic,
     "ks_pvalue": ks_pvalue,
     "skew_report": skew_report,
+    "skew_report_logged": skew_report_logged,
     "skew_flag_counts": skew_flag_counts,
 }
 
@@ -169,6 +183,8 @@ SELECT feature_name, round(d, 6) AS ks_statistic, n_training, n_serving, round(C
 FROM tested""",
     "skew_report": sql.with_(_BOTH_STATS, _SUMMARY, _KS, _REPORT)
     + "SELECT * FROM report ORDER BY flagged DESC, ks_statistic DESC, feature_name",
+    "skew_report_logged": sql.with_(_BOTH_STATS, _SUMMARY, _KS, _REPORT)
+    + "SELECT * FROM report ORDER BY flagged DESC, ks_statistic DESC, feature_name",
     "skew_flag_counts": sql.with_(_BOTH_STATS, _SUMMARY, _KS, _REPORT)
     + "SELECT count(*) FILTER (flagged) AS flagged, count(*) AS total FROM report",
 }

@@ -67,6 +67,11 @@ SKEW_SNAPSHOTS = (
     "mean double, std double, p25 double, p50 double, p75 double, p95 double, null_rate double, "
     "sample_count bigint, captured_at timestamp_ntz"
 )
+# The values of a window with their numbers of rows: what a later comparison needs of it.
+SKEW_BASELINES = (
+    "snapshot_id string, feature_name string, feature_version string, context string, value double, n bigint, "
+    "captured_at timestamp_ntz"
+)
 ONLINE_FEATURES = (
     f"entity_type string, entity_id bigint, feature_version string, {_FEATURE_DDL}, "
     "event_time timestamp_ntz, written_at timestamp_ntz"
@@ -83,6 +88,7 @@ TABLES = {
     "lineage_edges": LINEAGE_EDGES,
     "materialization_log": MATERIALIZATION_LOG,
     "skew_snapshots": SKEW_SNAPSHOTS,
+    "skew_baselines": SKEW_BASELINES,
     "online_features": ONLINE_FEATURES,
     "request_log": REQUEST_LOG,
 }
