@@ -1,4 +1,6 @@
+import random
 from datetime import date, datetime, timedelta
+from pathlib import Path
 
 import pytest
 from raw_data import NOW
@@ -7,7 +9,8 @@ from tidemark.operators import online
 from tidemark.operators.retrieval import dual_path_batch, dual_path_summary, on_demand_batch, on_demand_single, parity_check
 from tidemark.operators.features import feature_vector
 from tidemark.session import new_path
-from tidemark.sources.tables import read_online, write_online
+from tidemark.sources import online_log
+from tidemark.sources.online_log import delete_online, manifest, read_online, write_online
 from tidemark.streaming.refresh import refresh_online
 
 HOUR = timedelta(hours=1)
@@ -27,7 +30,7 @@ def test_round_trip_size_and_delete(spark, make_history):
     found = {r.entity_id: (r.hit, r.txn_count_7d) for r in online.lookup(read_online(spark, root), _ids(spark, 1, 1, 999), NOW).collect()}
     assert found == {1: (True, 1.0), 999: (False, None)}
     assert online.size(read_online(spark, root), NOW).first().entities == 3
-    write_online(spark, root, online.delete(read_online(spark, root), _ids(spark, 2)))
+    delete_online(spark, root, _ids(spark, 2, 2, None))
     assert online.size(read_online(spark, root), NOW).first().entities == 2
 
 
@@ -62,13 +65,93 @@ def test_reads_degrade_and_writes_raise(spark, make_history):
         write_online(spark, "nosuchscheme://nowhere/online", _table(make_history, 1))
 
 
-def test_unfinished_copies_are_not_read(spark, make_history):
+def _ids_of(df):
+    return sorted(r.entity_id for r in df.collect())
+
+
+def _files(root):
+    return {str(p.relative_to(root)) for p in Path(root).rglob("*.parquet")}
+
+
+def test_a_write_that_is_not_committed_is_not_read(spark, make_history, monkeypatch):
     root = new_path(spark, "online")
     write_online(spark, root, _table(make_history, 1))
-    _table(make_history, 2).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(
-        f"{root}/batch={1:012d}"
-    )
-    assert [r.entity_id for r in read_online(spark, root).collect()] == [1]
+    with monkeypatch.context() as broken:
+        broken.setattr(online_log, "rename_new", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            write_online(spark, root, _table(make_history, 2))
+    assert _ids_of(read_online(spark, root)) == [1] and manifest(spark, root)["number"] == 0
+    write_online(spark, root, _table(make_history, 3))
+    assert _ids_of(read_online(spark, root)) == [1, 3]
+
+
+def test_of_two_writers_the_first_wins(spark, make_history, monkeypatch):
+    root = new_path(spark, "online")
+    write_online(spark, root, _table(make_history, 1))
+    begun = manifest(spark, root)
+    write_online(spark, root, _table(make_history, 2))
+    monkeypatch.setattr(online_log, "manifest", lambda *a: begun)  # the second started from the same manifest
+    with pytest.raises(Exception, match="exist"):
+        write_online(spark, root, _table(make_history, 3))
+    monkeypatch.undo()
+    assert _ids_of(read_online(spark, root)) == [1, 2]
+
+
+def test_one_entity_writes_one_bucket_and_leaves_the_others(spark, make_history):
+    root = new_path(spark, "online")
+    write_online(spark, root, _table(make_history, *range(300)))
+    before = _files(root)
+    assert len({f.split("/")[2] for f in before}) == online_log.BUCKETS
+    write_online(spark, root, _table(make_history, 7, at=NOW + HOUR, txn_count_7d=5.0))
+    new = _files(root) - before
+    assert before < _files(root) and len({f.split("/")[2] for f in new}) == 1
+    assert {r.entity_id: r.txn_count_7d for r in read_online(spark, root).collect()} == {k: 5.0 if k == 7 else 1.0 for k in range(300)}
+    plan = read_online(spark, root)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 2  # only the bucket with two folders is merged
+
+
+def test_full_buckets_are_compacted_and_old_folders_go(spark, make_history):
+    root = new_path(spark, "online")
+    ids = list(range(40))
+    write_online(spark, root, _table(make_history, *ids, txn_count_7d=0.0), folders=3)
+    for k in range(1, 9):
+        write_online(spark, root, _table(make_history, 7, 8, at=NOW + k * HOUR, txn_count_7d=float(k)), folders=3)
+    want = {i: 8.0 if i in (7, 8) else 0.0 for i in ids}
+    assert {r.entity_id: r.txn_count_7d for r in read_online(spark, root).collect()} == want
+    state = manifest(spark, root)
+    assert max(map(len, state["live"].values())) <= 3
+    kept = [p.name for p in Path(root, "_manifest").glob("*.json")]
+    assert len(kept) == online_log.KEEP
+    buckets = {f.split("/")[2] for f in _files(root) if "bucket" in f}
+    # per busy bucket at most what the kept manifests name; the others still have their first folder alone
+    assert len({"/".join(f.split("/")[:3]) for f in _files(root)}) <= len(buckets) + 2 * 4
+    delete_online(spark, root, _ids(spark, *ids), folders=1)
+    assert read_online(spark, root).count() == 0 and not manifest(spark, root)["live"]
+
+
+def test_a_deleted_entity_comes_back_with_a_later_write_even_of_an_older_time(spark, make_history):
+    root = new_path(spark, "online")
+    write_online(spark, root, _table(make_history, 1, 2))
+    delete_online(spark, root, _ids(spark, 1))
+    assert _ids_of(read_online(spark, root)) == [2]
+    write_online(spark, root, _table(make_history, 1, at=NOW - HOUR))
+    assert {r.entity_id: r.event_time for r in read_online(spark, root).collect()} == {1: NOW - HOUR, 2: NOW}
+
+
+def test_random_writes_equal_plain_merging(spark, make_history):
+    rng = random.Random(2)
+    root, kept = new_path(spark, "online"), {}
+    for _ in range(12):
+        ids = rng.sample(range(12), 4)
+        if rng.random() < 0.3:
+            delete_online(spark, root, _ids(spark, *ids), folders=2)
+            kept = {i: v for i, v in kept.items() if i not in ids}
+        else:
+            at, value = NOW + rng.randrange(5) * HOUR, float(rng.randrange(100))
+            write_online(spark, root, _table(make_history, *ids, at=at, txn_count_7d=value), folders=2)
+            for i in ids:
+                kept[i] = max(kept.get(i, (at, value)), (at, value))
+        assert {r.entity_id: (r.event_time, r.txn_count_7d) for r in read_online(spark, root).collect()} == kept
 
 
 def test_on_demand(spark, windows_raw):
@@ -143,9 +226,21 @@ def _arrive(spark, parts, as_ofs, **more):
 def test_stream_does_not_depend_on_batches(spark, make_history):
     old, bad = make_history([(1, NOW, {})]), make_history([(1, NOW + HOUR, {"plan_encoded": 9.0}), (2, NOW, {})])
     later = NOW + 2 * HOUR
-    assert _arrive(spark, [old, bad], [later, later]) == _arrive(spark, [bad, old], [later, later]) == {2: NOW}
-    assert _arrive(spark, [old.unionByName(bad)], [later]) == {2: NOW}
-    assert _arrive(spark, [old.unionByName(bad)], [later], max_files=1) == {2: NOW}
+    valid = {1: NOW, 2: NOW}  # the newest row of entity 1 breaks a rule, so the one before it stays
+    assert _arrive(spark, [old, bad], [later, later]) == _arrive(spark, [bad, old], [later, later]) == valid
+    assert _arrive(spark, [old.unionByName(bad)], [later]) == valid
+    assert _arrive(spark, [old.unionByName(bad)], [later], max_files=1) == valid
+
+
+def test_a_repeated_batch_changes_nothing(spark, make_history):
+    root = new_path(spark, "online")
+    assert write_online(spark, root, _table(make_history, 1), batch=("refresh", 0)) == 0
+    assert write_online(spark, root, _table(make_history, 2), batch=("refresh", 0)) == 0
+    assert write_online(spark, root, _table(make_history, 2), batch=("other", 0)) == 1
+    assert _ids_of(read_online(spark, root)) == [1, 2]
+    files = _files(root)
+    write_online(spark, root, _table(make_history, 3), batch=("refresh", 0))
+    assert _files(root) == files
 
 
 def test_stream_keeps_rows_later_than_the_time_of_writing(spark, make_history):

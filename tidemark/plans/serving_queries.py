@@ -10,7 +10,7 @@ from tidemark.operators import online, retrieval, validation
 from tidemark.plans import fixtures as fx
 from tidemark.plans import sql
 from tidemark.session import new_path
-from tidemark.sources import mapping, tables
+from tidemark.sources import mapping, online_log, tables
 from tidemark.streaming.refresh import refresh_online
 
 READ_AT = fx.SNAPSHOT + timedelta(hours=1)
@@ -53,13 +53,26 @@ def online_upsert(spark, folder):
     """Two writes of the table; the second finds rows of the first."""
     root = new_path(spark, "online")
     for rows in fx.online_batches(spark, folder):
-        tables.write_online(spark, root, online.upsert(tables.read_online(spark, root), rows))
-    return tables.read_online(spark, root)
+        online_log.write_online(spark, root, rows, unique=True)
+    return online_log.read_online(spark, root)
+
+
+def _silent(spark, folder):
+    return fx.snapshot(spark, folder).where("days_since_last_txn = 9999").select("entity_id")
 
 
 def online_delete(spark, folder):
-    silent = fx.snapshot(spark, folder).where("days_since_last_txn = 9999").select("entity_id")
-    return online.delete(fx.online_table(spark, folder), silent)
+    return online.delete(fx.online_table(spark, folder), _silent(spark, folder))
+
+
+def online_log_delete(spark, folder):
+    """Writes, tombstones and a write after them in the stored table; the last write brings some entities back."""
+    root = new_path(spark, "online")
+    old, active = fx.online_batches(spark, folder)
+    online_log.write_online(spark, root, old, unique=True)
+    online_log.delete_online(spark, root, _silent(spark, folder))
+    online_log.write_online(spark, root, active, unique=True, folders=2)
+    return online_log.read_online(spark, root)
 
 
 def online_lookup(spark, folder):
@@ -82,7 +95,7 @@ def dual_path_summary(spark, folder):
 
 def dual_path_no_online(spark, folder):
     """A table that was never written reads as empty: every id misses and is computed."""
-    nothing = tables.read_online(spark, new_path(spark, "absent"))
+    nothing = online_log.read_online(spark, new_path(spark, "absent"))
     return retrieval.dual_path_batch(
         nothing, *mapping.raw(spark, folder), fx.part_ids(spark, folder), fx.SNAPSHOT
     )
@@ -92,8 +105,8 @@ def materialize_latest(spark, folder):
     checked = online.materialize_rows(fx.quarters(spark, folder), fx.SNAPSHOT)
     good = online.as_online(checked.where("size(violations) = 0"), fx.SNAPSHOT)
     root = new_path(spark, "online")
-    tables.write_online(spark, root, online.upsert(tables.read_online(spark, root), good))
-    return tables.read_online(spark, root)
+    online_log.write_online(spark, root, good, unique=True)
+    return online_log.read_online(spark, root)
 
 
 def materialize_summary(spark, folder):
@@ -109,7 +122,7 @@ def stream_materialize(spark, folder):
     for part in (rows.where(up_to), rows.where(~up_to)):
         tables.append_history(history, part, END)
         refresh_online(spark, history, root, state, END)
-    return tables.read_online(spark, root)
+    return online_log.read_online(spark, root)
 
 
 QUERIES = {
@@ -119,6 +132,7 @@ QUERIES = {
     "quarantine_rows": quarantine_rows,
     "online_upsert": online_upsert,
     "online_delete": online_delete,
+    "online_log_delete": online_log_delete,
     "online_lookup": online_lookup,
     "online_size": online_size,
     "dual_path_batch": dual_path_batch,
@@ -177,6 +191,11 @@ FROM (SELECT unnest(string_split(violations, ',')) AS v FROM checked WHERE viola
     "online_upsert": sql.with_(fx.ONLINE_SQL) + "SELECT * FROM online",
     "online_delete": sql.with_(fx.ONLINE_SQL)
     + "SELECT * FROM online WHERE entity_id NOT IN (SELECT entity_id FROM fv WHERE days_since_last_txn = 9999)",
+    "online_log_delete": sql.with_(fx.ONLINE_SQL) + """
+SELECT * FROM batches
+WHERE entity_id NOT IN (SELECT entity_id FROM fv WHERE days_since_last_txn = 9999)
+   OR entity_id IN (SELECT entity_id FROM fv WHERE txn_count_90d > 0)
+QUALIFY row_number() OVER (PARTITION BY entity_type, entity_id, feature_version ORDER BY event_time DESC, written_at DESC) = 1""",
     "online_lookup": sql.with_(fx.ONLINE_SQL) + f"""
 SELECT i.entity_id, o.entity_id IS NOT NULL AS hit, {fx.F13}
 FROM {_IDS} i LEFT JOIN (SELECT * FROM online WHERE {_LIVE}) o ON o.entity_id = i.entity_id""",
@@ -196,9 +215,7 @@ SELECT total, processed, CAST(0 AS BIGINT) AS failed, validation_failures, total
 FROM (SELECT count(DISTINCT user_id) AS total FROM raw_users),
      (SELECT count(*) FILTER (violations = '') AS processed, count(*) FILTER (violations <> '') AS validation_failures,
              count(*) AS with_history FROM checked)""",
-    "stream_materialize": sql.with_(fx.QUARTERS_SQL, _LATEST_SQL, f"""
-newest AS (
-  SELECT * FROM h QUALIFY row_number() OVER (PARTITION BY entity_id ORDER BY event_time DESC) = 1
-)""", sql.cleaned("checked", "newest")) + f"""
-SELECT {_ONLINE_ROW}, {sql.ts(END)} AS written_at FROM checked WHERE violations = ''""",
+    "stream_materialize": sql.with_(fx.QUARTERS_SQL, sql.cleaned("checked", "h")) + f"""
+SELECT {_ONLINE_ROW}, {sql.ts(END)} AS written_at FROM checked WHERE violations = ''
+QUALIFY row_number() OVER (PARTITION BY entity_id ORDER BY event_time DESC) = 1""",
 }

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import moment, snapshot_id, snapshot_name
-from tidemark.schemas import FEATURE_HISTORY, FEATURES, HISTORY_KEY, ONLINE_FEATURES, TABLES, VERSION
+from tidemark.schemas import FEATURE_HISTORY, FEATURES, HISTORY_KEY, TABLES, VERSION
 
 HISTORY_FOLDERS = ["feature_version", "snapshot_id"]
 
@@ -138,38 +138,39 @@ def append(path: str, rows: DataFrame) -> None:
     rows.write.mode("append").parquet(path)
 
 
-def _batches(spark: SparkSession, root: str) -> list[int]:
-    """Numbers of the completely written copies of the online table, newest last."""
-    hadoop_path, fs = _filesystem(spark, root)
-    if not fs.exists(hadoop_path):
-        return []
-    names = [s.getPath().getName() for s in fs.listStatus(hadoop_path) if s.isDirectory()]
-    numbers = [int(n.split("=")[1]) for n in names if n.startswith("batch=")]
-    return sorted(n for n in numbers if exists(spark, f"{root}/batch={n:012d}/_SUCCESS"))
-
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names inside a folder; none if there is no folder."""
+    hadoop_path, fs = _filesystem(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(hadoop_path)] if fs.exists(hadoop_path) else []
 
-def read_online(spark: SparkSession, root: str, before: int | None = None) -> DataFrame:
-    """The newest complete copy of the online table; `before` looks at earlier copies only.
 
-    A missing table reads as empty, so that lookups degrade to misses.
-    """
-    return read_copy(spark, root, ONLINE_FEATURES, before)
+def delete_path(spark: SparkSession, path: str) -> None:
+    hadoop_path, fs = _filesystem(spark, path)
+    fs.delete(hadoop_path, True)
 
 
-def read_copy(spark: SparkSession, root: str, schema, before: int | None = None) -> DataFrame:
-    found = [n for n in _batches(spark, root) if before is None or n < before]
-    if not found:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{root}/batch={found[-1]:012d}")
-
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file as text, from any store that Spark reaches."""
+    hadoop_path, fs = _filesystem(spark, path)
+    stream = fs.open(hadoop_path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
 
-def write_online(spark: SparkSession, root: str, table: DataFrame, batch: int | None = None) -> int:
-    """Write the next copy of the online table, beside the one that `table` may be reading.
 
-    Readers switch when the copy is complete. Writing a given batch again replaces it. Errors
-    are raised: a run that stores nothing must not look like a success.
-    """
-    found = _batches(spark, root)
-    number = batch if batch is not None else (found[-1] + 1 if found else 0)
-    table.write.mode("overwrite").parquet(f"{root}/batch={number:012d}")
-    return number
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    hadoop_path, fs = _filesystem(spark, path)
+    stream = fs.create(hadoop_path, True)
+    try:
+        stream.write(text.encode())
+    finally:
+        stream.close()
+
+
+def rename_new(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file or folder to a name that nothing has yet; raises if another writer took it first."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    context = hadoop.FileContext.getFileContext(hadoop.Path(target).toUri(), spark._jsc.hadoopConfiguration())
+    none = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 0)
+    context.rename(hadoop.Path(source), hadoop.Path(target), none)

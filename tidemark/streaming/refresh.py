@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import moment
-from tidemark.operators.online import ONLINE_COLUMNS, newest
+from tidemark.operators.online import as_online
 from tidemark.operators.validation import validate
-from tidemark.schemas import FEATURE_HISTORY, ONLINE_FEATURES, VERSION
-from tidemark.sources.tables import read_copy, write_online
+from tidemark.schemas import FEATURE_HISTORY, VERSION
+from tidemark.session import new_path
+from tidemark.sources.online_log import write_online
+from tidemark.sources.tables import delete_path
 
-STATE = f"{ONLINE_FEATURES}, valid boolean"
+SOURCE = "refresh"
 
 
 def refresh_online(
@@ -22,25 +24,25 @@ def refresh_online(
 ) -> None:
     """Take in every history file not seen by earlier runs, then stop.
 
-    Every row is validated. The state keeps the newest row of each entity, valid or not, and the
-    online table shows those that are valid, so the result is the same however files fall into
-    batches: an entity whose newest row breaks a rule is not shown. `as_of` is only the time of
-    writing; rows later than it count, since a file is taken in once. Rows that break a rule are kept
-    per batch in a quarantine beside the table. Copies carry the batch number and build on the copies
-    before them, so a batch that Spark repeats after a failure writes the same copies again.
+    Every row is validated, and the online table gets the newest valid row of each entity: a row that
+    breaks a rule leaves an older valid one in place, as it does when a batch is materialized. So the
+    result is the same however files fall into batches, and a batch writes only the buckets of the
+    entities it brings. `as_of` is only the time of writing; rows later than it count, since a
+    file is taken in once. Rows that break a rule are kept per batch in a quarantine beside the table.
+    The table knows the last batch it took in, so a batch that Spark repeats changes nothing.
     """
     arrivals = spark.readStream.schema(FEATURE_HISTORY)
     if max_files:
         arrivals = arrivals.option("maxFilesPerTrigger", max_files)
 
     def merge(batch: DataFrame, number: int) -> None:
-        checked = validate(batch.where(F.col("feature_version") == version)).withColumn("written_at", moment(as_of))
-        rows = checked.select(*ONLINE_COLUMNS, (F.size("violations") == 0).alias("valid"))
-        state = read_copy(spark, f"{online_root}_state", STATE, before=number)
-        write_online(spark, f"{online_root}_state", newest(state.unionByName(rows)), batch=number)
-        whole = read_copy(spark, f"{online_root}_state", STATE, before=number + 1)
-        write_online(spark, online_root, whole.where("valid").drop("valid"), batch=number)
-        write_online(spark, f"{online_root}_quarantine", checked.where(F.size("violations") > 0), batch=number)
+        path = new_path(spark, "arrivals")
+        validate(batch.where(F.col("feature_version") == version)).write.parquet(path)
+        checked = spark.read.parquet(path)
+        write_online(spark, online_root, as_online(checked.where(F.size("violations") == 0), as_of), batch=(SOURCE, number))
+        bad = checked.where(F.size("violations") > 0).withColumns({"run_id": F.lit(f"{SOURCE}-{number}"), "quarantined_at": moment(as_of)})
+        bad.write.mode("overwrite").parquet(f"{online_root}_quarantine/batch={number:012d}")
+        delete_path(spark, path)
 
     query = (
         arrivals.parquet(history_path)
