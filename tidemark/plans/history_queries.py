@@ -6,11 +6,11 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import asof, backfill
+from tidemark.operators import asof, backfill, state
 from tidemark.operators.retrieval import parity_check as parity
 from tidemark.plans import fixtures as fx
 from tidemark.plans import sql
-from tidemark.session import new_path
+from tidemark.session import new_path, stage
 from tidemark.sources import mapping, tables
 from tidemark.schemas import FEATURE_HISTORY
 
@@ -88,6 +88,15 @@ def backfill_history(spark, folder):
     return fx.history(spark, folder, fx.DAILY)
 
 
+def backfill_next_day(spark, folder):
+    """The last day of the daily grid from the stored state of the day before."""
+    users, transactions, tickets = mapping.raw(spark, folder)
+    now = fx.DAILY["now"]
+    before = now - timedelta(hours=fx.DAILY["interval_hours"])
+    stored = stage(state.state_at(transactions, tickets, before), "state")
+    return state.features_of(state.advance(stored, transactions, tickets, before, now), users, now)
+
+
 def latest_asof(spark, folder):
     rows = asof.latest_asof(fx.quarters(spark, folder), AS_OF)
     return rows.select("entity_id", "event_time", *fx.FEATURES)
@@ -139,6 +148,7 @@ QUERIES = {
     "backfill_pending": backfill_pending,
     "backfill_plan": backfill_plan,
     "backfill_history": backfill_history,
+    "backfill_next_day": backfill_next_day,
     "latest_asof": latest_asof,
     "latest_for_ids": latest_for_ids,
     "pit_join": pit_join,
@@ -186,6 +196,8 @@ SELECT s.event_time, coalesce(n, 0) AS stored_rows,
 FROM spine s LEFT JOIN (SELECT event_time, count(*) AS n FROM raw_transactions GROUP BY event_time) t
   ON t.event_time = s.event_time""",
     "backfill_history": sql.with_(sql.RAW, sql.history("d", **fx.DAILY)) + "SELECT * FROM d",
+    "backfill_next_day": sql.with_(sql.RAW, sql.history("d", **fx.DAILY))
+    + f"SELECT * FROM d WHERE event_time = {sql.ts(fx.DAILY['now'])}",
     "latest_asof": sql.with_(fx.QUARTERS_SQL, _LATEST_SQL) + f"SELECT entity_id, event_time, {fx.F13} FROM latest",
     "latest_for_ids": sql.with_(fx.QUARTERS_SQL, _LATEST_SQL)
     + f"SELECT entity_id, {fx.F13} FROM latest WHERE entity_id IN (SELECT p_partkey FROM part)",
