@@ -10,7 +10,7 @@ from tidemark.operators.asof import latest_asof
 from tidemark.operators.distribution import window_rows
 from tidemark.schemas import FEATURE_HISTORY, RAW_SUPPORT_TICKETS, RAW_TRANSACTIONS, RAW_USERS
 from tidemark.session import new_path
-from tidemark.sources import tables
+from tidemark.sources import online_log, tables
 from tidemark.store import FeatureStore
 
 DAY = timedelta(days=1)
@@ -118,7 +118,7 @@ def test_folders_prune_every_reader_of_stored_history(spark, make_raw):
     for read, bounds in (
         (window_rows(history, NOW - 2 * DAY, 1), (upper, lower)),
         (store.latest_features(labels.select("entity_id"), NOW - 2 * DAY), (upper,)),
-        (store.training_dataset(labels), (upper,)),
+        (store.training_dataset(labels), ("snapshot_id#", "<= Subquery")),  # the bound is the newest label, found as the plan runs
     ):
         filters = [line for line in _formatted(read).splitlines() if "PartitionFilters" in line]
         assert filters and all(b in line for b in bounds for line in filters if "snapshot_id" in line)
@@ -145,14 +145,24 @@ def test_a_failed_materialization_is_logged(spark, make_raw, monkeypatch):
     store.load_raw(*make_raw([(1, date(2024, 1, 1), "pro")]))
     store.compute_features(NOW)
 
-    def broken(*_):
+    def broken(*_, **__):
         raise OSError("disk gone")
 
-    monkeypatch.setattr(tables, "write_online", broken)
+    monkeypatch.setattr(online_log, "write_online", broken)
     with pytest.raises(OSError):
         store.run_materialization(NOW)
     run = store.recent_runs().where("status = 'failed'").first()
-    assert "disk gone" in run.error_message
+    assert "disk gone" in run.error_message and (run.entities_processed, run.entities_failed) == (0, 1)
+    assert not tables.list_names(spark, store.path("checked_features"))
+
+
+def test_quarantined_rows_tell_their_run(spark, make_raw):
+    store = FeatureStore(spark, new_path(spark, "store"))
+    store.load_raw(*make_raw([(0, date(2024, 1, 1), "pro"), (1, date(2024, 1, 1), "pro")]))
+    store.compute_features(NOW)
+    runs = [store.run_materialization(at)["run_id"] for at in (NOW, NOW + DAY)]
+    rows = spark.read.parquet(store.path("quarantine")).collect()
+    assert {(r.entity_id, r.run_id, r.quarantined_at) for r in rows} == {(0, runs[0], NOW), (0, runs[1], NOW + DAY)}
 
 
 def test_only_missing_snapshots_are_computed(spark, make_raw):

@@ -1,3 +1,4 @@
+import hashlib
 import random
 from datetime import date, datetime, timedelta
 
@@ -72,6 +73,15 @@ def test_average_precision(scored):
     assert abs(q.average_precision(df).first().average_precision - expected) < 1e-12
 
 
+@pytest.mark.parametrize("label", [0, 1])
+def test_one_class_has_no_ranking(spark, label):
+    df = spark.createDataFrame([(1, label, 0.3), (2, label, 0.8)], SCORED)
+    assert q.auc(df).first().asDict() == {"roc_auc": None, "n_positive": 2 * label, "n_negative": 2 - 2 * label}
+    assert q.average_precision(df).first().average_precision == (1.0 if label else None)
+    nothing = df.limit(0)
+    assert q.auc(nothing).first().roc_auc is None and q.average_precision(nothing).first().average_precision is None
+
+
 def test_f1(spark, scored):
     rows, df = scored
     tp = sum(y for _, y, s in rows if s > 0.5)
@@ -103,6 +113,19 @@ def test_model_learns(make_history):
     assert max(weights, key=weights.get) == "days_since_last_txn"
 
 
+@pytest.mark.parametrize("share", [0.0, 0.2, 0.5, 1.0])
+def test_split_takes_the_first_hashes_of_each_class(spark, share):
+    rows = [(k // 2, k % 2) for k in range(90)] + [(7, 1)] * 40
+    got = q.stratified_split(spark.createDataFrame(rows, "entity_id bigint, churned int"), share=share).collect()
+    for label in (0, 1):
+        mine = [r for r in got if r.churned == label]
+        key = lambda r: hashlib.md5(f"{r.entity_id}-{q.SEED}".encode()).hexdigest()
+        order = sorted(mine, key=key)
+        limit = int(len(mine) * share)
+        test = [r for r in order if sum(key(o) <= key(r) for o in order) <= limit]
+        assert sorted(r.entity_id for r in mine if r.part == "test") == sorted(r.entity_id for r in test)
+
+
 def test_split_keeps_null_ids_and_labels(spark):
     labels = spark.createDataFrame([(1, 1), (2, 1), (None, 1), (3, None)], "entity_id bigint, churned int")
     assert q.stratified_split(labels).count() == 4

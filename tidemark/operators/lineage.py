@@ -60,20 +60,53 @@ def siblings(lineage: DataFrame, feature: str, version: str = VERSION) -> DataFr
     )
 
 
+_CLOSURE = """
+WITH RECURSIVE reach (start_node, node, path) AS (
+  SELECT source_node, target_node, array(source_node, target_node) FROM {links} WHERE {start} AND source_node <> target_node
+  UNION ALL
+  SELECT start_node, target_node, concat(path, array(target_node))
+  FROM reach JOIN {links} ON source_node = node
+  WHERE NOT array_contains(path, target_node)
+)
+SELECT start_node, node, min(size(path) - 1) AS distance, count(1) AS n_paths FROM reach GROUP BY start_node, node
+"""
+
+
+def closure(edge_list: DataFrame, start: str = "true") -> DataFrame:
+    """(start_node, node, distance, n_paths): every node that a path leads to, over any number of edges.
+
+    `start` is SQL on source_node that chooses where paths begin. A path visits no node twice, so cycles
+    end; `distance` is the number of edges of the shortest path and `n_paths` counts all of them.
+    Lineage is metadata, a graph of declared names; Spark's limits on recursion (100 levels, and its
+    number of rows) raise an error rather than leave paths out.
+    """
+    links = edge_list.select("source_node", "target_node").where("source_node IS NOT NULL AND target_node IS NOT NULL").distinct()
+    return edge_list.sparkSession.sql(_CLOSURE.replace("{start}", start), links=links)
+
+
 def reachable(lineage: DataFrame, start_type: str = "raw_table", end_type: str = "model", version: str = VERSION) -> DataFrame:
-    """Pairs (start, end) joined by a path over one feature, with the number of such paths."""
-    first = edges(lineage, version).where(F.col("edge_type") == "source").where(
-        node_type(F.col("source_node")) == start_type
-    )
-    second = edges(lineage, version).where(F.col("edge_type") == "model_input").where(
-        node_type(F.col("target_node")) == end_type
-    )
-    return (
-        first.select(F.col("source_node").alias("start_node"), F.col("target_node").alias("via"))
-        .join(second.select(F.col("source_node").alias("via"), F.col("target_node").alias("end_node")), "via")
-        .groupBy("start_node", "end_node")
-        .agg(F.count(F.lit(1)).alias("n_paths"))
-    )
+    """Pairs (start_node, end_node) of the two types that a path of any length joins, with the number of such paths."""
+    found = closure(edges(lineage, version))
+    ends = (node_type(F.col("start_node")) == start_type) & (node_type(F.col("node")) == end_type)
+    return found.where(ends).select("start_node", F.col("node").alias("end_node"), "n_paths")
+
+
+def subgraph(lineage: DataFrame, feature: str, version: str = VERSION) -> DataFrame:
+    """(node, node_type, role, distance): the feature itself, all it comes from (upstream) and leads to
+    (downstream) over any number of edges, and its siblings, which share a direct source with it.
+
+    The feature is there even without any edge. A node of a cycle through the feature has both roles.
+    """
+    declared = edges(lineage, version)
+    links = declared.select("source_node", "target_node")
+    turned = links.select(F.col("target_node").alias("source_node"), F.col("source_node").alias("target_node"))
+    name = "'" + feature.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    around = declared.sparkSession.range(1).select(F.lit(feature).alias("node"), F.lit("itself").alias("role"), F.lit(0).alias("distance"))
+    for role, graph in (("upstream", turned), ("downstream", links)):
+        found = closure(graph, f"source_node = {name}")
+        around = around.unionByName(found.select("node", F.lit(role).alias("role"), "distance"))
+    near = siblings(lineage, feature, version).select(F.col("sibling").alias("node"), F.lit("sibling").alias("role"), F.lit(2).alias("distance"))
+    return around.unionByName(near.distinct()).select("node", node_type(F.col("node")).alias("node_type"), "role", "distance")
 
 
 def undeclared_inputs(lineage: DataFrame, used: DataFrame, version: str = VERSION) -> DataFrame:

@@ -11,7 +11,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators import lineage, registry, run_log
+from tidemark.operators import lineage, online, registry, run_log
 from tidemark.operators.validation import validate
 from tidemark.plans import fixtures as fx
 from tidemark.plans import sql
@@ -129,6 +129,32 @@ def lineage_reachability(spark, folder):
     )
 
 
+def lineage_subgraph(spark, folder):
+    """Nodes around one feature with their rows: itself, upstream, downstream and siblings."""
+    return lineage.subgraph(_edges(spark), FEATURE).join(_volumes(spark, folder), "node")
+
+
+def lineage_nodes_for_feature(spark, folder):
+    return lineage.nodes_for_feature(_edges(spark), FEATURE).join(_volumes(spark, folder), "node")
+
+
+def _data_edges(spark, folder) -> DataFrame:
+    """Which nations hold which segments, which segments order with which priorities, and how those orders ended."""
+    customers, orders = mapping.table(spark, folder, "customer"), mapping.table(spark, folder, "orders")
+    sold = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    hops = [
+        customers.selectExpr("concat('nation:', c_nationkey) AS source_node", "concat('segment:', c_mktsegment) AS target_node"),
+        sold.selectExpr("concat('segment:', c_mktsegment) AS source_node", "concat('priority:', o_orderpriority) AS target_node"),
+        orders.selectExpr("concat('priority:', o_orderpriority) AS source_node", "concat('status:', o_orderstatus) AS target_node"),
+    ]
+    return hops[0].unionByName(hops[1]).unionByName(hops[2]).distinct()
+
+
+def lineage_closure(spark, folder):
+    """All paths of one to three edges through a graph made from the tables."""
+    return lineage.closure(_data_edges(spark, folder))
+
+
 def lineage_audit(spark, folder):
     """Features that vary in the training rows but are not declared as inputs of the model."""
     used = registry.coverage(fx.snapshot(spark, folder).join(
@@ -181,6 +207,12 @@ def cache_hit_rate(spark, folder):
     return run_log.cache_hit_rate(mapping.request_log(spark, folder))
 
 
+def serving_metrics(spark, folder):
+    """Requests served before noon of any day, none of them in batches: a silent path still has its row."""
+    requests = mapping.request_log(spark, folder).where("hour(ts) < 12 AND path <> 'batch'")
+    return run_log.serving_metrics(requests, online.size(fx.online_table(spark, folder), fx.SNAPSHOT))
+
+
 QUERIES = {
     "registry_list": registry_list,
     "registry_names": registry_names,
@@ -192,12 +224,16 @@ QUERIES = {
     "lineage_for_feature": lineage_for_feature,
     "lineage_siblings": lineage_siblings,
     "lineage_reachability": lineage_reachability,
+    "lineage_subgraph": lineage_subgraph,
+    "lineage_nodes_for_feature": lineage_nodes_for_feature,
+    "lineage_closure": lineage_closure,
     "lineage_audit": lineage_audit,
     "lineage_counts": lineage_counts,
     "run_log": run_log_all,
     "run_log_recent": run_log_recent,
     "latency_percentiles": latency_percentiles,
     "cache_hit_rate": cache_hit_rate,
+    "serving_metrics": serving_metrics,
 }
 
 
@@ -301,6 +337,32 @@ paths AS (
 )
 SELECT start_node, at_node AS end_node, count(*) AS n_paths, n_rows AS start_rows
 FROM paths JOIN volumes ON node = start_node WHERE at_node LIKE 'churn%' GROUP BY start_node, at_node, n_rows""",
+    "lineage_subgraph": _LIN.rstrip() + f""",
+around AS (
+  SELECT '{FEATURE}' AS node, 'itself' AS role, 0 AS distance
+  UNION ALL SELECT source_node, 'upstream', 1 FROM edges WHERE target_node = '{FEATURE}'
+  UNION ALL SELECT target_node, 'downstream', 1 FROM edges WHERE source_node = '{FEATURE}'
+  UNION ALL SELECT DISTINCT b.target_node, 'sibling', 2
+  FROM edges a JOIN edges b ON a.source_node = b.source_node AND b.edge_type = 'source' AND b.target_node <> '{FEATURE}'
+  WHERE a.target_node = '{FEATURE}' AND a.edge_type = 'source'
+)
+SELECT node, {_TYPE} AS node_type, role, distance, n_rows FROM around JOIN volumes USING (node)""",
+    "lineage_nodes_for_feature": _LIN + f"""
+SELECT node, {_TYPE} AS node_type, n_rows
+FROM (SELECT '{FEATURE}' AS node UNION SELECT source_node FROM edges WHERE target_node = '{FEATURE}'
+      UNION SELECT target_node FROM edges WHERE source_node = '{FEATURE}') JOIN volumes USING (node)""",
+    "lineage_closure": """
+WITH RECURSIVE links AS (
+  SELECT DISTINCT 'nation:' || c_nationkey AS source_node, 'segment:' || c_mktsegment AS target_node FROM customer
+  UNION SELECT 'segment:' || c_mktsegment, 'priority:' || o_orderpriority FROM orders JOIN customer ON o_custkey = c_custkey
+  UNION SELECT 'priority:' || o_orderpriority, 'status:' || o_orderstatus FROM orders
+),
+reach AS (
+  SELECT source_node AS start_node, target_node AS node, 1 AS distance FROM links
+  UNION ALL
+  SELECT start_node, target_node, distance + 1 FROM reach JOIN links ON source_node = node
+)
+SELECT start_node, node, min(distance) AS distance, count(*) AS n_paths FROM reach GROUP BY start_node, node""",
     "lineage_audit": sql.with_(
         sql.RAW + "," + sql.snapshot("every", fx.SNAPSHOT), fx.CHURN_SQL,
         "fv AS (SELECT * FROM every WHERE entity_id IN (SELECT entity_id FROM churn))", _COVERAGE, _EDGES,
@@ -317,6 +379,18 @@ SELECT path, round(s[CAST(floor(n * CAST(0.5 AS DOUBLE)) AS BIGINT) + 1], 2) AS
        round(s[CAST(floor(n * CAST(0.95 AS DOUBLE)) AS BIGINT) + 1], 2) AS p95,
        round(s[least(CAST(floor(n * CAST(0.99 AS DOUBLE)) AS BIGINT), n - 1) + 1], 2) AS p99, n AS "count"
 FROM (SELECT path, list(latency_ms ORDER BY latency_ms) AS s, count(*) AS n FROM request_log GROUP BY path)""",
+    "serving_metrics": sql.with_(fx.ONLINE_SQL, sql.REQUESTS.removeprefix("WITH "), f"""
+served AS (SELECT * FROM request_log WHERE hour(ts) < 12 AND path <> 'batch'),
+per_path AS (
+  SELECT path, round(s[CAST(floor(n * CAST(0.5 AS DOUBLE)) AS BIGINT) + 1], 2) AS p50,
+         round(s[CAST(floor(n * CAST(0.95 AS DOUBLE)) AS BIGINT) + 1], 2) AS p95,
+         round(s[least(CAST(floor(n * CAST(0.99 AS DOUBLE)) AS BIGINT), n - 1) + 1], 2) AS p99, n
+  FROM (SELECT path, list(latency_ms ORDER BY latency_ms) AS s, count(*) AS n FROM served GROUP BY path)
+)""") + f"""
+SELECT p.path, coalesce(p50, 0) AS p50, coalesce(p95, 0) AS p95, coalesce(p99, 0) AS p99, coalesce(n, 0) AS "count",
+       (SELECT round(count(*) FILTER (hit) / greatest(count(*), 1), 3) FROM served) AS cache_hit_rate,
+       (SELECT count(*) FROM online WHERE written_at > {sql.ts(fx.SNAPSHOT)} - INTERVAL 48 HOUR) AS online_store_entities
+FROM (VALUES ('online_store'), ('on_demand'), ('batch')) AS p(path) LEFT JOIN per_path USING (path)""",
     "cache_hit_rate": sql.with_(sql.REQUESTS) + """
 SELECT count(*) FILTER (hit) AS hits, count(*) AS requests,
        round(count(*) FILTER (hit) / greatest(count(*), 1), 3) AS cache_hit_rate FROM request_log""",

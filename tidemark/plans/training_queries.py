@@ -68,6 +68,46 @@ def churn_model_scores(spark, folder):
     return model_quality.score_churn(model, split.where("part = 'test'")).select("entity_id", "churned", "score")
 
 
+def churn_model_coverage(spark, folder):
+    """Which rows the fitted model scores, and whether each score is a probability."""
+    return churn_model_scores(spark, folder).selectExpr("entity_id", "churned", "score >= 0 AND score <= 1 AS scored")
+
+
+_SHARES = {c: f"{c} >= 0 AND {c} <= 1" for c in ("roc_auc", "average_precision", "f1")}
+
+
+def _compared(spark, folder):
+    scores = model_quality.score_models(
+        {"point_in_time": pit_training_set(spark, folder), "naive": naive_training_set(spark, folder)}, rounds=5, depth=3
+    )
+    return model_quality.compare_models(scores)
+
+
+def model_comparison(spark, folder):
+    """A model on point-in-time features beside one on the newest, with the quality of both."""
+    return _compared(spark, folder)
+
+
+def model_comparison_checked(spark, folder):
+    """The comparison with its measures checked for their range; the measures themselves come from fitted trees."""
+    rows = _compared(spark, folder)
+    return rows.selectExpr("training_set", "n_train", "n_test", "n_test_positive", "fitted", *[f"{text} AS {c}_is_share" for c, text in _SHARES.items()])
+
+
+def _permuted(spark, folder):
+    split = stage(model_quality.stratified_split(pit_training_set(spark, folder)), "split")
+    model = model_quality.fit_churn_model(split.where("part = 'train'"), rounds=5, depth=3)
+    return model_quality.permutation_importance(model, split.where("part = 'test'"))
+
+
+def permutation_importance(spark, folder):
+    return _permuted(spark, folder)
+
+
+def permutation_importance_checked(spark, folder):
+    return _permuted(spark, folder).selectExpr("feature_name", "roc_auc >= 0 AND roc_auc <= 1 AS roc_auc_is_share", "abs(importance) <= 1 AS importance_fits")
+
+
 QUERIES = {
     "churn_labels": fx.churn,
     "churn_labels_first_n": churn_labels_first_n,
@@ -81,6 +121,11 @@ QUERIES = {
     "average_precision": average_precision,
     "f1_score": f1_score,
     "churn_model_scores": churn_model_scores,
+    "churn_model_coverage": churn_model_coverage,
+    "model_comparison": model_comparison,
+    "model_comparison_checked": model_comparison_checked,
+    "permutation_importance": permutation_importance,
+    "permutation_importance_checked": permutation_importance_checked,
 }
 
 _FILLED = ", ".join(f"coalesce(h.{c}, 0) AS {c}" for c in fx.FEATURES)
@@ -115,7 +160,26 @@ pairs AS (
   FROM known k JOIN newest n ON n.entity_id = k.entity_id
 )"""
 
+_PARTS = f"""
+SELECT entity_id, churned,
+       CASE WHEN row_number() OVER (PARTITION BY churned ORDER BY md5(entity_id || '-{model_quality.SEED}'))
+                 <= floor(count(*) OVER (PARTITION BY churned) * CAST({model_quality.TEST_SHARE} AS DOUBLE))
+            THEN 'test' ELSE 'train' END AS part
+FROM """
+_COUNTED = """SELECT '{0}' AS training_set, count(*) FILTER (part = 'train') AS n_train, count(*) FILTER (part = 'test') AS n_test,
+       count(*) FILTER (part = 'test' AND churned = 1) AS n_test_positive,
+       count(DISTINCT churned) FILTER (part = 'train') = 2 AS fitted, true AS roc_auc_is_share,
+       true AS average_precision_is_share, true AS f1_is_share FROM ({1})"""
+
 ORACLES = {
+    "churn_model_coverage": sql.with_(fx.QUARTERS_SQL, fx.CHURN_SQL, _PIT)
+    + f"SELECT entity_id, churned, true AS scored FROM ({_PARTS} pit) WHERE part = 'test'",
+    "model_comparison_checked": sql.with_(fx.QUARTERS_SQL, fx.CHURN_SQL, _PIT, _NEWEST)
+    + _COUNTED.format("point_in_time", _PARTS + "pit") + " UNION ALL "
+    + _COUNTED.format("naive", _PARTS + "(SELECT l.entity_id, l.churned FROM churn l JOIN newest h ON h.entity_id = l.entity_id)"),
+    "permutation_importance_checked": " UNION ALL ".join(
+        f"SELECT '{c}' AS feature_name, count(*) > 0 AS roc_auc_is_share, count(*) > 0 AS importance_fits FROM orders" for c in fx.FEATURES
+    ),
     "churn_labels": sql.with_(sql.RAW, fx.CHURN_SQL) + "SELECT * FROM churn",
     "churn_labels_first_n": sql.with_(sql.RAW, fx.CHURN_SQL)
     + f"SELECT * FROM churn ORDER BY entity_id LIMIT {FIRST_N}",

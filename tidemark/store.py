@@ -14,6 +14,7 @@ from tidemark.operators import (
     backfill,
     distribution,
     lineage,
+    model_quality,
     online,
     registry,
     retrieval,
@@ -22,7 +23,7 @@ from tidemark.operators import (
 )
 from tidemark.operators.features import feature_vector
 from tidemark.schemas import VERSION
-from tidemark.sources import definitions, tables
+from tidemark.sources import definitions, online_log, tables
 from tidemark.streaming.refresh import refresh_online
 
 
@@ -57,7 +58,7 @@ class FeatureStore:
         return newest.select("user_id", "_row.*").select(*users.columns), transactions, tickets
 
     def _online(self) -> DataFrame:
-        return tables.read_online(self.spark, self.path("online_features"))
+        return online_log.read_online(self.spark, self.path("online_features"))
 
     def load_raw(self, users: DataFrame, transactions: DataFrame, tickets: DataFrame) -> DataFrame:
         return tables.load_raw(
@@ -141,7 +142,9 @@ class FeatureStore:
         try:
             return self._materialize(as_of, started, run_id)
         except Exception as error:
-            failed = self.spark.createDataFrame([(run_id, 0, 0)], "run_id string, processed bigint, entities_failed bigint")
+            failed = self.spark.range(1).select(F.lit(run_id).alias("run_id"), F.lit(0).alias("processed")).join(
+                self._raw()[0].agg(F.count_distinct("user_id").alias("entities_failed"))
+            )
             self._log(failed, "failed", started, str(error))
             raise
 
@@ -149,11 +152,15 @@ class FeatureStore:
         checked_path = f"{self.path('checked_features')}/{run_id}"
         history = tables.only_latest_snapshots(self.table("feature_history"), as_of, self.version)
         online.materialize_rows(history, as_of, self.version).write.parquet(checked_path)
-        checked = self.spark.read.parquet(checked_path)
-        good = online.as_online(checked.where(F.size("violations") == 0), as_of)
-        tables.append(self.path("quarantine"), checked.where(F.size("violations") > 0))
-        tables.write_online(self.spark, self.path("online_features"), online.upsert(self._online(), good))
-        summary = online.materialize_summary(self._raw()[0].select("user_id"), checked).first().asDict()
+        try:
+            checked = self.spark.read.parquet(checked_path)
+            good = online.as_online(checked.where(F.size("violations") == 0), as_of)
+            bad = checked.where(F.size("violations") > 0)
+            tables.append(self.path("quarantine"), bad.withColumns({"run_id": F.lit(run_id), "quarantined_at": moment(as_of)}))
+            online_log.write_online(self.spark, self.path("online_features"), good, unique=True)
+            summary = online.materialize_summary(self._raw()[0].select("user_id"), checked).first().asDict()
+        finally:
+            tables.delete_path(self.spark, checked_path)
         record = self.spark.createDataFrame(
             [(run_id, summary["processed"], summary["validation_failures"])],
             "run_id string, processed bigint, entities_failed bigint",
@@ -162,12 +169,9 @@ class FeatureStore:
         return {"run_id": run_id, **summary}
 
     def refresh_online(self, as_of: datetime) -> None:
-        """As `run_materialization`, but only for history files that arrived since the last call.
-
-        Keeps a table of its own, since its copies are numbered by the stream.
-        """
+        """As `run_materialization`, into the same table, but only for history files that arrived since the last call."""
         refresh_online(
-            self.spark, self.path("feature_history"), self.path("online_stream"), self.path("online_stream_state"),
+            self.spark, self.path("feature_history"), self.path("online_features"), self.path("refresh_checkpoint"),
             as_of, self.version,
         )
 
@@ -178,12 +182,11 @@ class FeatureStore:
         return online.size(self._online(), as_of)
 
     def delete_online(self, ids: DataFrame) -> None:
-        tables.write_online(self.spark, self.path("online_features"), online.delete(self._online(), ids))
+        online_log.delete_online(self.spark, self.path("online_features"), ids)
 
     def write_online(self, rows: DataFrame, as_of: datetime) -> None:
         """Merge rows (entity_type, entity_id, feature_version, features, event_time)."""
-        merged = online.upsert(self._online(), online.as_online(rows, as_of))
-        tables.write_online(self.spark, self.path("online_features"), merged)
+        online_log.write_online(self.spark, self.path("online_features"), online.as_online(rows, as_of))
 
     def features_for(self, ids: DataFrame, as_of: datetime) -> DataFrame:
         return retrieval.dual_path_batch(self._online(), *self._raw(), ids, as_of, self.version)
@@ -197,27 +200,30 @@ class FeatureStore:
         self._snapshot("serving", as_of, since_days)
 
     def _snapshot(self, context: str, as_of: datetime, since_days: int) -> None:
-        rows = distribution.skew_snapshot(
-            self.table("feature_history"), context, as_of, since_days, uuid.uuid4().hex[:12], self.version
-        )
+        """Log the statistics of a window and, for training, its values: the baseline of later reports."""
+        history, name = self.table("feature_history"), uuid.uuid4().hex[:12]
+        rows = distribution.skew_snapshot(history, context, as_of, since_days, name, self.version)
         tables.append(self.path("skew_snapshots"), rows)
+        if context == "training":
+            values = distribution.baseline(history, context, as_of, since_days, name, self.version)
+            tables.append(self.path("skew_baselines"), values)
 
     def skew_report(
         self, as_of: datetime, trained_at: datetime | None = None, serving_days: int = 1, training_days: int = 7
     ) -> DataFrame:
-        """Serving window up to `as_of` against the training window up to `trained_at`, by default
-        the time of the training snapshot logged last; the serving statistics go to that log."""
+        """Serving window up to `as_of` against the baseline of the training snapshot logged last, or
+        against the history of the window up to `trained_at`; the serving statistics go to the log."""
         history = self.table("feature_history")
         if trained_at is None:
-            logged = distribution.latest_snapshot(self.table("skew_snapshots"), "training", self.version)
-            trained_at = logged.agg(F.max("captured_at")).first()[0]
-            if trained_at is None:
+            logged = self.table("skew_baselines").where((F.col("feature_version") == self.version) & (F.col("context") == "training"))
+            if logged.isEmpty():
                 raise ValueError("no training distribution is logged: take a snapshot or give trained_at")
+            training_side = distribution.latest_baseline(logged, "training", self.version)
+        else:
+            training_side = distribution.long_form(distribution.window_rows(history, trained_at, training_days, self.version))
         self._snapshot("serving", as_of, serving_days)
-        return distribution.skew_report(
-            distribution.window_rows(history, trained_at, training_days, self.version),
-            distribution.window_rows(history, as_of, serving_days, self.version),
-        )
+        serving = distribution.window_rows(history, as_of, serving_days, self.version)
+        return distribution.skew_report_of(training_side, distribution.long_form(serving))
 
     def churn_labels(self, now: datetime, first_n: int | None = None) -> DataFrame:
         """Labels 30 days before `now`, the last moment whose 30 days after are known; of all users
@@ -231,6 +237,18 @@ class FeatureStore:
     def leakage_audit(self, labels: DataFrame, as_of: datetime) -> DataFrame:
         return training.leakage_audit(labels, self.table("feature_history"), as_of, self.version)
 
+    def train(self, labels: DataFrame, as_of: datetime) -> DataFrame:
+        """Fit and evaluate a model on point-in-time features and, beside it, one on the newest features at
+        `as_of`, as `model_quality.compare_models`; the scored test rows go to the table `model_scores`."""
+        history = self.table("feature_history")
+        sets = {
+            "point_in_time": training.pit_training_set(labels, history, self.version),
+            "naive": training.naive_training_set(labels, history, as_of, self.version),
+        }
+        scores = model_quality.score_models(sets)
+        tables.append(self.path("model_scores"), scores.withColumn("trained_at", moment(as_of)))
+        return model_quality.compare_models(scores)
+
     def sync_registry(self, at: datetime) -> None:
         tables.replace_version(self.path("feature_registry"), definitions.registry_rows(self.spark, at, self.version))
         tables.replace_version(self.path("lineage_edges"), definitions.lineage_rows(self.spark, at, self.version))
@@ -244,6 +262,10 @@ class FeatureStore:
     def lineage_for(self, feature: str) -> DataFrame:
         return lineage.for_feature(self.table("lineage_edges"), feature, self.version)
 
+    def lineage_subgraph(self, feature: str) -> DataFrame:
+        """The feature, everything it comes from and feeds into, and its siblings."""
+        return lineage.subgraph(self.table("lineage_edges"), feature, self.version)
+
     def recent_runs(self, limit: int = 50) -> DataFrame:
         return run_log.recent_runs(self.table("materialization_log"), limit)
 
@@ -253,5 +275,9 @@ class FeatureStore:
     def latency(self) -> DataFrame:
         return run_log.latency_percentiles(self.table("request_log"))
 
+    def metrics(self, as_of: datetime) -> DataFrame:
+        """One row per serving path, also for those without requests, with the hit rate and the online size."""
+        return run_log.serving_metrics(self.table("request_log"), self.online_size(as_of))
+
     def cache_hit_rate(self) -> DataFrame:
         return run_log.cache_hit_rate(self.table("request_log"))
