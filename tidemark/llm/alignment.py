@@ -38,8 +38,8 @@ from tidemark.llm.tokenizing import _LETTERS, _LONE, _WHITE, byte_signs, once, s
 from tidemark.llm.tokenizing import _SIGNS as SIGNS
 from tidemark.session import stage
 
-STRETCHES, PARTS = 250_000, 200_000
-BLOCK_CHARS = 4_000_000
+STRETCHES, PARTS = 200_000, 120_000
+BLOCK_CHARS = 3_000_000
 _CODE = 16  # bits of a B id in the code of a pair
 ROWS = (
     "block long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups string, ones binary, odds binary, "
