@@ -1,7 +1,7 @@
 """License scan: phrases, and an exact set-similarity join of text blocks with templates.
 
-A block is `BLOCK_WORDS` consecutive words; blocks begin every half block, so a notice of up to half
-a block lies in one of them whole. A block meets a template when it holds at least `THRESHOLD` of the
+A block is `BLOCK_WORDS` consecutive words, or twice as many as the longest template if that is more;
+blocks begin every half block, so a notice lies in one of them whole. A block meets a template when it holds at least `THRESHOLD` of the
 template's distinct words.
 
 The join: words are ordered by their frequency over all documents, the rarest first. To reach its
@@ -53,6 +53,10 @@ THRESHOLD = 0.9
 BLOCK_WORDS = 128
 
 
+def block_words(templates) -> int:
+    return max(BLOCK_WORDS, 2 * max(len(text.split()) for _, text in templates))
+
+
 def words_of(text: Column) -> Column:
     return F.regexp_extract_all(plain_lower(text), F.lit(WORD), F.lit(0))
 
@@ -117,12 +121,12 @@ def template_matches(docs: DataFrame, frequency: dict[str, int], templates=TEMPL
     # only documents with a word of some prefix can have a block that meets a template
     found = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), words_of(F.col("text")).alias("_words"))
     found = found.filter(F.arrays_overlap("_words", _strings(sorted(prefix_words))))
-    half = BLOCK_WORDS // 2
+    half = block_words(templates) // 2
     blocks = found.select("doc_id", "text_hash", "_words", F.explode(F.expr(
         f"sequence(0, greatest(0, {half} * ((size(_words) - 1) div {half} - 1)), {half})"
     )).alias("start"))
     blocks = blocks.select("doc_id", "text_hash", "start", F.array_sort(F.transform(
-        F.array_intersect(F.slice("_words", F.col("start") + 1, F.lit(BLOCK_WORDS)), _strings(order)),
+        F.array_intersect(F.slice("_words", F.col("start") + 1, F.lit(2 * half)), _strings(order)),
         lambda w: F.array_position(_strings(order), w).cast("int") - 1,
     )).alias("held"))
     met = blocks.select("*", F.posexplode("held").alias("j", "rank")).join(F.broadcast(postings), "rank")

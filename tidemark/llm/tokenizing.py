@@ -127,8 +127,14 @@ class ByteLevelEncoder:
         signs, of_model = byte_signs(), tokenizer.model.tokenize
         line_end, around = self.whole("\n"), PieceTable(self.whole)
 
+        space = signs[32]
+
         def unit(word: str) -> bytes:
-            ids = [t.id for t in of_model(word.encode().decode("latin-1").translate(signs))]
+            if word.isascii():  # letters stand for themselves
+                spelled = space + word[1:] if word[0] == " " else word
+            else:
+                spelled = word.encode().decode("latin-1").translate(signs)
+            ids = [t.id for t in of_model(spelled)]
             return number(f"<{len(ids)}H").pack(*ids)
 
         units = PieceTable(unit, UNITS)
