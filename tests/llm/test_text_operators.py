@@ -209,6 +209,26 @@ def test_mixed_documents_hold_the_words_that_the_slots_read(make_docs):
     assert mixing.word_ranges("a b c", [(1, 2)]) == "b"
 
 
+def test_taken_words_are_those_that_the_slots_read(make_docs, odd_docs):
+    rows = [(k, " ".join(["w"] * n), s) for k, (n, s) in enumerate([(900, "a"), (3, "a"), (0, "a"), (70, "b"), (41, "b"), (9, "c"), (9, "c")])]
+    docs = odd_docs.unionByName(make_docs([(1000 + k, t, s) for k, t, s in rows]))
+    placed, slot = (d.collect() for d in mixing.plan(docs, 16))
+    owner = {}
+    for k, r in enumerate(placed):
+        for at in range(r.start, r.start + r.size):
+            assert owner.setdefault((r["rank"], at), k) == k  # no place has two documents
+    read = Counter(owner[s["rank"], s.block * 16 + j] for s in slot for j in range(s.words))
+    want = Counter((r.doc_id, r.size, read[k]) for k, r in enumerate(placed))
+    assert Counter((r.doc_id, r.size, r.taken) for r in mixing.mix(docs, 16).collect()) == want
+    # every block of a source is read once before any is read again
+    for rank in {s["rank"] for s in slot}:
+        mine = sorted((s.slot, s.block, s.epoch) for s in slot if s["rank"] == rank)
+        assert [m[0] for m in mine] == list(range(len(mine)))
+        for epoch in {m[2] for m in mine}:
+            blocks = [b for _, b, e in mine if e == epoch]
+            assert len(blocks) == len(set(blocks))
+
+
 def test_permutation_and_its_inverse():
     for n in (1, 2, 3, 100, 1000):
         at, size, key = np.arange(n), np.full(n, n), np.full(n, 7)
