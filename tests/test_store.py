@@ -1,3 +1,4 @@
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, timedelta
 
 import pytest
@@ -183,3 +184,55 @@ def test_the_newest_copy_of_a_user_counts(spark):
     )
     store.compute_features(NOW)
     assert [r.plan_encoded for r in store.table("feature_history").collect()] == [2.0]
+
+
+def _values(spark, path):
+    return sorted((r.entity_id, r.event_time, r.txn_count_7d) for r in tables.read(spark, path, FEATURE_HISTORY).collect())
+
+
+def test_two_writers_of_a_snapshot_store_each_key_once(spark, make_history, monkeypatch):
+    """The second writer commits while the first is about to: both have found nothing stored."""
+    path = new_path(spark, "history")
+    first = make_history([(i, NOW, {"txn_count_7d": 1.0}) for i in (1, 2, 3)] + [(1, NOW - DAY, {"txn_count_7d": 1.0})])
+    second = make_history([(i, NOW, {"txn_count_7d": 2.0}) for i in (2, 3, 4)])
+    rename, calls = tables.rename_new, []
+
+    def late(*args):
+        calls.append(args)
+        if len(calls) == 1:
+            tables.append_history(path, second, NOW)
+        return rename(*args)
+
+    monkeypatch.setattr(tables, "rename_new", late)
+    tables.append_history(path, first, NOW)
+    assert _values(spark, path) == [(1, NOW - DAY, 1.0), (1, NOW, 1.0), (2, NOW, 2.0), (3, NOW, 2.0), (4, NOW, 2.0)]
+    assert not tables.list_names(spark, f"{path}/_runs") and not tables.list_names(spark, f"{path}/_locks")
+
+
+def test_writers_in_two_threads(spark, make_history):
+    path = new_path(spark, "history")
+    frames = [make_history([(i, NOW - (i % 3) * DAY, {"txn_count_7d": float(k)}) for i in range(k, k + 12)]) for k in range(4)]
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda f: tables.append_history(path, f, NOW), frames))
+    keys = [(e, t) for e, t, _ in _values(spark, path)]
+    assert len(keys) == len(set(keys)) == 15
+
+
+def test_a_writer_waits_for_a_lock_and_then_gives_up(spark, make_history, monkeypatch):
+    path = new_path(spark, "history")
+    tables.append_history(path, make_history([(1, NOW, {})]), NOW)
+    lock = f"{path}/_locks/feature_version=v1-snapshot_id={tables.snapshot_name(NOW)}"
+    tables.write_text(spark, lock, "someone")
+    monkeypatch.setattr(tables, "LOCK_TRIES", 2)
+    monkeypatch.setattr(tables, "LOCK_WAIT", 0.01)
+    with pytest.raises(RuntimeError, match="another writer"):
+        tables.append_history(path, make_history([(2, NOW, {})]), NOW)
+    tables.delete_path(spark, lock)
+    tables.append_history(path, make_history([(2, NOW, {}), (1, NOW, {"txn_count_7d": 9.0})]), NOW)
+    assert [(e, v) for e, _, v in _values(spark, path)] == [(1, 1.0), (2, 1.0)]
+
+
+def test_copies_of_a_key_keep_the_largest_values(spark, make_history):
+    path = new_path(spark, "history")
+    tables.append_history(path, make_history([(1, NOW, {"txn_count_7d": v}) for v in (3.0, 8.0, 5.0)]), NOW)
+    assert _values(spark, path) == [(1, NOW, 8.0)]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +13,8 @@ from tidemark.functions.columns import moment, snapshot_id, snapshot_name
 from tidemark.schemas import FEATURE_HISTORY, FEATURES, HISTORY_KEY, TABLES, VERSION
 
 HISTORY_FOLDERS = ["feature_version", "snapshot_id"]
+# How long a writer waits for another one that adds to the same snapshot.
+LOCK_TRIES, LOCK_WAIT = 120, 5.0
 
 
 def _filesystem(spark: SparkSession, path: str):
@@ -91,17 +95,23 @@ def append_history(
     until: datetime | None = None,
     unique: bool = False,
 ) -> None:
-    """Append rows whose key is not stored yet: the first write of a key stays.
+    """Append rows whose key is not stored yet: the first write of a key stays, also of two at a time.
 
     `since` and `until` bound the snapshots in `features`; only stored folders between them are
     read for the comparison, which is left out when there are none. `unique` says that no key
-    occurs twice in `features`, and saves the shuffle that makes sure. Rows are gathered by
-    folder before the write, and Spark splits large folders into several files.
+    occurs twice in `features`, and saves the shuffle that chooses the copy with the largest values.
+    Rows are gathered by folder before the write, and Spark splits large folders into several files.
+
+    Rows are written to a folder of the run, which readers do not see, and each snapshot's folder is
+    then renamed into place, as a whole. Where another writer, or an earlier run, has the snapshot
+    already, the rows it lacks are found anew while a lock on the snapshot keeps others from adding to it.
     """
     spark = features.sparkSession
-    fresh = (features if unique else features.dropDuplicates(HISTORY_KEY)).withColumns(
-        {"computed_at": moment(computed_at), "snapshot_id": snapshot_id("event_time")}
-    )
+    if not unique:
+        rest = [c for c in features.columns if c not in HISTORY_KEY]
+        newest = features.groupBy(*HISTORY_KEY).agg(F.max(F.struct(*rest)).alias("_row"))
+        features = newest.select(*HISTORY_KEY, "_row.*")
+    fresh = features.withColumns({"computed_at": moment(computed_at), "snapshot_id": snapshot_id("event_time")})
     stored = read(spark, path, FEATURE_HISTORY)
     if since is not None:
         stored = stored.where(F.col("snapshot_id") >= snapshot_name(since))
@@ -109,14 +119,61 @@ def append_history(
         stored = stored.where(F.col("snapshot_id") <= snapshot_name(until))
     if not stored.isEmpty():
         fresh = fresh.join(stored.select(*HISTORY_KEY), HISTORY_KEY, "left_anti")
+    run = f"{path}/_runs/{uuid.uuid4().hex}"
+    try:
+        _write_snapshots(fresh, run)
+        late = [folder for folder in _snapshot_folders(spark, run) if not _moved(spark, f"{run}/{folder}", f"{path}/{folder}")]
+        for folder in late:
+            _add_to_snapshot(spark, path, run, folder)
+    finally:
+        delete_path(spark, run)
+
+
+def _write_snapshots(rows: DataFrame, path: str) -> None:
     columns = ["entity_id", "entity_type", "event_time", *FEATURES, "computed_at", *HISTORY_FOLDERS]
-    (
-        fresh.select(*columns)
-        .hint("rebalance", *HISTORY_FOLDERS)
-        .write.mode("append")
-        .partitionBy(*HISTORY_FOLDERS)
-        .parquet(path)
-    )
+    rows.select(*columns).hint("rebalance", *HISTORY_FOLDERS).write.partitionBy(*HISTORY_FOLDERS).parquet(path)
+
+
+def _snapshot_folders(spark: SparkSession, path: str) -> list[str]:
+    """Folders of single snapshots below `path`, as version/snapshot."""
+    versions = [n for n in list_names(spark, path) if n.startswith("feature_version=")]
+    return sorted(f"{v}/{s}" for v in versions for s in list_names(spark, f"{path}/{v}") if s.startswith("snapshot_id="))
+
+
+def _moved(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename `source` to `target` unless there is one already; whether it was done."""
+    make_folder(spark, target.rsplit("/", 1)[0])
+    try:
+        rename_new(spark, source, target)
+    except Exception:
+        if not exists(spark, target):
+            raise
+        return False
+    return True
+
+
+def _add_to_snapshot(spark: SparkSession, path: str, run: str, folder: str) -> None:
+    """Add the rows of a run to a snapshot that is stored already, those with keys that it lacks."""
+    lock = f"{path}/_locks/{folder.replace('/', '-')}"
+    draft = f"{run}/_lock"
+    write_text(spark, draft, run)
+    for _ in range(LOCK_TRIES):
+        if _moved(spark, draft, lock):
+            break
+        time.sleep(LOCK_WAIT)
+    else:
+        raise RuntimeError(f"another writer holds {lock}; remove it if that writer is gone")
+    try:
+        mine = spark.read.schema(FEATURE_HISTORY).option("basePath", run).parquet(f"{run}/{folder}")
+        stored = spark.read.schema(FEATURE_HISTORY).option("basePath", path).parquet(f"{path}/{folder}")
+        added = f"{run}/_added"
+        _write_snapshots(mine.join(stored.select(*HISTORY_KEY), HISTORY_KEY, "left_anti"), added)
+        for name in list_names(spark, f"{added}/{folder}"):
+            if name.endswith(".parquet"):
+                rename_new(spark, f"{added}/{folder}/{name}", f"{path}/{folder}/{name}")
+        delete_path(spark, added)
+    finally:
+        delete_path(spark, lock)
 
 
 def snapshot_row_count(history: DataFrame, snapshot: datetime, version: str = VERSION) -> DataFrame:
@@ -149,6 +206,11 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    hadoop_path, fs = _filesystem(spark, path)
+    fs.mkdirs(hadoop_path)
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     """A small file as text, from any store that Spark reaches."""
     hadoop_path, fs = _filesystem(spark, path)
