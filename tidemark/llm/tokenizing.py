@@ -125,24 +125,22 @@ class ByteLevelEncoder:
         self.whole = lambda piece: number(f"<{len(ids := encode(piece, add_special_tokens=False).ids)}H").pack(*ids)
 
         signs, of_model = byte_signs(), tokenizer.model.tokenize
-        line_end, around = self.whole("\n"), PieceTable(self.whole)
+        line_end, around, space, two = self.whole("\n"), PieceTable(self.whole), signs[32], [number("<H").pack(i) for i in range(1 << 16)]
 
-        space = signs[32]
+        def unit(lead: str, letters: str) -> bytes:
+            if not letters.isascii():  # ASCII letters stand for themselves
+                letters = letters.encode().decode("latin-1").translate(signs)
+            return b"".join([two[t.id] for t in of_model(lead + letters)])
 
-        def unit(word: str) -> bytes:
-            if word.isascii():  # letters stand for themselves
-                spelled = space + word[1:] if word[0] == " " else word
-            else:
-                spelled = word.encode().decode("latin-1").translate(signs)
-            ids = [t.id for t in of_model(spelled)]
-            return number(f"<{len(ids)}H").pack(*ids)
-
-        units = PieceTable(unit, UNITS)
+        # letters without a space before them come after a line end or a sign, and fewer of them are new
+        units = PieceTable(lambda letters: unit("", letters), UNITS)
 
-        def parted(lead: str, before: str, word: str, after: str) -> bytes:
+        def parted(lead: str, before: str, letters: str, after: str) -> bytes:
             if lead:
-                return line_end + around[before] + units[word] + around[after]
-            return (around[" " + before] + units[word] if before else units[" " + word]) + around[after]
+                start = line_end + around[before] + units[letters] if before else line_end + units[letters]
+            else:
+                start = around[" " + before] + units[letters] if before else unit(space, letters)
+            return start + around[after] if after else start
 
         plain = all(
             parted("\n", a, w, b) + parted("", a, w, b) == self.whole(f"\n{a}{w}{b} {a}{w}{b}")
@@ -150,12 +148,15 @@ class ByteLevelEncoder:
         )
 
         def value(piece: str) -> bytes | None:
-            bare = piece.removeprefix("\n")
+            if plain and piece.isascii() and piece.isalpha():
+                return unit(space, piece)
+            lead = piece[:1] == "\n"
+            bare = piece[1:] if lead else piece
             if plain and (parts := signs_and_letters(bare)):
-                return parted("" if bare is piece or bare == piece else "\n", *parts)
+                return parted("\n" if lead else "", *parts)
             if not bare or _WHITE.match(bare[0]) or _WHITE.match(bare[-1]):
                 return None
-            return self.whole(piece if piece[0] == "\n" else " " + piece)
+            return self.whole(piece if lead else " " + piece)
 
         self.table = PieceTable(value)
 
