@@ -1,13 +1,14 @@
 """Running totals and values at given ranks, over groups of any size, as lazy plans.
 
 A window over one feature, label or request path would put that whole group into one task. Here the
-order column is cut into chunks by a histogram: first into `BUCKETS` equal widths between the
-smallest and the largest value of the group, then each bucket into equal widths between its own, as
-many as its rows need. The chunk of a row is an expression of exact counts and bounds, so two
-evaluations always cut alike: nothing has to be written in between. Each chunk is summed on its own,
-and the sum of the chunks before it is added. Only one row per chunk is put in order across chunks.
-
-Groups are few (features, classes, request paths): one row per group and bucket is broadcast.
+order column is cut into chunks by a histogram in two levels: first into `BUCKETS` buckets for each power
+of two, by an expression of the value alone, then each bucket into equal widths between its own smallest
+and largest value, as many as its rows need. Counts and bounds are exact, so two evaluations always cut
+alike: nothing has to be written in between. Each chunk is summed on its own, and the sum of the chunks
+before it is added. Only one row per chunk is put in order across chunks.
+
+Groups are few (features, classes, request paths), and doubles have some two thousand powers of two: the
+histogram, one row per group and bucket in use, is broadcast.
 """
 
 from __future__ import annotations
@@ -15,9 +16,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 1024
+BUCKETS = 64
 CHUNK_ROWS = 100_000
 _CHUNK = ["_g", "_bucket", "_part"]
+_POWERS = 1100  # more than the powers of two of doubles, on either side of one
+
+
+def _bucket_sql(buckets: int) -> str:
+    """A bucket number that never falls as `_at` grows: NULL first, then negative numbers, zero, positive ones, NaN."""
+    size = f"int(least({_POWERS}D * {buckets}, floor(log2(abs(_at)) * {buckets})) + {_POWERS} * {buckets} + 1)"
+    last = 3 * _POWERS * buckets
+    return (
+        f"CASE WHEN _at IS NULL THEN -{last} WHEN isnan(_at) THEN {last} WHEN _at = 0 THEN 0 WHEN _at > 0 THEN {size} ELSE -{size} END"
+    )
 
 
 def _width_sql(low: str, high: str, n: str) -> str:
@@ -30,17 +41,15 @@ def _width_sql(low: str, high: str, n: str) -> str:
 def chunked(df: DataFrame, groups: list[str], position: str, buckets: int = BUCKETS, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """`df` with `_g`, `_bucket` and `_part`, which sort as the number `position` does inside a group.
 
-    NULL comes first and NaN last, as in Spark's order. A struct holds the group, so that a NULL
-    group is a group and joins as one.
+    A struct holds the group, so that a NULL group is a group and joins as one.
     """
     placed = df.withColumns({"_g": F.struct(*groups), "_at": F.expr(f"double({position})")})
+    first = placed.withColumn("_bucket", F.expr(_bucket_sql(buckets)))
     finite = "CASE WHEN NOT isnan(_at) AND abs(_at) < double('Infinity') THEN _at END"
-    ends = [F.expr(f"min({finite})").alias("_low"), F.expr(f"max({finite})").alias("_high")]
-    spans = placed.groupBy("_g").agg(*ends)
-    width = _width_sql("_low", "_high", f"{buckets}D")
-    bucket = F.expr(f"CASE WHEN _at IS NULL THEN -1 WHEN isnan(_at) THEN {buckets} ELSE {width} END")
-    first = placed.join(F.broadcast(spans), "_g").withColumn("_bucket", bucket).drop("_low", "_high")
-    fill = first.groupBy("_g", "_bucket").agg(*ends, F.expr(f"double(ceil(count(1) / {chunk_rows}))").alias("_parts"))
+    fill = first.groupBy("_g", "_bucket").agg(
+        F.expr(f"min({finite})").alias("_low"), F.expr(f"max({finite})").alias("_high"),
+        F.expr(f"double(ceil(count(1) / {chunk_rows}))").alias("_parts"),
+    )
     # the broadcast side has at most a row for each group and bucket
     second = first.join(F.broadcast(fill), ["_g", "_bucket"])
     part = F.expr(f"CASE WHEN _at IS NULL OR isnan(_at) THEN 0 ELSE {_width_sql('_low', '_high', '_parts')} END")
