@@ -18,7 +18,7 @@ BEFORE = fx.TRAINED_AT - timedelta(days=7)
 
 
 def feature_stats(spark, folder):
-    rows = distribution.window_rows(fx.history(spark, folder, fx.TRAINING_WEEK), fx.TRAINED_AT, 7)
+    rows = distribution.window_rows(fx.stored_history(spark, folder, fx.TRAINING_WEEK), fx.TRAINED_AT, 7)
     return fx.rounded(distribution.feature_stats(rows), *STATS)
 
 
@@ -32,7 +32,7 @@ def null_rate(spark, folder):
 
 
 def _training_snapshot(spark, folder, at, name):
-    history = fx.history(spark, folder, dict(fx.TRAINING_WEEK, now=at))
+    history = fx.stored_history(spark, folder, dict(fx.TRAINING_WEEK, now=at))
     return distribution.skew_snapshot(history, "training", at, 7, name)
 
 
@@ -41,7 +41,7 @@ def skew_snapshot_training(spark, folder):
 
 
 def skew_snapshot_serving(spark, folder):
-    history = fx.history(spark, folder, fx.SERVING_DAY)
+    history = fx.stored_history(spark, folder, fx.SERVING_DAY)
     return fx.rounded(distribution.skew_snapshot(history, "serving", fx.SNAPSHOT, 1, "serve-a"), *STATS)
 
 
@@ -80,7 +80,7 @@ def skew_report_logged(spark, folder):
         history = fx.history(spark, folder, dict(fx.TRAINING_WEEK, now=at))
         tables.append(log, distribution.baseline(history, "training", at, 7, name))
     stored = tables.read(spark, log, SKEW_BASELINES)
-    serving = distribution.window_rows(fx.history(spark, folder, fx.SERVING_DAY), fx.SNAPSHOT, 1)
+    serving = distribution.window_rows(fx.stored_history(spark, folder, fx.SERVING_DAY), fx.SNAPSHOT, 1)
     return distribution.skew_report_of(distribution.latest_baseline(stored, "training"), distribution.long_form(serving))
 
 

@@ -107,12 +107,12 @@ def latest_for_ids(spark, folder):
 
 
 def pit_join(spark, folder):
-    return asof.pit_join(fx.ticket_labels(spark, folder), fx.quarters(spark, folder))
+    return asof.pit_join(fx.ticket_labels(spark, folder), fx.stored_history(spark, folder, fx.QUARTERS))
 
 
 def pit_join_versioned(spark, folder):
     """A second version with later times must not be seen."""
-    v1 = fx.quarters(spark, folder)
+    v1 = fx.stored_history(spark, folder, fx.QUARTERS)
     v2 = v1.withColumns({
         "feature_version": F.lit("v2"), "event_time": F.col("event_time") + F.expr("INTERVAL '10' DAY")
     })

@@ -25,7 +25,7 @@ def label_rate(spark, folder):
 
 
 def pit_training_set(spark, folder):
-    return training.pit_training_set(fx.churn(spark, folder), fx.quarters(spark, folder))
+    return training.pit_training_set(fx.churn(spark, folder), fx.stored_history(spark, folder, fx.QUARTERS))
 
 
 def naive_training_set(spark, folder):
@@ -33,7 +33,7 @@ def naive_training_set(spark, folder):
 
 
 def leakage_audit(spark, folder):
-    return training.leakage_audit(fx.ticket_labels(spark, folder), fx.quarters(spark, folder), AS_OF)
+    return training.leakage_audit(fx.ticket_labels(spark, folder), fx.stored_history(spark, folder, fx.QUARTERS), AS_OF)
 
 
 def stratified_split(spark, folder):
@@ -45,8 +45,8 @@ def class_weights(spark, folder):
 
 
 def _scored(spark, folder):
-    """Recency as the score: the longer a user has been silent, the likelier they have left."""
-    return pit_training_set(spark, folder).selectExpr("churned", "days_since_last_txn / 90D AS score")
+    """Stored scores, made from recency: the longer a user has been silent, the likelier they have left."""
+    return stage(pit_training_set(spark, folder).selectExpr("churned", "days_since_last_txn / 90D AS score"), "scores")
 
 
 def auc_rank(spark, folder):
