@@ -7,7 +7,7 @@ from raw_data import NOW
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import moment
-from tidemark.operators.backfill import backfill_history, backfill_plan, pending_snapshots, spine_from, spine_start
+from tidemark.operators.backfill import backfill_history, backfill_plan, backfill_split, pending_snapshots, spine_from, spine_start
 from tidemark.operators.features import feature_vector
 
 
@@ -74,3 +74,16 @@ def test_plan_and_pending(spark, make_history):
 def test_rejects_a_grid_without_step(make_raw):
     with pytest.raises(ValueError):
         backfill_history(*make_raw(), NOW, 1, 0)
+
+
+@pytest.mark.parametrize("after_first", [0, 1, 3, 5.5])
+def test_a_split_history_has_the_rows_of_the_whole(make_raw, after_first):
+    raw = [df.cache() for df in _random_raw(make_raw, 5)]
+    whole = backfill_history(*raw, NOW, 6, 24).cache()
+    at = spine_start(NOW, 6, 24) + timedelta(days=after_first)
+    parts = backfill_split(*raw, at, NOW, 6, 24)
+    for part, rows in zip(parts, (whole.where(F.col("event_time") <= moment(at)), whole.where(F.col("event_time") > moment(at))), strict=True):
+        assert part.count() == rows.count() > 0
+        assert part.exceptAll(rows).count() == 0
+    with pytest.raises(ValueError):
+        backfill_split(*raw, NOW, NOW, 6, 24)

@@ -11,6 +11,7 @@ from tidemark.operators.features import feature_vector
 from tidemark.session import new_path
 from tidemark.sources import online_log
 from tidemark.sources.online_log import delete_online, manifest, read_online, write_online
+from tidemark.streaming import refresh
 from tidemark.streaming.refresh import refresh_online
 
 HOUR = timedelta(hours=1)
@@ -247,3 +248,20 @@ def test_stream_keeps_rows_later_than_the_time_of_writing(spark, make_history):
     rows = make_history([(1, NOW, {}), (1, NOW + 3 * HOUR, {})])
     empty = rows.where("false")
     assert _arrive(spark, [rows, empty], [NOW + HOUR, NOW + 4 * HOUR]) == {1: NOW + 3 * HOUR}
+
+
+def test_stream_reads_stored_files_instead_of_a_second_copy(spark, make_history, monkeypatch):
+    written = []
+
+    def write(spark, root, rows, batch):
+        copies = [p.name for p in Path(root).parent.iterdir() if p.name.startswith("arrivals-")]
+        written.append((rows.count(), copies))
+
+    monkeypatch.setattr(refresh, "write_online", write)
+    rows = make_history([(1, NOW, {}), (2, NOW, {"plan_encoded": 9.0})])
+    history, root, state = (new_path(spark, n) for n in ("history", "online", "state"))
+    rows.selectExpr("*", "event_time AS computed_at", "'s' AS snapshot_id").write.partitionBy("feature_version", "snapshot_id").parquet(history)
+    refresh_online(spark, history, root, state, NOW)
+    assert written == [(1, [])]
+    (bad,) = spark.read.parquet(f"{root}_quarantine/batch=000000000000").collect()
+    assert (bad.entity_id, bad.violations, bad.run_id) == (2, ["plan_encoded:known_code"], "refresh-0")
