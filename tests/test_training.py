@@ -7,6 +7,8 @@ from raw_data import NOW
 
 from tidemark.operators import model_quality as q
 from tidemark.operators import run_log, training
+from tidemark.plans import fixtures as fx
+from tidemark.plans import training_queries
 
 DAY = timedelta(days=1)
 SCORED = "entity_id bigint, churned int, score double"
@@ -134,3 +136,42 @@ def test_split_keeps_null_ids_and_labels(spark):
 def test_latency_of_requests_without_path(spark):
     requests = spark.createDataFrame([(None, 1.0), ("/a", 2.0), (None, 3.0)], "path string, latency_ms double")
     assert {r.path for r in run_log.latency_percentiles(requests).collect()} == {None, "/a"}
+
+
+def _folder(spark, path):
+    """Order tables of four customers, one of them twice and one without orders."""
+    time = "timestamp_ntz'1998-04-01' + make_dt_interval(k * 20)"
+    frames = {
+        "customer": spark.sql("SELECT explode(array(1, 2, 2, 3, 4)) AS k").selectExpr(
+            "bigint(k) AS c_custkey", "'' AS c_name", "1 AS c_nationkey", "0D AS c_acctbal", "IF(k = 1, 'BUILDING', 'FURNITURE') AS c_mktsegment"),
+        "orders": spark.sql("SELECT explode(sequence(0, 11)) AS k").selectExpr(
+            "bigint(k) AS o_orderkey", "bigint(k % 3 + 1) AS o_custkey", "IF(k = 4, 'P', 'O') AS o_orderstatus", "k + 0.5D AS o_totalprice",
+            f"IF(k % 3 = 2, timestamp_ntz'1996-01-01', {time}) AS o_orderdate", "'1-URGENT' AS o_orderpriority"),
+        "lineitem": spark.sql("SELECT explode(sequence(0, 11)) AS k").selectExpr(
+            "bigint(k) AS l_orderkey", "1L AS l_partkey", "1L AS l_suppkey", "1 AS l_linenumber", "1D AS l_quantity", "1D AS l_extendedprice",
+            "0D AS l_discount", "0D AS l_tax", "IF(k % 2 = 0, 'R', 'N') AS l_returnflag", "'F' AS l_linestatus", f"{time} AS l_shipdate"),
+    }
+    for name, rows in frames.items():
+        rows.write.parquet(f"{path}/{name}.parquet")
+    return str(path)
+
+
+def test_history_for_training_is_made_for_labelled_users_only(spark, tmp_path):
+    folder = _folder(spark, tmp_path)
+    labels, history = training_queries._labelled(spark, folder)
+    assert {r.entity_id for r in labels.collect()} == {r.entity_id for r in history.collect()} == {1, 2}  # 3 was silent, 4 never bought
+    whole = fx.quarters(spark, folder).where("entity_id IN (1, 2)")
+    assert history.count() == whole.count() and history.exceptAll(whole).count() == 0
+    for made, want in (
+        (training_queries.pit_training_set(spark, folder), training.pit_training_set(labels, fx.quarters(spark, folder))),
+        (training_queries.naive_training_set(spark, folder), training.naive_training_set(labels, fx.quarters(spark, folder), training_queries.AS_OF)),
+    ):
+        assert made.count() == want.count() > 0 and made.exceptAll(want).count() == 0
+
+
+def test_the_set_is_stored_before_it_is_split(spark, monkeypatch):
+    stored = []
+    monkeypatch.setattr(q, "stage", lambda df, label: stored.append(label) or df)
+    rows = spark.createDataFrame([(i, 0) for i in range(20)], "entity_id bigint, churned int")  # one class: not fitted
+    assert q.score_models({"only": rows}).count() == 20
+    assert stored == ["labelled", "split", "model-scores"]

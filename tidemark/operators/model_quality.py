@@ -163,7 +163,8 @@ def score_models(sets: dict[str, DataFrame], label: str = "churned", **fit) -> D
     """
     out = None
     for name, rows in sets.items():
-        labelled = rows.where(F.col(label).isNotNull())
+        # read for the cut of the split and for its rows, with other columns each time
+        labelled = stage(rows.where(F.col(label).isNotNull()), "labelled")
         split = stage(stratified_split(labelled, label), "split")
         train, test = (split.where(F.col("part") == part) for part in ("train", "test"))
         if train.agg(F.count_distinct(label)).first()[0] < 2:

@@ -24,12 +24,18 @@ def label_rate(spark, folder):
     return fx.rounded(training.label_rate(fx.churn(spark, folder)), "churn_rate")
 
 
+def _labelled(spark, folder):
+    """Churn labels and the history of the users they name, both stored."""
+    labels = stage(fx.churn(spark, folder), "labels")
+    return labels, fx.labelled_history(spark, folder, labels, fx.QUARTERS)
+
+
 def pit_training_set(spark, folder):
-    return training.pit_training_set(fx.churn(spark, folder), fx.stored_history(spark, folder, fx.QUARTERS))
+    return training.pit_training_set(*_labelled(spark, folder))
 
 
 def naive_training_set(spark, folder):
-    return training.naive_training_set(fx.churn(spark, folder), fx.quarters(spark, folder), AS_OF)
+    return training.naive_training_set(*_labelled(spark, folder), AS_OF)
 
 
 def leakage_audit(spark, folder):
@@ -61,9 +67,14 @@ def f1_score(spark, folder):
     return fx.rounded(model_quality.f1_score(_scored(spark, folder)), "f1")
 
 
+def _split(spark, folder):
+    """The split reads the set for its cut and for its rows, with other columns each time: so it is stored before."""
+    return stage(model_quality.stratified_split(stage(pit_training_set(spark, folder), "set")), "split")
+
+
 def churn_model_scores(spark, folder):
     """Trees fitted on the train part score the test part; fitting reads the set many times."""
-    split = stage(model_quality.stratified_split(pit_training_set(spark, folder)), "split")
+    split = _split(spark, folder)
     model = model_quality.fit_churn_model(split.where("part = 'train'"))
     return model_quality.score_churn(model, split.where("part = 'test'")).select("entity_id", "churned", "score")
 
@@ -77,9 +88,12 @@ _SHARES = {c: f"{c} >= 0 AND {c} <= 1" for c in ("roc_auc", "average_precision",
 
 
 def _compared(spark, folder):
-    scores = model_quality.score_models(
-        {"point_in_time": pit_training_set(spark, folder), "naive": naive_training_set(spark, folder)}, rounds=5, depth=3
-    )
+    labels, history = _labelled(spark, folder)
+    sets = {
+        "point_in_time": training.pit_training_set(labels, history),
+        "naive": training.naive_training_set(labels, history, AS_OF),
+    }
+    scores = model_quality.score_models(sets, rounds=5, depth=3)
     return model_quality.compare_models(scores)
 
 
@@ -95,7 +109,7 @@ def model_comparison_checked(spark, folder):
 
 
 def _permuted(spark, folder):
-    split = stage(model_quality.stratified_split(pit_training_set(spark, folder)), "split")
+    split = _split(spark, folder)
     model = model_quality.fit_churn_model(split.where("part = 'train'"), rounds=5, depth=3)
     return model_quality.permutation_importance(model, split.where("part = 'test'"))
 
