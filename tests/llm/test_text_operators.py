@@ -77,6 +77,19 @@ def test_sentence_pieces_equal_the_library(odd_docs):
     assert sentence_pieces.digests(odd_docs.limit(0), PIECES).count() == 0
 
 
+def test_sentence_pieces_remember_words_and_decode_them_once(monkeypatch):
+    library, encoder = sentencepiece.SentencePieceProcessor(model_file=PIECES), sentence_pieces.PieceEncoder(PIECES)
+    long = "x" * (sentence_pieces.REMEMBERED_CHARS + 1)
+    odd = ["", " ", "\n", "\na", " a", "a  b", "a\n b", "\u2581", "a\u2581b", "a\u2581\u2581b", "\U0001f600 x", "x\ud7ff y", "a\x00 b", "<0x41> <s>", f"{long} a {long}"]
+    for text in [*odd, *(f"{a} word {b}\nend" for a in odd for b in odd)] * 2:
+        ids = library.encode(text)
+        assert encoder(text) == (",".join(map(str, ids)), library.decode(ids))
+    assert encoder.words["word"] and encoder.words[""] is None and encoder.words["y\ud7ff"] is None
+    assert long not in encoder.words
+    monkeypatch.setattr(encoder.model, "stretch", None)  # nothing is encoded or decoded anew
+    assert encoder("word word\nend")[1] == "word word\nend"
+
+
 ASSIGN = re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A)
 
 

@@ -27,7 +27,9 @@ from pyspark.sql import functions as F
 from tidemark.llm.tokenizing import PieceTable, once
 
 MARK = "▁"
-PAIRS, STRETCHES = 400_000, 150_000
+PAIRS, STRETCHES = 400_000, 400_000
+#: Stands before the first token of a stretch, and after a character without a piece.
+START = (1 << 20) - 1
 REMEMBERED_CHARS = 64
 _LINES = re.compile(r"\n[^\n]*|[^\n]+")
 _STRETCH = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
@@ -42,6 +44,8 @@ class PieceModel:
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         ids = range(model.get_piece_size())
+        if len(ids) > START:
+            raise ValueError("ids of this vocabulary need more than 20 bits")
         self.pieces = [model.id_to_piece(i) for i in ids]
         self.byte_ids = {int(self.pieces[i][1:-1], 16): i for i in ids if model.is_byte(i)}
         self.byte_of = {i: b for b, i in self.byte_ids.items()}
@@ -59,16 +63,21 @@ class PieceModel:
         self.automaton.make_automaton()
         self.pairs = PieceTable(self._compatible, PAIRS)  # by both ids in one number
         self.edges = PieceTable(self._edges, PAIRS)
-        self.alone = PieceTable(lambda i: self.edges[i] is not None, PAIRS)
+        self.lengths = [len(p) for p in self.pieces]
+        ordinary = set(self.id_of.values())
+        self.shown = [p if i in ordinary else "" for i, p in enumerate(self.pieces)]
 
     def _compatible(self, pair: int) -> bool:
-        """Whether no merge crosses the border between two tokens.
+        """Whether no merge crosses the border between two tokens; after START, whether the token merges alone.
 
         Only the last part of the first token and the first part of the second can merge across it.
         Both grow as their tokens are merged alone; of the next growth on either side and the merge
         across, the one with the best score comes first, of equal ones the leftmost.
         """
-        one, two = self.edges[pair >> 20], self.edges[pair & (1 << 20) - 1]
+        two = self.edges[pair & START]
+        if pair >> 20 == START:
+            return two is not None
+        one = self.edges[pair >> 20]
         if one is None or two is None:
             return False
         last, first = one[1], two[0]
@@ -119,29 +128,21 @@ class PieceModel:
 
     def stretch(self, text: str) -> list[int]:
         """Ids of a text in which spaces are marks already."""
-        last: list[tuple[int, int] | None] = [None] * (len(text) + 1)  # (length, id) of each prefix's last token
-        pairs, alone = self.pairs, self.alone
-        for end, found in self.automaton.iter(text):
-            end += 1
-            if last[end] is not None:
-                continue
-            start = end - found[0]
-            if start == 0:
-                fits = alone[found[1]]
-            else:
-                before = last[start]
-                fits = alone[found[1]] if before is None else pairs[before[1] << 20 | found[1]]
-            if fits:
-                last[end] = found
+        # the last token of the prefix that ends at each character; the place after all stands before the first
+        last, pairs = [START] * (len(text) + 1), self.pairs
+        for end, (length, token) in self.automaton.iter(text):
+            if last[end] == START and pairs[last[end - length] << 20 | token]:
+                last[end] = token
         ids: list[int] = []
-        at = len(text)
-        while at:
-            if last[at] is None:  # no piece for this character
-                ids.extend(self.byte_ids[b] for b in reversed(text[at - 1].encode()))
+        at, lengths = len(text) - 1, self.lengths
+        while at >= 0:
+            token = last[at]
+            if token == START:  # no piece for this character
+                ids.extend(self.byte_ids[b] for b in reversed(text[at].encode()))
                 at -= 1
             else:
-                ids.append(last[at][1])
-                at -= last[at][0]
+                ids.append(token)
+                at -= lengths[token]
         return ids[::-1]
 
     @staticmethod
@@ -176,12 +177,31 @@ class PieceModel:
         return "".join(out)
 
 
+class WordTable(PieceTable):
+    """A table that keeps short words only."""
+
+    def __missing__(self, word: str):
+        return super().__missing__(word) if len(word) <= REMEMBERED_CHARS else self.encode(word)
+
+
 class PieceEncoder:
-    """Ids as decimals joined by commas, and the text decoded from them, with remembered stretches."""
+    """Ids as decimals joined by commas, and the text decoded from them, with remembered words.
+
+    A text in which every space is alone is cut into the words between them, which stand for the stretches
+    with their mark. Each word's ids are decoded once; where they give the word back, as they do for all but
+    odd characters, the decoded text of such words is the text itself. Any other text goes by its stretches.
+    """
 
     def __init__(self, path: str):
         self.model = PieceModel(path)
-        self.table = PieceTable(self._both, STRETCHES)
+        self.words = WordTable(self._word, STRETCHES)
+
+    def _word(self, word: str) -> str | None:
+        """Ids of a word; None for an empty one, or where its ids decode to something else."""
+        stretch = word if word[:1] == "\n" else MARK + word
+        ids = self.model.stretch(stretch)
+        # the pieces of ordinary tokens are what they decode to, with marks for spaces
+        return ",".join(map(str, ids)) if word and "".join(map(self.model.shown.__getitem__, ids)) == stretch else None
 
     def _both(self, stretch: str) -> tuple[str, str]:
         ids = self.model.stretch(stretch)
@@ -190,12 +210,20 @@ class PieceEncoder:
     def __call__(self, text: str | None) -> tuple[str, str]:
         if not text:
             return "", ""
-        cut = self.model.stretches(text)
-        if max(map(len, cut)) <= REMEMBERED_CHARS:
-            ids, texts = zip(*map(self.table.__getitem__, cut), strict=True)
-        else:
-            ids, texts = zip(*(self.table[p] if len(p) <= REMEMBERED_CHARS else self._both(p) for p in cut), strict=True)
-        return ",".join(ids), "".join(texts).removeprefix(" ")
+        plain = text.replace(MARK, " ")
+        try:
+            return ",".join(map(self.words.__getitem__, plain.replace("\n", " \n").split(" "))), plain
+        except TypeError:  # a word without a value of its own
+            ids, texts = zip(*map(self._stretch, self.model.stretches(text)), strict=True)
+            return ",".join(ids), "".join(texts).removeprefix(" ")
+
+    def _stretch(self, stretch: str) -> tuple[str, str]:
+        """Ids and decoded text of a stretch, by its word where that has a value."""
+        word = stretch[1:] if stretch[0] == MARK else stretch if stretch[0] == "\n" else ""
+        if word and word[0] not in (MARK, "\n") or stretch[0] == "\n":
+            if (ids := self.words[word]) is not None:
+                return ids, stretch.replace(MARK, " ")
+        return self._both(stretch)
 
 
 def encoded(docs: DataFrame, model: str) -> DataFrame:
