@@ -84,7 +84,7 @@ def test_sentence_pieces_remember_words_and_decode_them_once(monkeypatch):
     for text in [*odd, *(f"{a} word {b}\nend" for a in odd for b in odd)] * 2:
         ids = library.encode(text)
         assert encoder(text) == (",".join(map(str, ids)), library.decode(ids))
-    assert encoder.words["word"] and encoder.words[""] is None and encoder.words["y\ud7ff"] is None
+    assert encoder.words["word"] and encoder.words["\nend"] and encoder.words["y\ud7ff"] and encoder.words[""] is None
     assert long not in encoder.words
     monkeypatch.setattr(encoder.model, "stretch", None)  # nothing is encoded or decoded anew
     assert encoder("word word\nend")[1] == "word word\nend"

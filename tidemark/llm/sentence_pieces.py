@@ -188,8 +188,8 @@ class PieceEncoder:
     """Ids as decimals joined by commas, and the text decoded from them, with remembered words.
 
     A text in which every space is alone is cut into the words between them, which stand for the stretches
-    with their mark. Each word's ids are decoded once; where they give the word back, as they do for all but
-    odd characters, the decoded text of such words is the text itself. Any other text goes by its stretches.
+    with their mark. Each word's ids are decoded once; where they give the word back, bytes of
+    characters without a piece included, the decoded text of such words is the text itself. Any other text goes by its stretches.
     """
 
     def __init__(self, path: str):
@@ -201,7 +201,9 @@ class PieceEncoder:
         stretch = word if word[:1] == "\n" else MARK + word
         ids = self.model.stretch(stretch)
         # the pieces of ordinary tokens are what they decode to, with marks for spaces
-        return ",".join(map(str, ids)) if word and "".join(map(self.model.shown.__getitem__, ids)) == stretch else None
+        if "".join(map(self.model.shown.__getitem__, ids)) != stretch and self.model.decode_marked(ids) != stretch.replace(MARK, " "):
+            return None
+        return ",".join(map(str, ids)) if word else None
 
     def _both(self, stretch: str) -> tuple[str, str]:
         ids = self.model.stretch(stretch)
