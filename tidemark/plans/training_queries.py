@@ -25,13 +25,18 @@ def label_rate(spark, folder):
 
 
 def _labelled(spark, folder):
-    """Churn labels and the history of the users they name, both stored."""
+    """Churn labels, stored, and the history of the users they name."""
     labels = stage(fx.churn(spark, folder), "labels")
     return labels, fx.labelled_history(spark, folder, labels, fx.QUARTERS)
 
 
+def _pit(labels, history):
+    """The point-in-time join reads history more than once, so it gets it as a store holds it."""
+    return training.pit_training_set(labels, stage(history, "history"))
+
+
 def pit_training_set(spark, folder):
-    return training.pit_training_set(*_labelled(spark, folder))
+    return _pit(*_labelled(spark, folder))
 
 
 def naive_training_set(spark, folder):
@@ -90,7 +95,7 @@ _SHARES = {c: f"{c} >= 0 AND {c} <= 1" for c in ("roc_auc", "average_precision",
 def _compared(spark, folder):
     labels, history = _labelled(spark, folder)
     sets = {
-        "point_in_time": training.pit_training_set(labels, history),
+        "point_in_time": _pit(labels, history),
         "naive": training.naive_training_set(labels, history, AS_OF),
     }
     scores = model_quality.score_models(sets, rounds=5, depth=3)
