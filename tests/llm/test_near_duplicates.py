@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemark.llm import minhash, permutation_index, vector_dedup
+from tidemark.llm import components, minhash, permutation_index, vector_dedup
 from tidemark.llm.components import connected_components
 
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -40,6 +40,23 @@ def test_components_of_a_long_chain_and_a_star(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_a_round_with_few_edges_writes_one_file(spark, monkeypatch):
+    kept, stage = [], components.stage
+    monkeypatch.setattr(components, "stage", lambda df, label: kept.append((label, stage(df, label))) or kept[-1][1])
+    settings = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        found = connected_components(spark.createDataFrame([(k, k + 1) for k in range(300)], "a long, b long"))
+        assert {r.component_id for r in found.collect()} == {0}
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    rounds = [d for label, d in kept if label == "stars"]
+    assert len(rounds) > 1 and {len(d.inputFiles()) for d in rounds} == {1}
+
+
 def test_minhash_groups_equal_brute_force(make_docs, odd_docs):
     rng = random.Random(3)
     words = [f"w{k}" for k in range(4000)]

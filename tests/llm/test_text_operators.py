@@ -1,16 +1,20 @@
 """Operators on texts against the libraries and plain Python, on odd rows too."""
 
+import gc
 import hashlib
 import re
+import weakref
 import zlib
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import sentencepiece
 from tokenizers import Tokenizer
 
-from tidemark.llm import licenses, mixing, quality, secret_scan, sentence_pieces, token_counts, token_files
+from tidemark.llm import licenses, minhash, mixing, quality, secret_scan, sentence_pieces, token_counts, token_files, tokenizing
+from tidemark.llm.common import PART_ROWS, parts
 from tidemark.session import new_path
 
 WORD_BPE, BYTE_BPE, PIECES = map(public_tokenizers.path, ("word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model"))
@@ -93,6 +97,39 @@ def test_sentence_pieces_remember_words_and_decode_them_once(monkeypatch):
 ASSIGN = re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A)
 
 
+def test_an_object_that_holds_itself_is_gone_before_the_next_has_grown():
+    class Holder:
+        def __init__(self):
+            self.table = tokenizing.PieceTable(self.value)
+
+        def value(self, piece):
+            return len(piece)
+
+    gc.disable()
+    try:
+        gone = weakref.ref(tokenizing.once(("first",), Holder))
+        tokenizing.once(("second",), Holder)
+        assert gone() is None
+    finally:
+        gc.enable()
+        tokenizing._CACHED.clear()
+
+
+def test_rows_of_a_batch_longer_than_a_part(spark):
+    n = 2 * PART_ROWS + 7
+    texts = {k: None if k % 97 == 0 else " ".join(f"w{k * j % 53}" for j in range(k % 9)) for k in range(n)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").coalesce(1)
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    got = {r.doc_id: (list(r.ids), r.decoded) for r in sentence_pieces.encoded(docs, path).collect()}
+    assert got == {k: (ids := model.encode(t or ""), model.decode(ids)) for k, t in texts.items()}
+    sizes = {r.doc_id: r.n_shingles for r in minhash.sketches(docs, 2).collect()}
+    words = {k: (t or "").split() for k, t in texts.items()}
+    assert sizes == {k: len({tuple(w[j : j + 2]) for j in range(max(1, len(w) - 1))}) if w else 0 for k, w in words.items()}
+    batch = pa.RecordBatch.from_arrays([pa.array(range(n))], ["k"])
+    assert [b.num_rows for b in parts([batch, batch.slice(0, 0)])] == [PART_ROWS, PART_ROWS, 7]
+
+
 def test_secrets(spark, make_docs):
     key = "aZ3kP9xQ7vLm2RtY8sWd4BnC"
     texts = ["", "password=abc password = 'abcdef1' é token:zzzzzzz", "AKIA" + "B" * 16 + " AKIASHORT", "x" + "0a" * 13 + " 0a0a", f"é {key} end",

@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import shutil
 import tempfile
+from collections.abc import Iterable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Rows that a task holds as Python objects at a time.
+PART_ROWS = 1_024
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -28,6 +32,13 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+def parts(batches: Iterable[pa.RecordBatch], rows: int = PART_ROWS) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most `rows` rows: what a task makes of one is gone before the next."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def plain_lower(text: Column) -> Column:
     """Lower-case A-Z only; a null text becomes the empty one."""
     return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)

@@ -6,12 +6,16 @@ before the shuffle and its join may be split; no list of neighbours is ever buil
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.session import stage
 
 MAX_ROUNDS = 200
+#: Edges that a task puts into one file; a round leaves no more edges than it was given.
+FILE_ROWS = 100_000
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:
@@ -46,7 +50,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     for _ in range(MAX_ROUNDS):
         if not seen[0]:
             break
-        now = stage(_small_star(_large_star(now)), "stars")
+        now = stage(_small_star(_large_star(now)).coalesce(math.ceil(seen[0] / FILE_ROWS)), "stars")
         new = print_of(now)
         if new == seen:
             break

@@ -24,6 +24,7 @@ columns are not read.
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pandas as pd
@@ -31,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import parts
 from tidemark.llm.components import connected_components
 from tidemark.llm.open_pairs import compared, open_pairs
 from tidemark.session import stage
@@ -42,6 +44,8 @@ SLACK = 0.25
 BLOCK = 128
 BLOCK_SHINGLES = 1_000_000
 PART = 1 << 22
+#: Classes that a task puts into one file.
+FILE_ROWS = 20_000
 
 _rng = np.random.default_rng(20240607)
 _U = np.uint64
@@ -137,7 +141,7 @@ def sketches(docs: DataFrame, n: int) -> DataFrame:
             ("bands", pa.list_(pa.int64())), ("sketch", pa.binary()),
         ])
         with np.errstate(over="ignore"):
-            for batch in batches:
+            for batch in parts(batches):
                 sizes, contents, bands, bytes_ = [], [], [], []
                 for text in batch.column(1).to_pylist():
                     shingles = shingle_set(text, n)
@@ -238,7 +242,7 @@ def _links(docs: DataFrame, clusters: DataFrame, n: int, threshold: int) -> Data
     """(a, b): spanning links, confirmed on full sets, inside each cluster."""
 
     def sets(batches):
-        for batch in batches:
+        for batch in parts(batches):
             found = [shingle_set(t, n) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:2], pa.array([len(s) for s in found], pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())],
@@ -283,7 +287,7 @@ def groups(docs: DataFrame, n: int = 5, threshold: int = 80) -> DataFrame:
     classes = stage(
         seen.filter("content IS NOT NULL AND doc_id IS NOT NULL").groupBy("content").agg(
             F.min("doc_id").alias("node"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")
-        ), "classes",
+        ).coalesce(max(1, math.ceil(seen.count() / FILE_ROWS))), "classes",
     )
     clusters = _clusters(classes, threshold)
     # equal sets with other ids of the same documents: a document of several rows joins its classes

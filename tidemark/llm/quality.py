@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import parts
 from tidemark.llm.tokenizing import PieceTable, once
 from tidemark.session import stage
 
@@ -205,7 +206,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
     bound = min(1.0, sample / max(n, 1)) * 2**31
 
     def look(batches):
-        for batch in batches:
+        for batch in parts(batches):
             codes, vectors = [], []
             for text, chosen in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 vector, shares = features(text)

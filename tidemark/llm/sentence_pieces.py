@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import parts
 from tidemark.llm.tokenizing import PieceTable, once
 
 MARK = "▁"
@@ -233,11 +234,11 @@ def encoded(docs: DataFrame, model: str) -> DataFrame:
 
     def encode(batches):
         encoder = once(("pieces", model), lambda: PieceEncoder(model))
-        for batch in batches:
-            ids, back = zip(*map(encoder, batch.column(1).to_pylist()), strict=True) if batch.num_rows else ((), ())
+        for batch in parts(batches):
+            ids, back = zip(*map(encoder, batch.column(1).to_pylist()), strict=True)
             values = [np.fromstring(i, np.int32, sep=",") for i in ids]
             ends = np.cumsum([0, *map(len, values)])
-            values = np.concatenate(values) if values else np.empty(0, np.int32)
+            values = np.concatenate(values)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values)), pa.array(back, pa.string())],
                 ["doc_id", "ids", "decoded"],

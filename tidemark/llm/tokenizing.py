@@ -8,6 +8,7 @@ encoded each time they come, so it changes speed and never a result.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import os
 import re
@@ -21,9 +22,14 @@ _CACHED: dict[tuple, object] = {}
 
 
 def once(key: tuple, make):
-    """The object made for `key` in this process; making one lets the one before go, with its table."""
+    """The object made for `key` in this process; making one lets the one before go, with its table.
+
+    Tables hold methods of the object that holds them, so the old ones are collected before new ones grow.
+    """
     if key not in _CACHED:
-        _CACHED.clear()
+        if _CACHED:
+            _CACHED.clear()
+            gc.collect()
         _CACHED[key] = make()
     return _CACHED[key]
 
