@@ -68,6 +68,42 @@ def test_token_files_round_trip(spark, odd_docs):
     assert token_files.read_files(spark, empty).count() == 0
 
 
+def test_byte_level_ids_equal_the_library_and_letters_reach_the_model_once(monkeypatch):
+    library, seen = Tokenizer.from_file(BYTE_BPE), []
+
+    class Model:
+        ignore_merges = library.model.ignore_merges
+
+        def tokenize(self, signs):
+            seen.append(signs)
+            return library.model.tokenize(signs)
+
+    class Watched:
+        model, encode, get_vocab, get_vocab_size = Model(), library.encode, library.get_vocab, library.get_vocab_size
+
+    odd = ["", " ", "\n", "\nhouse", " a", "a  b", "a\n b", "it's", "(\xe9l\xe8ve)", "\xa0", "x\xa0", "\u180e", "\u0131", "\u01c4", "<|endoftext|>", "1.5", "\x00", "\r"]
+    odd += [f"{a} word {b}\nend" for a in odd for b in odd]
+    want = [np.array(library.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in odd]
+    monkeypatch.setattr(tokenizing, "load", lambda path: Watched())
+    for pieces in (tokenizing.PIECES, 3):  # with a full table too
+        monkeypatch.setattr(tokenizing, "PIECES", pieces)
+        encoder = tokenizing.ByteLevelEncoder(BYTE_BPE)
+        texts = pa.array([None, None, *odd, ""]).slice(1)
+        for _ in range(2):
+            assert encoder(texts, b"\2\0").to_pylist() == [b"\2\0", *(w + b"\2\0" for w in want), b"\2\0"]
+        assert len(encoder.units) <= pieces
+    assert encoder(pa.array([], pa.string())).to_pylist() == []
+
+    monkeypatch.undo()
+    monkeypatch.setattr(tokenizing, "load", lambda path: Watched())
+    encoder = tokenizing.ByteLevelEncoder(BYTE_BPE)
+    seen.clear()
+    encoder(pa.array(["a zebrant zebrant. zebrant, oxlike", "b oxlike! zebrant?"]))
+    encoder(pa.array(["c zebrant... oxlike"]))
+    words = Counter(w for signs in seen for w in signs.split("\u0120"))
+    assert len(seen) == 2 and words["zebrant"] == words["oxlike"] == 1
+
+
 def test_sentence_pieces_equal_the_library(odd_docs):
     library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
     want = Counter()

@@ -27,6 +27,8 @@ from tidemark.llm.common import ship
 from tidemark.llm.tokenizing import ByteLevelEncoder, once
 from tidemark.session import new_path
 
+#: Bytes of text that are encoded together.
+SLICE_BYTES = 1 << 23
 #: Lengths of the four ranks of each control byte.
 LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1
 
@@ -86,6 +88,14 @@ def _slices(batches, rows: int = 1000):
     return (b.slice(at, rows) for b in batches for at in range(0, b.num_rows, rows))
 
 
+def _sized(batches, size: int = SLICE_BYTES):
+    """Slices of whole texts, `size` bytes and one text long at most."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        cuts = [0, *(np.flatnonzero(np.diff(ends // size)) + 1).tolist(), batch.num_rows]
+        yield from (batch.slice(a, b - a) for a, b in zip(cuts, cuts[1:]) if b > a)
+
+
 def encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     """(doc_id, ids) of every document as the scan meets it, and a row (counts) for every task."""
     ship(docs.sparkSession)
@@ -95,13 +105,10 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
         end = np.array([end_id], encoder.dtype).tobytes()
         counts = np.zeros(1 << 16, np.int64)
         schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("counts", pa.binary())])
-        for batch in batches:
-            ids = [encoder(t) + end for t in batch.column(1).to_pylist()]
-            for one in ids:
-                counts += np.bincount(np.frombuffer(one, encoder.dtype), minlength=1 << 16) if len(one) > 1 << 15 else 0
-            short = b"".join(one for one in ids if len(one) <= 1 << 15)
-            counts += np.bincount(np.frombuffer(short, encoder.dtype), minlength=1 << 16)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary()), pa.nulls(len(ids), pa.binary())], schema=schema)
+        for batch in _sized(batches):
+            ids = encoder(batch.column(1), end)
+            counts += np.bincount(_bytes_of(ids).view(encoder.dtype), minlength=1 << 16)
+            yield pa.RecordBatch.from_arrays([batch.column(0), ids, pa.nulls(len(ids), pa.binary())], schema=schema)
         yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([counts.tobytes()], pa.binary())], schema=schema)
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(encode, "doc_id long, ids binary, counts binary")
